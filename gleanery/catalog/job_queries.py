@@ -1 +1,129 @@
-"""The composed jobs, run end to end on the scenario."""
+"""The composed jobs and the resumable ingest, run end to end on the scenario."""
+
+from pyspark.sql import functions as F
+
+from ..functions import keys, urls
+from ..operators import audit, state
+from ..plans import jobs
+from ..sources.state_store import StateStore
+from ..streaming.ingest import ingest_pages, ingested_files
+from . import scenario
+from .registry import query
+from .response_queries import ANSWERED, ASOF, CONTENT_ERROR, FRESH, _batched, landed_pages
+from .scan_queries import CLAIMED, LIMITS, OVERLAP, _fetched, _walk
+from .scenario import FAILED_BATCH, MISSING_REF, MISSING_REPO, scratch, view, with_views
+from .state_queries import METADATA, PARSED, REPOS
+
+
+def _store(spark, sf) -> StateStore:
+    """A new state that already holds the scenario's files."""
+    store = StateStore(spark, scratch(spark))
+    store.create()
+    store.append("files", view(spark, sf, "files"))
+    return store
+
+
+@query("job_collect_paths", f"""{with_views('estimates', recursive=True)}, {_walk(CLAIMED)}, {_fetched()},
+    found AS (SELECT url, min(seq) AS item_seq FROM fetched WHERE action = 'collect' GROUP BY url)
+    SELECT f.url, f.sha, row_number() OVER (ORDER BY item_seq) - 1 AS seq
+    FROM found JOIN files f ON f.seq = item_seq""")
+def _(spark, sf):
+    """Scan twice: the second run finds every query finished and changes nothing."""
+    store = StateStore(spark, scratch(spark))
+    store.create()
+    items = view(spark, sf, "files").select("seq", "query", "url", "sha", "size_bytes")
+    for _ in range(2):
+        jobs.collect_paths(store, items, ASOF, view(spark, sf, "estimates"), LIMITS)
+    return store.read("files").select("url", "sha", "seq")
+
+
+JOB_PENDING = """pending AS (
+    SELECT p.* FROM parsed p WHERE NOT EXISTS (SELECT 1 FROM content_status c WHERE c.url = p.url)
+    AND p.lang <> 'de')"""
+
+
+@query("job_content", f"""{with_views('content_status', 'blobs')}, {PARSED}, {JOB_PENDING},
+    asked AS (SELECT * FROM pending WHERE lang <> 'fr'), {_batched(50, "asked")}, {ANSWERED},
+    named AS (SELECT url, text, byte_size, {CONTENT_ERROR} AS error FROM answered WHERE batch_ok),
+    fresh AS (SELECT url, CASE WHEN error = 'truncated' AND byte_size > 20000 THEN 'not_found'
+                               WHEN error = 'truncated' AND text IS NULL THEN 'not_found'
+                               WHEN error = 'truncated' THEN 'fetched'
+                               WHEN error = 'not_found' THEN 'not_found'
+                               WHEN error IS NOT NULL OR text = '' THEN 'error' ELSE 'fetched' END AS status FROM named),
+    on_disk AS (SELECT url, 'fetched' AS status FROM parsed p WHERE lang = 'de'
+                AND NOT EXISTS (SELECT 1 FROM content_status c WHERE c.url = p.url)),
+    cached AS (SELECT url, 'fetched' AS status FROM pending WHERE lang = 'fr')
+    SELECT url, status FROM content_status UNION ALL SELECT url, status FROM fresh
+    UNION ALL SELECT url, status FROM on_disk UNION ALL SELECT url, status FROM cached""")
+def _(spark, sf):
+    """German files are on disk, French ones cached; the rest is asked for in batches."""
+    store = _store(spark, sf)
+    store.append("content_status", view(spark, sf, "content_status"))
+    parsed = state.parsed_files(view(spark, sf, "files"))
+    place = [F.col(c) for c in ("owner", "repo", "ref", "path")]
+    tree = parsed.filter("lang = 'de'").select(urls.content_path(*place).alias("rel_path"))
+    cached = parsed.filter("lang = 'fr'").select(
+        keys.content_key(*place).alias("key"),
+        F.to_json(F.struct(F.base64(F.encode("text", "UTF-8")).alias("content"))).alias("body"),
+        F.lit(None).cast("string").alias("error"),
+        F.lit("2024-01-20").cast("timestamp").alias("cached_at"),
+    )
+    plan = jobs.plan_content(store, tree, cached, ASOF)
+    blobs = view(spark, sf, "blobs")
+    answers = scenario.content_bodies(plan.open_items, blobs)
+    jobs.record_content(
+        store, plan, answers, scenario.single_answers(blobs), f"{store.root}/content", "first", ASOF
+    )
+    return store.read("content_status").select("url", "status")
+
+
+@query("job_metadata", f"""{with_views('repo_bodies')}, {REPOS}, {METADATA}
+    SELECT repo_key, stars, forks, watchers, language, topics, default_branch FROM repo_metadata
+    WHERE repo_key IN (SELECT repo_key FROM repo_files)""")
+def _(spark, sf):
+    store = _store(spark, sf)
+    nothing = spark.createDataFrame([], "key string, body string, error string, cached_at timestamp")
+    plan = jobs.plan_metadata(store, nothing, ASOF)
+    jobs.record_metadata(store, plan, scenario.metadata_bodies(plan.open_items, view(spark, sf, "repo_bodies")), ASOF)
+    return store.read("repo_metadata").select(
+        "repo_key", "stars", "forks", "watchers", "language", F.array_join("topics", ",").alias("topics"), "default_branch"
+    )
+
+
+@query("job_history", f"""{with_views('commit_nodes')}, {PARSED}, {_batched(5)},
+    newest AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord DESC) AS age FROM commit_nodes)
+    SELECT b.url, min(strftime(committed_at, '%Y-%m-%dT%H:%M:%SZ')) AS first_commit,
+           max(strftime(committed_at, '%Y-%m-%dT%H:%M:%SZ')) AS last_commit,
+           count(DISTINCT author) AS n_authors, count(*) AS n_commits
+    FROM batched b JOIN newest n ON b.url = n.url AND n.age <= 100
+    WHERE NOT ({FAILED_BATCH}) AND NOT ({MISSING_REPO}) AND NOT ({MISSING_REF}) GROUP BY b.url""")
+def _(spark, sf):
+    store = _store(spark, sf)
+    nothing = spark.createDataFrame([], "key string, body string, error string, cached_at timestamp")
+    plan = jobs.plan_history(store, nothing, ASOF)
+    answers = scenario.history_bodies(plan.open_items, view(spark, sf, "commit_nodes"))
+    jobs.record_history(store, plan, answers, ASOF)
+    return audit.history_summary(audit.exploded_commits(store.read("file_history")))
+
+
+@query("job_compare", f"""{with_views('run_a', 'run_b', 'reported')}, {OVERLAP}
+    SELECT o.test, o.n_a, o.n_b, o.a_in_b_pct, o.b_over_api_pct,
+           (SELECT count(*) FROM (SELECT test, url FROM run_a EXCEPT SELECT test, url FROM run_b) m
+            WHERE m.test = o.test) AS n_missed FROM overlap o""")
+def _(spark, sf):
+    report = jobs.compare(view(spark, sf, "run_a"), view(spark, sf, "run_b"), view(spark, sf, "reported"))
+    missed = report["missed"].groupBy("test").agg(F.count(F.lit(1)).alias("_n"))
+    return report["overlap"].join(missed, "test", "left").select(
+        "test", "n_a", "n_b", "a_in_b_pct", "b_over_api_pct", F.coalesce("_n", F.lit(0)).alias("n_missed")
+    )
+
+
+@query("resumable_ingest", f"{with_views('files')} SELECT url, sha FROM files")
+def _(spark, sf):
+    """Land the pages, take them in, land them again with a restart: nothing is added twice."""
+    base = scratch(spark)
+    pages = landed_pages(spark, sf)
+    for _ in range(2):
+        pages.write.mode("append").json(f"{base}/landed")
+        ingest_pages(spark, f"{base}/landed", f"{base}/state", f"{base}/offsets").awaitTermination()
+    return ingested_files(spark, f"{base}/state").select("url", "sha")

@@ -24,10 +24,10 @@ ASOF = "2024-02-01 00:00:00"
 FRESH = f"cached_at > TIMESTAMP '{ASOF}' - INTERVAL 30 DAY"
 
 
-def _batched(size: int) -> str:
+def _batched(size: int, source: str = "parsed") -> str:
     return f"""batched AS (
         SELECT *, CAST(floor(rn / {size}.0) AS BIGINT) AS batch_id, CAST(rn % {size} AS INT) AS pos
-        FROM (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS rn FROM parsed) p)"""
+        FROM (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS rn FROM {source}) p)"""
 
 
 ALIASED = """aliased AS (

@@ -11,10 +11,14 @@ from .scenario import table, view, with_views
 LIMITS = scan.ScanLimits(cap=3, first_chunk=500, max_size=1_000_000, empty_stop=10)
 
 
-def _walk(estimates: str, starts: str = "SELECT DISTINCT query, CAST(0 AS BIGINT) AS start_lo FROM files") -> str:
+def _walk(
+    estimates: str,
+    starts: str = "SELECT DISTINCT query, CAST(0 AS BIGINT) AS start_lo FROM files",
+    size: str = "size_bytes",
+) -> str:
     """The scan as a recursive query; one row per range asked for."""
     return f"""starts AS ({starts}),
-    actual AS (SELECT query, size_bytes AS size, count(*) AS n FROM files GROUP BY query, size_bytes),
+    actual AS (SELECT query, {size} AS size, count(*) AS n FROM files GROUP BY query, {size}),
     claimed AS ({estimates}),
     walk AS (
         SELECT query, CAST(-1 AS BIGINT) AS step, CAST(NULL AS BIGINT) AS lo, CAST(NULL AS BIGINT) AS hi,
@@ -43,11 +47,12 @@ def _walk(estimates: str, starts: str = "SELECT DISTINCT query, CAST(0 AS BIGINT
 TRUE_COUNTS = "SELECT query, size, n AS est FROM actual"
 CLAIMED = "SELECT query, size, est FROM estimates"
 
-FETCHED = """fetched AS (
+def _fetched(size: str = "size_bytes") -> str:
+    return f"""fetched AS (
     SELECT * FROM (
         SELECT p.query, p.step, p.lo, p.hi, p.action, f.seq, f.url, f.sha,
                row_number() OVER (PARTITION BY p.query, p.step ORDER BY f.seq) AS rn
-        FROM plan p JOIN files f ON f.query = p.query AND f.size_bytes BETWEEN p.lo AND p.hi
+        FROM plan p JOIN files f ON f.query = p.query AND {size} BETWEEN p.lo AND p.hi
         WHERE p.action IN ('collect', 'overflow')) r
     WHERE rn <= 3)"""
 
@@ -83,21 +88,25 @@ def _(spark, sf):
     return _claimed_plan(spark, sf)
 
 
-@query("scan_exact_ceiling", f"""{with_views('files', recursive=True)}, {_walk(TRUE_COUNTS)}, {FETCHED}
-    SELECT query, lo, seq, url FROM fetched WHERE lo = hi""")
+# Sizes in hundreds of bytes: then many files share one size, and single sizes are over the cap.
+COARSE = "CAST(floor(size_bytes / 100.0) AS BIGINT)"
+
+
+@query("scan_exact_ceiling", f"""{with_views('files', recursive=True)}, {_walk(TRUE_COUNTS, size=COARSE)},
+    {_fetched(COARSE)} SELECT query, lo, seq, url FROM fetched WHERE lo = hi""")
 def _(spark, sf):
-    items = _items(spark, sf)
+    items = _items(spark, sf).withColumn("size_bytes", F.expr(COARSE))
     fetched = scan.fetched_items(scan.scan_plan(items, limits=LIMITS), items, LIMITS)
     return fetched.filter("lo = hi").select("query", "lo", "seq", "url")
 
 
-@query("scan_hits", f"""{with_views('estimates', recursive=True)}, {_walk(CLAIMED)}, {FETCHED}
+@query("scan_hits", f"""{with_views('estimates', recursive=True)}, {_walk(CLAIMED)}, {_fetched()}
     SELECT url, query || ' size:' || lo || '..' || hi AS query, lo AS size_min, hi AS size_max FROM fetched""")
 def _(spark, sf):
     return scan.scan_hits(scan.fetched_items(_claimed_plan(spark, sf), _items(spark, sf), LIMITS))
 
 
-@query("scan_collect", f"""{with_views('estimates', recursive=True)}, {_walk(CLAIMED)}, {FETCHED}
+@query("scan_collect", f"""{with_views('estimates', recursive=True)}, {_walk(CLAIMED)}, {_fetched()}
     SELECT query, step, seq, url, sha FROM fetched WHERE action = 'collect'""")
 def _(spark, sf):
     fetched = scan.fetched_items(_claimed_plan(spark, sf), _items(spark, sf), LIMITS)
