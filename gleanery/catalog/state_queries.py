@@ -330,10 +330,10 @@ def _(spark, sf):
 def _(spark, sf):
     """Write the content table twice under one run id; the second write replaces the first."""
     path = scratch(spark)
-    content = state.parsed_files(view(spark, sf, "files"))
+    content = state.parsed_files(view(spark, sf, "files")).withColumn("status", F.lit("fetched"))
     for _ in range(2):
-        content_tree.write_content_table(content, path, "first")
-    return spark.read.parquet(f"{path}/run=first")
+        written = content_tree.write_content_table(content, path, "first")
+    return written.select("url", "owner", "repo", "ref", "path", "text")
 
 
 @query("export_json", f"""{with_views('repo_bodies')}, {METADATA}

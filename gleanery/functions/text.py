@@ -17,12 +17,17 @@ MARKUP = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))
 CELL_BAR = ("|", "&#124;")
 
 
+def _whole_base64(digits: Column) -> Column:
+    """Bytes of complete groups of four digits, else NULL."""
+    return F.try_to_binary(F.when(F.char_length(digits) % 4 == 0, digits), F.lit("base64"))
+
+
 def decoded_text(content: Column) -> Column:
     """Base64 content as text, U+FFFD in place of broken bytes; NULL when not base64."""
-    digits = F.regexp_replace(content, "[^A-Za-z0-9+/=]", "")
-    whole = F.when(F.char_length(digits) % 4 == 0, digits)
-    raw = F.try_to_binary(whole, F.lit("base64"))
-    return F.make_valid_utf8(raw.cast("string"))
+    # Most content has line breaks at most; other foreign characters take the slower path.
+    plain = _whole_base64(F.translate(content, "\r\n", ""))
+    cleaned = _whole_base64(F.regexp_replace(content, "[^A-Za-z0-9+/=]", ""))
+    return F.make_valid_utf8(F.coalesce(plain, cleaned).cast("string"))
 
 
 def encoded_text(text: Column) -> Column:

@@ -17,20 +17,24 @@ def _tail(url: Column) -> Column:
 
 def is_file_url(url: Column) -> Column:
     """True for owner/repo/blob/ref/path URLs of the host; never NULL."""
-    segments = F.split(_tail(url), "/")
+    segments = url_segments(url)
     shaped = (F.size(segments) >= 5) & (F.get(segments, 2) == FILE_MARKER)
     return F.coalesce(url.startswith(HOST_PREFIX) & shaped, F.lit(False))
 
 
-def url_parts(url: Column) -> Column:
-    """Struct owner, repo, ref, path. Only the first segment after the marker is the ref."""
-    segments = F.split(_tail(url), "/")
-    return F.struct(
-        F.get(segments, 0).alias("owner"),
-        F.get(segments, 1).alias("repo"),
-        F.get(segments, 3).alias("ref"),
-        F.array_join(F.slice(segments, 5, F.greatest(F.size(segments), F.lit(0))), "/").alias("path"),
-    )
+def url_segments(url: Column) -> Column:
+    """Parts between slashes after the host."""
+    return F.split(_tail(url), "/")
+
+
+def url_parts(segments: Column) -> dict[str, Column]:
+    """owner, repo, ref and path. Only the first segment after the marker is the ref."""
+    return {
+        "owner": F.get(segments, 0),
+        "repo": F.get(segments, 1),
+        "ref": F.get(segments, 3),
+        "path": F.array_join(F.slice(segments, 5, F.greatest(F.size(segments), F.lit(0))), "/"),
+    }
 
 
 def on_host(url: Column) -> Column:
@@ -43,7 +47,7 @@ def repo_key(url: Column) -> Column:
 
     With no slash at all after the host the owner reads as "/", so the key is "//".
     """
-    segments = F.split(_tail(url), "/")
+    segments = url_segments(url)
     owner = F.when(F.size(segments) >= 2, F.get(segments, 0)).otherwise("/")
     repo = F.when(F.size(segments) >= 3, F.get(segments, 1)).otherwise("")
     return F.concat(owner, F.lit("/"), repo)

@@ -156,9 +156,7 @@ def visible_narrow_only(hits: DataFrame) -> DataFrame:
     are few next to its hits; nesting is found on them, by the range join, and hits only
     meet the ranges around their own.
     """
-    seen = hits.select(
-        base_query(F.col("query")).alias("query"), "url", "size_min", "size_max"
-    ).distinct()
+    seen = hits.select(base_query(F.col("query")).alias("query"), "url", "size_min", "size_max")
     narrow = seen.select("query", "size_min", "size_max").distinct()
     wide = narrow.select(
         "query", F.col("size_min").alias("wide_min"), F.col("size_max").alias("wide_max")
@@ -167,7 +165,7 @@ def visible_narrow_only(hits: DataFrame) -> DataFrame:
         (F.col("size_max") <= F.col("wide_max"))
         & ((F.col("size_min") > F.col("wide_min")) | (F.col("size_max") < F.col("wide_max")))
     )
-    expected = seen.join(around, ["query", "size_min", "size_max"])
+    expected = seen.distinct().join(around, ["query", "size_min", "size_max"])
     in_wide = seen.select(
         "query", "url", F.col("size_min").alias("wide_min"), F.col("size_max").alias("wide_max")
     )

@@ -42,7 +42,7 @@ def assign_batches(pending: DataFrame, size: int, order: str = "seq") -> DataFra
     """batch_id and pos: consecutive runs of `size` rows in pending order."""
     return (
         with_position(pending, order, "_position")
-        .withColumn("batch_id", F.floor(F.col("_position") / size))
+        .withColumn("batch_id", F.expr(f"_position div {size}"))
         .withColumn("pos", (F.col("_position") % size).cast("int"))
         .drop("_position")
     )

@@ -42,12 +42,14 @@ def lookup(
     return joined.withColumn("is_hit", F.coalesce("_found", F.lit(False))).drop("_found")
 
 
-def hits(looked_up: DataFrame) -> DataFrame:
-    return looked_up.filter("is_hit")
+def hits(requests: DataFrame, entries: DataFrame, key: str = "key") -> DataFrame:
+    """Requests with a usable entry, and what it holds."""
+    return requests.join(entries, key)
 
 
-def misses(looked_up: DataFrame, columns: list[str]) -> DataFrame:
-    return looked_up.filter(~F.col("is_hit")).select(*columns)
+def misses(requests: DataFrame, entries: DataFrame, key: str = "key") -> DataFrame:
+    """Requests without one. Bodies are not read for this."""
+    return requests.join(entries.select(key), key, "left_anti")
 
 
 def admit_call(method: Column, status: Column) -> Column:

@@ -36,14 +36,15 @@ def first_n(df: DataFrame, key, order, n: int) -> DataFrame:
     return _ranked_first(df, key, [F.col(c).asc() for c in _columns(order)], n)
 
 
-def replace_rows(current: DataFrame, latest: DataFrame, key) -> DataFrame:
-    """current with the rows of latest put in by key; latest holds one row per key.
+def replace_rows(current: DataFrame, changes: DataFrame, key, order) -> DataFrame:
+    """current with the latest change of each key put in.
 
-    The anti join lets a small set of changes be broadcast (AQE checks its size), so the
-    large table is neither shuffled nor sorted.
+    The anti join needs the changed keys only. Where these are few, AQE sees their size and
+    broadcasts them, so the large table is neither shuffled nor sorted.
     """
-    untouched = current.join(latest.select(*_columns(key)), _columns(key), "left_anti")
-    return untouched.unionByName(latest.select(*current.columns))
+    changed = changes.select(*_columns(key)).distinct()
+    untouched = current.join(changed, _columns(key), "left_anti")
+    return untouched.unionByName(last_wins(changes, key, order).select(*current.columns))
 
 
 def with_position(df: DataFrame, order: str, name: str = "position") -> DataFrame:

@@ -162,13 +162,9 @@ def fetched_items(plan: DataFrame, items: DataFrame, limits: ScanLimits = DEFAUL
     asked = plan.filter(F.col("action").isin("overflow", "collect")).select(
         "query", "step", "lo", "hi", "action"
     )
-    reachable = first_n(
-        items.filter(F.col("size_bytes").between(0, limits.max_size)),
-        ["query", "size_bytes"],
-        ["seq", "url"],
-        limits.cap,
-    )
-    returned = assign_ranges(reachable, asked, ["query"], "size_bytes", "lo", "hi")
+    on_axis = items.filter(F.col("size_bytes").between(0, limits.max_size))
+    reachable = first_n(on_axis, ["query", "size_bytes"], ["seq", "url"], limits.cap)
+    returned = assign_ranges(reachable, asked, ["query"], "size_bytes", "lo", "hi", values=on_axis)
     return first_n(returned, ["query", "step"], ["seq", "url"], limits.cap)
 
 

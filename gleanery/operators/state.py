@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import urls
-from .ordering import first_wins, last_wins, replace_rows
+from .ordering import first_wins, replace_rows
 
 
 # --- reading -----------------------------------------------------------------------------
@@ -26,9 +26,9 @@ def parsed_files(files: DataFrame) -> DataFrame:
     """File URLs split into owner, repo, ref and path; other URLs are left out."""
     return (
         files.filter(urls.is_file_url(F.col("url")))
-        .withColumn("_parts", urls.url_parts(F.col("url")))
-        .select("*", "_parts.*")
-        .drop("_parts")
+        .withColumn("_segments", urls.url_segments(F.col("url")))
+        .withColumns(urls.url_parts(F.col("_segments")))
+        .drop("_segments")
     )
 
 
@@ -91,11 +91,11 @@ def insert_files(files: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def upsert(current: DataFrame, updates: DataFrame, key: str, order: str = "seq") -> DataFrame:
     """The last update of each key replaces the whole row; missing columns become NULL."""
-    latest = last_wins(updates, key, order)
+    changes = updates
     for field in current.schema.fields:
-        if field.name not in latest.columns:
-            latest = latest.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return replace_rows(current, latest, key)
+        if field.name not in changes.columns:
+            changes = changes.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return replace_rows(current, changes, key, order)
 
 
 def upsert_metadata(current: DataFrame, updates: DataFrame, order: str = "seq") -> DataFrame:

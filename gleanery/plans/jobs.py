@@ -22,7 +22,11 @@ from ..sources.state_store import StateStore
 
 @dataclass(frozen=True)
 class Plan:
-    """What a planning half found: items by fate, and the requests for the open ones."""
+    """What a planning half found: items by fate, and the requests for the open ones.
+
+    open_items is written out, so the batches a request was made for are the same when its
+    answer is recorded.
+    """
 
     rejected: DataFrame | None
     skipped: DataFrame | None
@@ -31,6 +35,12 @@ class Plan:
     requests: DataFrame
 
 
+def _cache_split(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hits and misses. Only the narrow requests are written out, never cached bodies."""
+    written = checkpointed(wanted)
+    return cache.hits(written, entries), cache.misses(written, entries)
+
+
 # --- paths -------------------------------------------------------------------------------
 
 
@@ -90,74 +100,65 @@ def plan_content(
     """Pending files split into rejected, on disk, cached and open; the open ones batched."""
     pending = state.files_without_content(store.read("files"), store.read("content_status"))
     split = split_on_disk(state.parsed_files(pending), tree)
-    wanted = split.filter(~F.col("on_disk")).withColumn(
-        "key", keys.content_key(F.col("owner"), F.col("repo"), F.col("ref"), F.col("path"))
-    )
-    looked_up = checkpointed(
-        cache.lookup(
-            wanted.select("key", "url", "owner", "repo", "ref", "path", "seq"), response_cache, asof, skip_read
-        )
+    place = [F.col(c) for c in ("owner", "repo", "ref", "path")]
+    wanted = split.filter(~F.col("on_disk")).select(
+        "url", *place, "seq", keys.content_key(*place).alias("key")
     )
-    columns = ["url", "owner", "repo", "ref", "path", "seq", "key"]
-    batched = batching.assign_batches(cache.misses(looked_up, columns), batch_size)
-    aliased = batching.assign_aliases(batched)
+    hits, misses = _cache_split(wanted, cache.readable_entries(response_cache, asof, skip_read))
+    aliased = checkpointed(batching.assign_aliases(batching.assign_batches(misses, batch_size)))
     return Plan(
         rejected=state.rejected_files(pending).select("url"),
         skipped=split.filter("on_disk").select("url"),
-        hits=cache.hits(looked_up),
+        hits=hits,
         open_items=aliased,
         requests=batching.content_requests(aliased),
     )
 
 
-def content_outcomes(plan: Plan, answers: DataFrame, singles: DataFrame) -> DataFrame:
-    """Every item handled in this run: url, outcome, is_hit, place and text.
+PLACE = ["url", "owner", "repo", "ref", "path"]
+
 
-    singles: url, status, error, content (base64), is_folder: single-file answers for the
-    truncated items. A truncated item without one stays pending.
+def batched_content(plan: Plan, answers: DataFrame) -> DataFrame:
+    """Items answered in batches or by the cache: place, outcome, is_hit and text.
+
+    Items of a batch that failed as a whole are left out and stay pending.
     """
-    place = ["url", "owner", "repo", "ref", "path"]
     answered = responses.content_answers(plan.open_items, answers).withColumn(
         "error", responses.content_error()
     )
-    batched = answered.select(
-        *place,
-        "batch_ok",
+    fresh = answered.filter("batch_ok").select(
+        *PLACE,
         responses.batched_outcome(F.col("error"), F.col("text")).alias("outcome"),
         F.lit(False).alias("is_hit"),
         "text",
     )
     content = F.get_json_object("body", "$.content")
     cached_error = F.coalesce(F.col("error"), F.when(F.coalesce(content, F.lit("")) == "", "no_content"))
-    from_cache = plan.hits.select(
-        *place,
-        F.lit(True).alias("batch_ok"),
+    cached = plan.hits.select(
+        *PLACE,
         responses.batched_outcome(cached_error, content).alias("outcome"),
         F.lit(True).alias("is_hit"),
         text.decoded_text(content).alias("text"),
     )
-    both = batched.unionByName(from_cache).filter("batch_ok").drop("batch_ok")
+    return fresh.unionByName(cached)
 
-    alone = singles.select(
-        "url",
-        responses.single_outcome(
-            F.col("status"), F.col("error"), F.col("content"), F.col("is_folder")
-        ).alias("_outcome"),
-        text.decoded_text(F.col("content")).alias("_text"),
-    ).withColumn(
-        "_outcome",
-        F.when((F.col("_outcome") == "fetched") & F.col("_text").isNull(), "error").otherwise(
-            F.col("_outcome")
-        ),
+
+def single_content(truncated: DataFrame, singles: DataFrame) -> DataFrame:
+    """Truncated items with their single-file answer; those without one stay pending.
+
+    singles: url, status, error, content (base64), is_folder.
+    """
+    named = responses.single_outcome(
+        F.col("status"), F.col("error"), F.col("content"), F.col("is_folder")
     )
-    truncated = both.filter(F.col("outcome") == "truncated").join(alone, "url")
-    finished = truncated.select(
-        *place,
-        F.when(F.col("_outcome") == "fetched", "truncated_rest").otherwise(F.col("_outcome")).alias("outcome"),
-        "is_hit",
-        F.col("_text").alias("text"),
+    alone = singles.select("url", named.alias("_named"), text.decoded_text(F.col("content")).alias("text"))
+    fetched = F.col("_named") == "fetched"
+    outcome = (
+        F.when(fetched & F.col("text").isNull(), "error")
+        .when(fetched, "truncated_rest")
+        .otherwise(F.col("_named"))
     )
-    return both.filter(F.col("outcome") != "truncated").unionByName(finished)
+    return truncated.join(alone, "url").select(*PLACE, outcome.alias("outcome"), "is_hit", "text")
 
 
 def outcome_status(outcome):
@@ -168,21 +169,38 @@ def outcome_status(outcome):
 def record_content(
     store: StateStore, plan: Plan, answers: DataFrame, singles: DataFrame, content_path: str, run: str, asof: str
 ) -> DataFrame:
-    """Store text and statuses; returns the counters of the run."""
-    outcomes = checkpointed(content_outcomes(plan, answers, singles))
-    stored = outcomes.filter(outcome_status(F.col("outcome")) == "fetched")
-    write_content_table(stored, content_path, run)
-
-    skipped = plan.skipped.select("url", F.lit("skipped").alias("outcome"), F.lit(False).alias("is_hit"))
-    rejected = plan.rejected.select("url", F.lit("error").alias("outcome"), F.lit(False).alias("is_hit"))
-    handled = outcomes.select("url", "outcome", "is_hit").unionByName(skipped)
+    """Store text and statuses; returns the counters of the run.
+
+    Answers are unpacked once, straight into the content table. What follows reads narrow
+    columns of that table: texts are never shuffled or written twice.
+    """
+
+    def stored(outcomes: DataFrame, stage: str) -> DataFrame:
+        rows = outcomes.withColumn("status", outcome_status(F.col("outcome")))
+        return write_content_table(rows, content_path, run, stage)
+
+    batched = stored(batched_content(plan, answers), "batch")
+    truncated = batched.filter(F.col("status") == "truncated")
+    single = stored(single_content(truncated.drop("text", "outcome"), singles), "single")
+
+    def outcome_rows(rows: DataFrame) -> DataFrame:
+        return rows.select("url", "outcome", "is_hit")
+
+    def fixed(rows: DataFrame, outcome: str) -> DataFrame:
+        return rows.select("url", F.lit(outcome).alias("outcome"), F.lit(False).alias("is_hit"))
+
+    handled = (
+        outcome_rows(batched.filter(F.col("status") != "truncated"))
+        .unionByName(outcome_rows(single))
+        .unionByName(fixed(plan.skipped, "skipped"))
+    )
     updates = handled.select(
         "url",
         outcome_status(F.col("outcome")).alias("status"),
         F.lit(asof).cast("timestamp").alias("fetched_at"),
         F.lit(0).alias("seq"),
     )
-    counters = checkpointed(audit.outcome_counts(handled.unionByName(rejected)))
+    counters = checkpointed(audit.outcome_counts(handled.unionByName(fixed(plan.rejected, "error"))))
     store.replace("content_status", state.upsert(store.read("content_status"), updates, "url"))
     return counters
 
@@ -199,9 +217,10 @@ def plan_metadata(
 ) -> Plan:
     missing = state.repos_without_metadata(store.read("files"), store.read("repo_metadata"))
     keyed = missing.withColumn("key", keys.metadata_key(F.col("repo_key")))
-    looked_up = checkpointed(cache.lookup(keyed, response_cache, asof, retry_errors=retry_errors))
-    batched = batching.assign_batches(cache.misses(looked_up, ["repo_key", "seq", "key"]), batch_size)
-    return Plan(None, None, cache.hits(looked_up), batched, batching.metadata_requests(batched))
+    entries = cache.readable_entries(response_cache, asof, retry_errors=retry_errors)
+    hits, misses = _cache_split(keyed, entries)
+    batched = checkpointed(batching.assign_batches(misses, batch_size))
+    return Plan(None, None, hits, batched, batching.metadata_requests(batched))
 
 
 def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str) -> DataFrame:
@@ -250,18 +269,16 @@ def plan_history(
     retry_errors: bool = False,
 ) -> Plan:
     pending = state.files_without_history(store.read("files"), store.read("file_history"))
-    wanted = state.parsed_files(pending).withColumn(
-        "key", keys.history_key(F.col("owner"), F.col("repo"), F.col("path"))
-    )
-    columns = ["url", "owner", "repo", "ref", "path", "seq", "key"]
-    looked_up = checkpointed(
-        cache.lookup(wanted.select(*columns), response_cache, asof, retry_errors=retry_errors)
-    )
-    aliased = batching.assign_aliases(batching.assign_batches(cache.misses(looked_up, columns), batch_size))
+    parsed = state.parsed_files(pending)
+    key = keys.history_key(F.col("owner"), F.col("repo"), F.col("path"))
+    wanted = parsed.select(*PLACE, "seq", key.alias("key"))
+    entries = cache.readable_entries(response_cache, asof, retry_errors=retry_errors)
+    hits, misses = _cache_split(wanted, entries)
+    aliased = checkpointed(batching.assign_aliases(batching.assign_batches(misses, batch_size)))
     return Plan(
         rejected=state.rejected_files(pending).select("url"),
         skipped=None,
-        hits=cache.hits(looked_up),
+        hits=hits,
         open_items=aliased,
         requests=batching.history_requests(aliased),
     )

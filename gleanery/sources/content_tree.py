@@ -60,19 +60,22 @@ def split_on_disk(parsed: DataFrame, tree: DataFrame) -> DataFrame:
     )
 
 
-def write_content_table(content: DataFrame, path: str, run: str) -> None:
-    """Fetched text of one run as Parquet; a repeated run replaces its own folder only.
+def write_content_table(content: DataFrame, path: str, run: str, stage: str = "batch") -> DataFrame:
+    """Write the handled items of one run and read them back.
 
-    Rows are ordered inside each task for good pruning. There is no repartition by
-    repository: one that holds most files would end in one task.
+    One folder per run, stage and status; a repeated run replaces its own folders only.
+    Rows stay where they are: a repartition by repository would put one that holds most
+    files into one task.
     """
+    folder = f"{path}/run={run}/stage={stage}"
     (
-        content.select("url", "owner", "repo", "ref", "path", "text")
-        .sortWithinPartitions("owner", "repo", "ref", "path")
-        .write.mode("overwrite")
+        content.write.mode("overwrite")
+        .partitionBy("status")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
-        .parquet(f"{path}/run={run}")
+        .parquet(folder)
     )
+    schema = content.schema
+    return content.sparkSession.read.schema(schema).parquet(folder)
 
 
 def _write_one(base: str, rel_path: str, text: str) -> str:

@@ -97,8 +97,10 @@ def cached(spark):
 def test_cache_lookup(spark, flags, found):
     asked = spark.createDataFrame([(k,) for k in "abcde"], "key string")
     got = cache.lookup(asked, cached(spark), ASOF, **flags)
-    assert "".join(sorted(r.key for r in cache.hits(got).collect())) == found
-    assert cache.misses(got, ["key"]).count() == 5 - len(found)
+    assert "".join(sorted(r.key for r in got.filter("is_hit").collect())) == found
+    entries = cache.readable_entries(cached(spark), ASOF, **flags)
+    assert "".join(sorted(r.key for r in cache.hits(asked, entries).collect())) == found
+    assert cache.misses(asked, entries).count() == 5 - len(found)
 
 
 def test_cache_write_replaces(spark):

@@ -1,6 +1,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from gleanery.operators import responses, state
 from gleanery.sources import content_tree, landed
 from gleanery.streaming.ingest import ingest_pages, ingested_files
@@ -60,7 +62,7 @@ def test_missing_tree_is_empty(spark, tmp_path):
 
 def test_content_table_run_is_repeatable(spark, tmp_path):
     path = str(tmp_path / "content")
-    content = spark.createDataFrame([("u", "o", "r", "m", "p", "t")], CONTENT)
+    content = spark.createDataFrame([("u", "o", "r", "m", "p", "t")], CONTENT).withColumn("status", F.lit("fetched"))
     for run in ("first", "first", "second"):
         content_tree.write_content_table(content, path, run)
     assert spark.read.parquet(path).groupBy("run").count().filter("count = 1").count() == 2
