@@ -8,16 +8,17 @@ from ..plans import jobs
 from ..sources.state_store import StateStore
 from ..streaming.ingest import ingest_pages, ingested_files
 from . import scenario
+from ..session import shared_folder
 from .registry import query
 from .response_queries import ANSWERED, ASOF, CONTENT_ERROR, FRESH, _batched, landed_pages
 from .scan_queries import CLAIMED, LIMITS, OVERLAP, _fetched, _walk
-from .scenario import FAILED_BATCH, MISSING_REF, MISSING_REPO, scratch, view, with_views
+from .scenario import FAILED_BATCH, MISSING_REF, MISSING_REPO, view, with_views
 from .state_queries import METADATA, PARSED, REPOS
 
 
 def _store(spark, sf) -> StateStore:
     """A new state that already holds the scenario's files."""
-    store = StateStore(spark, scratch(spark))
+    store = StateStore(spark, shared_folder(spark))
     store.create()
     store.append("files", view(spark, sf, "files"))
     return store
@@ -29,7 +30,7 @@ def _store(spark, sf) -> StateStore:
     FROM found JOIN files f ON f.seq = item_seq""")
 def _(spark, sf):
     """Scan twice: the second run finds every query finished and changes nothing."""
-    store = StateStore(spark, scratch(spark))
+    store = StateStore(spark, shared_folder(spark))
     store.create()
     items = view(spark, sf, "files").select("seq", "query", "url", "sha", "size_bytes")
     for _ in range(2):
@@ -121,7 +122,7 @@ def _(spark, sf):
 @query("resumable_ingest", f"{with_views('files')} SELECT url, sha FROM files")
 def _(spark, sf):
     """Land the pages, take them in, land them again with a restart: nothing is added twice."""
-    base = scratch(spark)
+    base = shared_folder(spark)
     pages = landed_pages(spark, sf)
     for _ in range(2):
         pages.write.mode("append").json(f"{base}/landed")

@@ -6,6 +6,7 @@ from ..functions import keys
 from ..operators import audit, batching, cache, responses, state
 from ..operators.ordering import first_n
 from ..sources import landed
+from ..session import shared_folder
 from .registry import query
 from .scenario import (
     FAILED_BATCH,
@@ -13,7 +14,6 @@ from .scenario import (
     MISSING_REPO,
     content_bodies,
     history_bodies,
-    scratch,
     table,
     view,
     with_views,
@@ -283,7 +283,7 @@ def landed_pages(spark, sf):
     FROM page_attempts""")
 def _(spark, sf):
     """Write the pages as JSON lines and read them back with the declared schema."""
-    path = scratch(spark)
+    path = shared_folder(spark)
     landed_pages(spark, sf).write.json(path)
     return responses.search_items(landed.read_search_pages(spark, path))
 

@@ -7,15 +7,12 @@ label), where the scenario itself needs two collections that differ.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as text_functions
 from ..operators.batching import file_alias, ref_alias, repo_alias
 from ..operators.ordering import first_n
-from ..session import ensure_checkpoint_dir
 
 TABLES = ("documents", "labels", "events", "conversations", "pages", "benchmark")
 
@@ -160,12 +157,6 @@ def with_views(*names: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + parts
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-
-
 # --- answers of the service ----------------------------------------------------------------
 
 # Repositories, refs and batches the service fails on, as conditions both sides can read.

@@ -7,8 +7,9 @@ from ..operators import audit, state
 from ..operators.ordering import first_n
 from ..sources import content_tree
 from ..sources.state_store import StateStore
+from ..session import shared_folder
 from .registry import query
-from .scenario import scratch, table, view, with_views
+from .scenario import table, view, with_views
 
 PARSED = """parsed AS (
     SELECT seq, url, sha, size_bytes, query, lang, text, seg[1] AS owner, seg[2] AS repo, seg[4] AS ref,
@@ -45,7 +46,7 @@ def _(spark, sf):
 @query("create_state")
 def _(spark, sf):
     """Create the tables, put the scenario's files in, create again: nothing is lost."""
-    store = StateStore(spark, scratch(spark))
+    store = StateStore(spark, shared_folder(spark))
     store.create()
     store.append("files", view(spark, sf, "files"))
     store.create()
@@ -147,7 +148,9 @@ def _(spark, sf):
            left(sha256('file_history|{{"owner": "' || owner || '", "path": "' || path || '", "repo": "'
                        || repo || '"}}'), 16) AS history_key,
            left(sha256('repo_metadata|{{"repo_key": "' || owner || '/' || repo || '"}}'), 16) AS metadata_key,
-           left(sha256('search/code|{{"page": 1, "per_page": 100, "q": "' || query || '"}}'), 16) AS search_key
+           left(sha256('search/code|{{"page": 1, "per_page": 100, "q": "' || query || '"}}'), 16) AS search_key,
+           left(sha256('graphql|{{"query": "{{ repository(name: \\"' || repo || '\\") }}", "variables": {{}}}}'), 16)
+               AS batch_key
     FROM parsed""")
 def _(spark, sf):
     parsed = state.parsed_files(view(spark, sf, "files"))
@@ -158,6 +161,7 @@ def _(spark, sf):
         keys.history_key(owner, repo, path).alias("history_key"),
         keys.metadata_key(F.concat_ws("/", owner, repo)).alias("metadata_key"),
         keys.search_key(F.col("query"), F.lit(100), F.lit(1)).alias("search_key"),
+        keys.batch_key(F.concat(F.lit('{ repository(name: "'), repo, F.lit('") }'))).alias("batch_key"),
     )
 
 
@@ -183,8 +187,10 @@ def _(spark, sf):
     pairs AS (SELECT page_id, split_part(arg, '=', 1) AS k, no,
                      CASE WHEN strpos(arg, '=') > 0 THEN substr(arg, strpos(arg, '=') + 1) ELSE '' END AS v FROM args),
     last_pairs AS (SELECT page_id, k, arg_max(v, no) AS v FROM pairs GROUP BY page_id, k),
-    joined AS (SELECT page_id, string_agg(k || '=' || v, '&' ORDER BY k) AS params FROM last_pairs GROUP BY page_id)
-    SELECT p.page_id, CASE WHEN starts_with(p.endpoint, '/') THEN p.endpoint ELSE '/' || p.endpoint END AS endpoint,
+    joined AS (SELECT page_id, string_agg(k || '=' || v, '&' ORDER BY k) AS params,
+                      string_agg('"' || k || '": "' || v || '"', ', ' ORDER BY k) AS json
+               FROM last_pairs GROUP BY page_id)
+    SELECT left(sha256(p.endpoint || '|{' || coalesce(j.json, '') || '}'), 16) AS call_key, p.page_id, CASE WHEN starts_with(p.endpoint, '/') THEN p.endpoint ELSE '/' || p.endpoint END AS endpoint,
            coalesce(j.params, '') AS params
     FROM parts p LEFT JOIN joined j ON p.page_id = j.page_id""")
 def _(spark, sf):
@@ -193,11 +199,16 @@ def _(spark, sf):
     args = F.when(F.size(halves) > 1, F.split(F.get(halves, 1), "&")).otherwise(F.array().cast("array<string>"))
     calls = table(spark, sf, "pages").select(
         "page_id",
-        urls.rooted_endpoint(F.regexp_replace(F.get(halves, 0), "^[a-z]+://", "")).alias("endpoint"),
+        F.regexp_replace(F.get(halves, 0), "^[a-z]+://", "").alias("typed"),
         urls.params_map(args).alias("params"),
     )
     entry = F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    return calls.select("page_id", "endpoint", F.array_join(entry, "&").alias("params"))
+    return calls.select(
+        "page_id",
+        urls.rooted_endpoint(F.col("typed")).alias("endpoint"),
+        F.array_join(entry, "&").alias("params"),
+        keys.call_key(F.col("typed"), F.col("params")).alias("call_key"),
+    )
 
 
 @query("files_without_content", f"{with_views('content_status')} SELECT url, seq FROM files f "
@@ -320,7 +331,7 @@ def _(spark, sf):
        "AS rel_path FROM parsed")
 def _(spark, sf):
     """Write every file into a new tree, then list the tree."""
-    base = scratch(spark).removeprefix("file:")
+    base = shared_folder(spark).removeprefix("file:")
     written = content_tree.export_tree(state.parsed_files(view(spark, sf, "files")), base)
     written.write.format("noop").mode("overwrite").save()
     return content_tree.list_tree(spark, base)
@@ -329,7 +340,7 @@ def _(spark, sf):
 @query("content_sink", f"{FILES}, {PARSED} SELECT url, owner, repo, ref, path, text FROM parsed")
 def _(spark, sf):
     """Write the content table twice under one run id; the second write replaces the first."""
-    path = scratch(spark)
+    path = shared_folder(spark)
     content = state.parsed_files(view(spark, sf, "files")).withColumn("status", F.lit("fetched"))
     for _ in range(2):
         written = content_tree.write_content_table(content, path, "first")
@@ -345,7 +356,7 @@ def _(spark, sf):
     from .response_queries import stored_metadata
 
     columns = stored_metadata(spark, sf).select("repo_key", "stars", "language", "topics", "license")
-    path = scratch(spark)
+    path = shared_folder(spark)
     content_tree.export_json(columns, path)
     return spark.read.text(path)
 

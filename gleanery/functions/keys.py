@@ -35,24 +35,49 @@ def json_string(value: Column) -> Column:
     return F.concat(F.lit('"'), F.when(special, spelled).otherwise(value), F.lit('"'))
 
 
-def sorted_json(params: dict[str, Column], numeric: tuple[str, ...] = ()) -> Column:
-    """One-level JSON object with sorted keys, ", " and ": " separators and explicit nulls."""
+def sorted_json(params: dict[str, Column], verbatim: tuple[str, ...] = ()) -> Column:
+    """JSON object with sorted keys, ", " and ": " separators and explicit nulls.
+
+    Values are text, but for the names in verbatim: those are numbers or ready JSON.
+    """
     if not params:
         return F.lit("{}")
     pieces = []
     for name in sorted(params):
         value = params[name]
-        shown = value.cast("string") if name in numeric else json_string(value)
+        shown = value.cast("string") if name in verbatim else json_string(value)
         lead = ("{" if not pieces else ", ") + f'"{name}": '
         pieces += [F.lit(lead), F.coalesce(shown, F.lit("null"))]
     return F.concat(*pieces, F.lit("}"))
 
 
-def request_key(endpoint: str | Column, params: dict[str, Column], numeric: tuple[str, ...] = ()) -> Column:
+def map_json(params: Column) -> Column:
+    """The same for a map of text, whose keys differ from row to row."""
+    entries = F.array_sort(F.map_entries(params))
+    shown = F.transform(
+        entries, lambda e: F.concat(json_string(e["key"]), F.lit(": "), json_string(e["value"]))
+    )
+    return F.concat(F.lit("{"), F.array_join(shown, ", "), F.lit("}"))
+
+
+def _digest(endpoint: Column, params: Column) -> Column:
+    return F.left(F.sha2(F.concat(endpoint, F.lit("|"), params), 256), F.lit(KEY_LENGTH))
+
+
+def request_key(endpoint: str, params: dict[str, Column], verbatim: tuple[str, ...] = ()) -> Column:
     """Key under which the answer to a request is cached."""
-    place = F.lit(endpoint) if isinstance(endpoint, str) else endpoint
-    raw = F.concat(place, F.lit("|"), sorted_json(params, numeric))
-    return F.left(F.sha2(raw, 256), F.lit(KEY_LENGTH))
+    return _digest(F.lit(endpoint), sorted_json(params, verbatim))
+
+
+def call_key(endpoint: Column, params: Column) -> Column:
+    """Key of a free call. The endpoint counts as typed, with or without a leading slash."""
+    return _digest(endpoint, map_json(params))
+
+
+def batch_key(request: Column, variables: Column | None = None) -> Column:
+    """Key of a batched request; variables are ready JSON, an empty object by default."""
+    given = F.lit("{}") if variables is None else variables
+    return request_key("graphql", {"query": request, "variables": given}, verbatim=("variables",))
 
 
 def content_key(owner: Column, repo: Column, ref: Column, path: Column) -> Column:
@@ -70,5 +95,5 @@ def metadata_key(repo_key: Column) -> Column:
 
 def search_key(query: Column, per_page: Column, page: Column) -> Column:
     return request_key(
-        "search/code", {"q": query, "per_page": per_page, "page": page}, numeric=("per_page", "page")
+        "search/code", {"q": query, "per_page": per_page, "page": page}, verbatim=("per_page", "page")
     )

@@ -1,9 +1,10 @@
-"""Session defaults and the shared checkpoint folder."""
+"""Session defaults and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,20 +25,26 @@ def build_session(app_name: str = "gleanery", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; fall back to a temporary one in local mode only."""
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one the cluster names in spark.checkpoint.dir.
+
+    Where that is unset, local mode (tests) takes a temporary folder for the session.
+    """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = os.path.join(tempfile.mkdtemp(prefix="run-"), "checkpoints")
-    sc.setCheckpointDir(shared)
+        sc.setCheckpointDir(os.path.join(tempfile.mkdtemp(prefix="run-"), "checkpoints"))
+        shared = sc.getCheckpointDir()
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write df once and go on from the written copy (survives lost executors)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write df once as a table in the shared folder and go on from there.
+
+    The copy survives lost executors, is read by column, and has a known size for AQE.
+    """
+    folder = shared_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

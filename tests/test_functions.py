@@ -89,6 +89,24 @@ def test_request_key_matches_json(spark, values):
         assert row.k == hashlib.sha256(f"contents|{text_form}".encode()).hexdigest()[:16]
 
 
+def test_free_and_batched_call_keys(spark):
+    def digest(endpoint, params):
+        return hashlib.sha256(f"{endpoint}|{json.dumps(params, sort_keys=True)}".encode()).hexdigest()[:16]
+
+    params = {"q": 'a "b" é', "per_page": "10", "a": ""}
+    df = spark.createDataFrame([("repos/x", params)], "e string, p map<string,string>")
+    got = df.select(
+        keys.call_key(F.col("e"), F.col("p")).alias("call"),
+        keys.call_key(F.concat(F.lit("/"), F.col("e")), F.create_map().cast("map<string,string>")).alias("bare"),
+        keys.batch_key(F.lit('query {\n  x(a: "b")\n}')).alias("batch"),
+        keys.batch_key(F.lit("q"), F.lit('{"n": 1}')).alias("bound"),
+    ).first()
+    assert got.call == digest("repos/x", params)
+    assert got.bare == digest("/repos/x", {})
+    assert got.batch == digest("graphql", {"query": 'query {\n  x(a: "b")\n}', "variables": {}})
+    assert got.bound == digest("graphql", {"query": "q", "variables": {"n": 1}})
+
+
 @pytest.mark.parametrize(
     "content",
     [
