@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, ranges, scan, state
 from ..plans import jobs
+from ..session import checkpointed
 from .registry import query
 from .scenario import table, view, with_views
 
@@ -65,6 +66,11 @@ def _claimed_plan(spark, sf):
     return scan.scan_plan(_items(spark, sf), view(spark, sf, "estimates"), limits=LIMITS)
 
 
+def _fetched_items(plan, items):
+    """As in the job: the plan is written out, so the walk runs once."""
+    return scan.fetched_items(checkpointed(plan), items, LIMITS)
+
+
 @query("size_histogram", f"""{with_views('files')},
     counts AS (SELECT query, size_bytes AS size, count(*) AS n FROM files
                WHERE size_bytes BETWEEN 0 AND 1000000 GROUP BY query, size_bytes)
@@ -96,20 +102,20 @@ COARSE = "CAST(floor(size_bytes / 100.0) AS BIGINT)"
     {_fetched(COARSE)} SELECT query, lo, seq, url FROM fetched WHERE lo = hi""")
 def _(spark, sf):
     items = _items(spark, sf).withColumn("size_bytes", F.expr(COARSE))
-    fetched = scan.fetched_items(scan.scan_plan(items, limits=LIMITS), items, LIMITS)
+    fetched = _fetched_items(scan.scan_plan(items, limits=LIMITS), items)
     return fetched.filter("lo = hi").select("query", "lo", "seq", "url")
 
 
 @query("scan_hits", f"""{with_views('estimates', recursive=True)}, {_walk(CLAIMED)}, {_fetched()}
     SELECT url, query || ' size:' || lo || '..' || hi AS query, lo AS size_min, hi AS size_max FROM fetched""")
 def _(spark, sf):
-    return scan.scan_hits(scan.fetched_items(_claimed_plan(spark, sf), _items(spark, sf), LIMITS))
+    return scan.scan_hits(_fetched_items(_claimed_plan(spark, sf), _items(spark, sf)))
 
 
 @query("scan_collect", f"""{with_views('estimates', recursive=True)}, {_walk(CLAIMED)}, {_fetched()}
     SELECT query, step, seq, url, sha FROM fetched WHERE action = 'collect'""")
 def _(spark, sf):
-    fetched = scan.fetched_items(_claimed_plan(spark, sf), _items(spark, sf), LIMITS)
+    fetched = _fetched_items(_claimed_plan(spark, sf), _items(spark, sf))
     return scan.scan_collected(fetched).select("query", "step", "seq", "url", "sha")
 
 

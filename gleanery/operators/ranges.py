@@ -77,15 +77,13 @@ def assign_ranges(
     value: str,
     lo: str,
     hi: str,
-    values: DataFrame | None = None,
 ) -> DataFrame:
     """Every item with each range that holds its value.
 
-    The range join runs on the distinct values only (taken from `values` where that is
-    cheaper to read than items); items then meet their ranges by equality. A value shared by
-    very many items makes a hot join key on the item side alone, which AQE splits, as the
-    other side holds one row per range.
+    The range join runs on the distinct values only; items then meet their ranges by
+    equality. A value shared by very many items makes a hot join key on the item side alone,
+    which AQE splits, as the other side holds one row per range.
     """
-    distinct_values = (items if values is None else values).select(*keys, value).distinct()
+    distinct_values = items.select(*keys, value).distinct()
     placed = join_in_range(distinct_values, ranges, keys, value, lo, hi)
     return items.join(placed, [*keys, value])

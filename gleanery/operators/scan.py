@@ -156,16 +156,18 @@ def scan_plan(
 def fetched_items(plan: DataFrame, items: DataFrame, limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
     """Items every range request returned: the first `cap` of the range in item order.
 
-    An item behind `cap` others of its own size is behind them in every range, so it is
-    dropped first. That keeps a size shared by very many items from becoming a hot join key.
+    Only requests whose result reached the cap need an order; the others return all their
+    items as they come out of the join. A size shared by very many items is cut by every
+    task before the ranking shuffle, and AQE splits it in the join.
     """
     asked = plan.filter(F.col("action").isin("overflow", "collect")).select(
-        "query", "step", "lo", "hi", "action"
+        "query", "step", "lo", "hi", "action", (F.col("got") >= limits.cap).alias("_full")
     )
     on_axis = items.filter(F.col("size_bytes").between(0, limits.max_size))
-    reachable = first_n(on_axis, ["query", "size_bytes"], ["seq", "url"], limits.cap)
-    returned = assign_ranges(reachable, asked, ["query"], "size_bytes", "lo", "hi", values=on_axis)
-    return first_n(returned, ["query", "step"], ["seq", "url"], limits.cap)
+    returned = assign_ranges(on_axis, asked, ["query"], "size_bytes", "lo", "hi")
+    whole = returned.filter(~F.col("_full"))
+    cut = first_n(returned.filter("_full"), ["query", "step"], ["seq", "url"], limits.cap)
+    return whole.unionByName(cut).drop("_full")
 
 
 def scan_hits(fetched: DataFrame) -> DataFrame:

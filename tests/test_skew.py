@@ -57,7 +57,7 @@ def test_hot_size_is_cut_before_the_scan_joins_it(spark, items, plan_of):
     limits = ScanLimits(cap=1000, first_chunk=10_000)
     plan = scan.scan_plan(items, limits=limits)
     fetched = scan.fetched_items(plan, items, limits)
-    assert plan_of(fetched, "simple").count("WindowGroupLimit") == 4
+    assert plan_of(fetched, "simple").count("WindowGroupLimit") == 2
     per_query = {r.query: r.n for r in scan.scan_collected(fetched).groupBy("query").agg(F.count("*").alias("n")).collect()}
     assert per_query["hot"] == 1000
     assert sum(n for q, n in per_query.items() if q != "hot") == N - N // 3
