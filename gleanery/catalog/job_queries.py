@@ -79,7 +79,7 @@ def _(spark, sf):
 
 
 @query("job_metadata", f"""{with_views('repo_bodies')}, {REPOS}, {METADATA}
-    SELECT repo_key, stars, forks, watchers, language, topics, default_branch FROM repo_metadata
+    SELECT repo_key, stars, forks, coalesce(watchers, -1) AS watchers, language, topics, default_branch FROM repo_metadata
     WHERE repo_key IN (SELECT repo_key FROM repo_files)""")
 def _(spark, sf):
     store = _store(spark, sf)
@@ -87,7 +87,13 @@ def _(spark, sf):
     plan = jobs.plan_metadata(store, nothing, ASOF)
     jobs.record_metadata(store, plan, scenario.metadata_bodies(plan.open_items, view(spark, sf, "repo_bodies")), ASOF)
     return store.read("repo_metadata").select(
-        "repo_key", "stars", "forks", "watchers", "language", F.array_join("topics", ",").alias("topics"), "default_branch"
+        "repo_key",
+        "stars",
+        "forks",
+        F.coalesce("watchers", F.lit(-1).cast("bigint")).alias("watchers"),
+        "language",
+        F.array_join("topics", ",").alias("topics"),
+        "default_branch",
     )
 
 

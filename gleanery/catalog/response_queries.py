@@ -239,10 +239,13 @@ def stored_metadata(spark, sf):
     return answered.filter("repo_found").select("repo_key", "seq", *responses.metadata_columns(repo))
 
 
-@query("flatten_metadata", f"{with_views('repo_bodies')}, {METADATA} SELECT repo_key, stars, forks, watchers, language, "
+@query("flatten_metadata", f"{with_views('repo_bodies')}, {METADATA} SELECT repo_key, stars, forks, coalesce(watchers, -1) AS watchers, language, "
        "topics, created_at, updated_at, pushed_at, default_branch, license, description FROM repo_metadata")
 def _(spark, sf):
-    return responses.flatten_metadata(metadata_rows(spark, sf)).withColumn("topics", F.array_join("topics", ","))
+    flat = responses.flatten_metadata(metadata_rows(spark, sf))
+    return flat.withColumn("topics", F.array_join("topics", ",")).withColumn(
+        "watchers", F.coalesce("watchers", F.lit(-1).cast("bigint"))
+    )
 
 
 @query("classify_metadata", f"{with_views('repo_bodies')}, {METADATA} SELECT repo_key, "
@@ -419,7 +422,7 @@ def _(spark, sf):
 
 
 @query("envelope", f"""{with_views('request_log')}
-    SELECT request_id, status, CASE WHEN body = '' THEN NULL ELSE CAST(body ->> '$.k' AS BIGINT) END AS k,
+    SELECT request_id, status, CASE WHEN body = '' THEN -1 ELSE CAST(body ->> '$.k' AS BIGINT) END AS k,
            CASE WHEN body = '' THEN '{{}}' ELSE replace(body, ' ', '') END AS body, retry_after AS etag,
            CAST(NULL AS VARCHAR) AS link FROM request_log""")
 def _(spark, sf):
@@ -428,7 +431,7 @@ def _(spark, sf):
     )
     kept = responses.envelope(log)
     return kept.select(
-        "request_id", "status", F.variant_get("body", "$.k", "bigint").alias("k"), F.to_json("body").alias("body"),
+        "request_id", "status", F.coalesce(F.variant_get("body", "$.k", "bigint"), F.lit(-1)).alias("k"), F.to_json("body").alias("body"),
         "etag", "link",
     )
 

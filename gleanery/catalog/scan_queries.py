@@ -66,6 +66,14 @@ def _claimed_plan(spark, sf):
     return scan.scan_plan(_items(spark, sf), view(spark, sf, "estimates"), limits=LIMITS)
 
 
+# Ranges not fetched show -1 results.
+PLAN_ROWS = "SELECT query, step, lo, hi, est, coalesce(got, -1) AS got, action FROM plan"
+
+
+def _shown(plan):
+    return plan.withColumn("got", F.coalesce("got", F.lit(-1).cast("bigint")))
+
+
 def _fetched_items(plan, items):
     """As in the job: the plan is written out, so the walk runs once."""
     return scan.fetched_items(checkpointed(plan), items, LIMITS)
@@ -84,14 +92,14 @@ def _(spark, sf):
     return scan.reported_totals(_items(spark, sf))
 
 
-@query("scan_plan", f"{with_views('files', recursive=True)}, {_walk(TRUE_COUNTS)} SELECT * FROM plan")
+@query("scan_plan", f"{with_views('files', recursive=True)}, {_walk(TRUE_COUNTS)} {PLAN_ROWS}")
 def _(spark, sf):
-    return scan.scan_plan(_items(spark, sf), limits=LIMITS)
+    return _shown(scan.scan_plan(_items(spark, sf), limits=LIMITS))
 
 
-@query("scan_overflow", f"{with_views('estimates', recursive=True)}, {_walk(CLAIMED)} SELECT * FROM plan")
+@query("scan_overflow", f"{with_views('estimates', recursive=True)}, {_walk(CLAIMED)} {PLAN_ROWS}")
 def _(spark, sf):
-    return _claimed_plan(spark, sf)
+    return _shown(_claimed_plan(spark, sf))
 
 
 # Sizes in hundreds of bytes: then many files share one size, and single sizes are over the cap.
@@ -123,7 +131,7 @@ RESUMED = """SELECT query, CAST(CASE WHEN min(size_bytes) % 2 = 0 THEN 1000 ELSE
     FROM files GROUP BY query HAVING query NOT LIKE '%5'"""
 
 
-@query("scan_resume", f"{with_views('files', recursive=True)}, {_walk(TRUE_COUNTS, RESUMED)} SELECT * FROM plan")
+@query("scan_resume", f"{with_views('files', recursive=True)}, {_walk(TRUE_COUNTS, RESUMED)} {PLAN_ROWS}")
 def _(spark, sf):
     """Searches ending in 5 are finished; some others go on from size 1000."""
     items = _items(spark, sf)
@@ -133,7 +141,7 @@ def _(spark, sf):
         F.lit(1000).alias("last_lo"),
         F.when(F.col("query").like("%5"), F.lit("2024-01-01").cast("timestamp")).alias("completed_at"),
     )
-    return scan.scan_plan(items, scans=scan.open_scans(items, progress), limits=LIMITS)
+    return _shown(scan.scan_plan(items, scans=scan.open_scans(items, progress), limits=LIMITS))
 
 
 @query("assign_ranges", f"""{with_views('files', recursive=True)}, {_walk(TRUE_COUNTS)}

@@ -43,7 +43,7 @@ def _(spark, sf):
     return state.scan_files(view(spark, sf, "files"))
 
 
-@query("create_state")
+@query("create_state", f"{FILES} SELECT url, sha, size_bytes, seq FROM files")
 def _(spark, sf):
     """Create the tables, put the scenario's files in, create again: nothing is lost."""
     store = StateStore(spark, shared_folder(spark))
@@ -266,7 +266,7 @@ def _(spark, sf):
                        seq, stars, description FROM repo_metadata),
     latest AS (SELECT repo_key, arg_max(stars, seq) AS stars, arg_max(description, seq) AS description
                FROM updates GROUP BY repo_key)
-    SELECT repo_key, stars, CAST(NULL AS BIGINT) AS forks, '' AS topics, description FROM latest
+    SELECT repo_key, stars, -1 AS forks, '' AS topics, description FROM latest
     UNION ALL SELECT repo_key, stars, forks, topics, description FROM repo_metadata
     WHERE repo_key NOT IN (SELECT repo_key FROM latest)""")
 def _(spark, sf):
@@ -279,7 +279,11 @@ def _(spark, sf):
     updates = current.select(F.concat_ws("/", owner, name).alias("repo_key"), "seq", "stars", "description")
     stored = current.drop("seq")
     return state.upsert_metadata(stored, updates).select(
-        "repo_key", "stars", "forks", F.array_join("topics", ",").alias("topics"), "description"
+        "repo_key",
+        "stars",
+        F.coalesce("forks", F.lit(-1)).alias("forks"),
+        F.array_join("topics", ",").alias("topics"),
+        "description",
     )
 
 

@@ -17,6 +17,13 @@ MARKUP = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))
 CELL_BAR = ("|", "&#124;")
 
 
+def _without(text: Column, *pieces: str) -> Column:
+    """Text without the given pieces; a byte search, far faster than a per-character one."""
+    for piece in pieces:
+        text = F.replace(text, F.lit(piece), F.lit(""))
+    return text
+
+
 def _whole_base64(digits: Column) -> Column:
     """Bytes of complete groups of four digits, else NULL."""
     return F.try_to_binary(F.when(F.char_length(digits) % 4 == 0, digits), F.lit("base64"))
@@ -25,14 +32,14 @@ def _whole_base64(digits: Column) -> Column:
 def decoded_text(content: Column) -> Column:
     """Base64 content as text, U+FFFD in place of broken bytes; NULL when not base64."""
     # Most content has line breaks at most; other foreign characters take the slower path.
-    plain = _whole_base64(F.translate(content, "\r\n", ""))
+    plain = _whole_base64(_without(content, "\n", "\r"))
     cleaned = _whole_base64(F.regexp_replace(content, "[^A-Za-z0-9+/=]", ""))
     return F.make_valid_utf8(F.coalesce(plain, cleaned).cast("string"))
 
 
 def encoded_text(text: Column) -> Column:
     """Text as base64 of its UTF-8 bytes, on one line."""
-    return F.translate(F.base64(F.encode(text, "UTF-8")), "\r\n", "")
+    return _without(F.base64(F.encode(text, "UTF-8")), "\r\n")
 
 
 def clipped_text(text: Column, limit: int = CLIP_LENGTH) -> Column:

@@ -239,7 +239,9 @@ def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str
         ),
     )
     fresh = responses.flatten_metadata(answered)
-    known = cached.filter(F.col("error").isNull()).select(
+    # An empty cached object is neither stored nor an error.
+    filled = F.coalesce(F.size(F.json_object_keys("body")) > 0, F.lit(False))
+    known = cached.filter(F.col("error").isNull() & filled).select(
         "repo_key", *[F.col(f"_stored.{c}").alias(c) for c in stored_columns]
     )
     updates = (
@@ -247,11 +249,11 @@ def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str
         .withColumn("fetched_at", F.lit(asof).cast("timestamp"))
         .withColumn("seq", F.lit(0))
     )
-    def outcome(error):
-        return F.when(error.isNull(), "fetched").otherwise("error")
 
-    outcomes = answered.select(outcome(F.col("error")).alias("outcome"), F.lit(False).alias("is_hit")).unionByName(
-        plan.hits.select(outcome(F.col("error")).alias("outcome"), F.lit(True).alias("is_hit"))
+    fresh_outcome = F.when(F.col("error").isNull(), "fetched").otherwise("error")
+    hit_outcome = F.when(F.col("error").isNotNull(), "error").when(filled, "fetched")
+    outcomes = answered.select(fresh_outcome.alias("outcome"), F.lit(False).alias("is_hit")).unionByName(
+        plan.hits.select(hit_outcome.alias("outcome"), F.lit(True).alias("is_hit"))
     )
     counters = checkpointed(audit.outcome_counts(outcomes))
     store.replace("repo_metadata", state.upsert_metadata(store.read("repo_metadata"), updates))

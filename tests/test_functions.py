@@ -113,6 +113,9 @@ def test_free_and_batched_call_keys(spark):
         base64.b64encode(b"abc\xff\xfe\xe9x").decode(),
         base64.encodebytes(b"# Test File\n" * 20).decode(),
         "IyBUZXN0IEZpbGU=",
+        "@@YWJj@@",
+        " Y W J j ",
+        "YWJj\r\nYWJj\r\n",
         "",
         base64.b64encode(b"\xe2\x82").decode(),
         base64.b64encode(b"\xf0\x9f\x98a\xc0\x80").decode(),
