@@ -264,7 +264,7 @@ def landed_pages(spark, sf):
         F.struct(
             "sha",
             F.substring_index("url", "/", -1).alias("name"),
-            F.substring(F.col("url"), 20, 1000).alias("path"),
+            F.substring(F.col("url"), 20, 2**31 - 1).alias("path"),
             F.col("url").alias("html_url"),
             F.struct(F.col("query").alias("full_name")).alias("repository"),
         ).alias("item"),
