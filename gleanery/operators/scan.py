@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,8 @@ class ScanLimits:
 
 DEFAULT_LIMITS = ScanLimits()
 
+ACTIONS = ("empty", "stop", "narrow", "overflow", "collect")
+
 PLAN_SCHEMA = "query string, step long, lo long, hi long, est long, got long, action string"
 
 
@@ -79,13 +82,16 @@ def _walker(limits: ScanLimits):
             name: np.concatenate(([0], np.cumsum(counted[name].to_numpy(dtype=np.int64))))
             for name in ("est", "n")
         }
-        chunk, empties, steps = limits.first_chunk, 0, []
+        chunk, empties = limits.first_chunk, 0
+        # A walk may take two steps per byte size, so steps are kept as packed columns.
+        steps = {name: array("q") for name in ("lo", "hi", "est", "got")}
+        actions = array("b")
         while lo <= limits.max_size:
             hi = min(lo + chunk - 1, limits.max_size)
             left, right = np.searchsorted(sizes, (lo, hi + 1))
             est = int(totals["est"][right] - totals["est"][left])
             divisible = lo < hi
-            got = None
+            got = -1
             if est == 0:
                 empties += 1
                 action = "stop" if empties >= limits.empty_stop else "empty"
@@ -96,15 +102,21 @@ def _walker(limits: ScanLimits):
                 else:
                     got = min(int(totals["n"][right] - totals["n"][left]), limits.cap)
                     action = "overflow" if got >= limits.cap and divisible else "collect"
-            steps.append((query, len(steps), lo, hi, est, got, action))
+            for name, value in zip(steps, (lo, hi, est, got)):
+                steps[name].append(value)
+            actions.append(ACTIONS.index(action))
             if action == "stop":
                 break
             if action in ("narrow", "overflow"):
                 chunk = max(chunk // 2, 1)
             else:
                 lo, chunk = hi + 1, min(chunk * 2, limits.max_size)
-        plan = pd.DataFrame(steps, columns=["query", "step", "lo", "hi", "est", "got", "action"])
-        return plan.astype({"got": "Int64"})
+        columns = {name: np.array(values, dtype=np.int64) for name, values in steps.items()}
+        columns["got"] = pd.array(columns["got"], dtype="Int64")
+        columns["got"][columns["got"] < 0] = pd.NA
+        named = np.array(ACTIONS, dtype=object)[np.array(actions, dtype=np.int8)]
+        plan = {"query": query, "step": np.arange(len(actions)), **columns, "action": named}
+        return pd.DataFrame(plan)
 
     return walk
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from ..functions import urls
 from ..session import checkpointed
 
 RECORDS_PER_FILE = 1_000_000
+NAMES_PER_BATCH = 10_000
 
 
 def list_tree(spark: SparkSession, base: str) -> DataFrame:
@@ -26,15 +28,17 @@ def list_tree(spark: SparkSession, base: str) -> DataFrame:
     def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for folder in batch["rel_path"]:
-                try:
-                    with os.scandir(os.path.join(base, folder)) as entries:
-                        found = [
-                            (os.path.join(folder, e.name), e.is_dir(follow_symlinks=False))
-                            for e in entries
-                        ]
-                except FileNotFoundError:
-                    found = []
-                yield pd.DataFrame(found, columns=["rel_path", "is_folder"])
+                place = os.path.join(base, folder)
+                if not os.path.isdir(place):
+                    continue
+                with os.scandir(place) as entries:
+                    for some in batched(entries, NAMES_PER_BATCH):
+                        yield pd.DataFrame(
+                            {
+                                "rel_path": [os.path.join(folder, e.name) for e in some],
+                                "is_folder": [e.is_dir(follow_symlinks=False) for e in some],
+                            }
+                        )
 
     found_schema = "rel_path string, is_folder boolean"
     files = spark.createDataFrame([], "rel_path string")

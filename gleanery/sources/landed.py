@@ -9,8 +9,11 @@ from .. import schemas
 
 
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed search pages as JSON lines, with the declared schema (no inference)."""
-    return spark.read.schema(schemas.SEARCH_PAGE).json(path)
+    """Landed search pages as JSON lines, with the declared schema (no inference).
+
+    A line that is not a page counts as a page not landed yet.
+    """
+    return spark.read.schema(schemas.SEARCH_PAGE).option("mode", "DROPMALFORMED").json(path)
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:

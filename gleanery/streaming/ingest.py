@@ -34,6 +34,7 @@ def ingest_pages(
     """
     pages = (
         spark.readStream.schema(schemas.SEARCH_PAGE)
+        .option("mode", "DROPMALFORMED")
         .option("maxFilesPerTrigger", max_files)
         .json(landed)
     )

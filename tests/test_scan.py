@@ -61,6 +61,10 @@ def test_resume_starts_at_the_saved_size(spark):
     assert got[0] == (500_000, 509_999, "collect")
 
 
+def test_scan_past_the_axis_has_no_steps(spark):
+    assert plan_rows(spark, {10: 5}, start=1_000_001) == []
+
+
 def test_query_without_items_is_walked(spark):
     scans = spark.createDataFrame([("none", 0)], "query string, start_lo long")
     plan = scan.scan_plan(spark.createDataFrame([], ITEMS), None, scans, ScanLimits(first_chunk=1))

@@ -25,7 +25,7 @@ def test_search_pages(spark, tmp_path):
         {"query": "q", "per_page": 100, "page": 1, "attempt": 1, "total_count": 2, "items": [item, {**item, "html_url": "v"}]},
         {"query": "q", "per_page": 100, "page": 2, "attempt": 1, "total_count": 2, "items": []},
     ]
-    (tmp_path / "a.json").write_text("\n".join(json.dumps(p) for p in pages))
+    (tmp_path / "a.json").write_text("\n".join([*(json.dumps(p) for p in pages), '{"query": "cut off']))
     got = responses.search_items(landed.read_search_pages(spark, str(tmp_path))).orderBy("page", "item_no").collect()
     assert [(r.page, r.item_no, r.url, r.full_name) for r in got] == [(1, 0, "u", "o/r"), (1, 1, "v", "o/r"), (2, None, None, None)]
 
