@@ -6,7 +6,7 @@ from ..functions import keys
 from ..operators import audit, batching, cache, responses, state
 from ..operators.ordering import first_n
 from ..sources import landed
-from ..session import shared_folder
+from ..session import checkpointed, shared_folder
 from .registry import query
 from .scenario import (
     FAILED_BATCH,
@@ -130,8 +130,11 @@ CONTENT_ERROR = """CASE WHEN NOT batch_ok THEN 'error' WHEN NOT blob_found THEN
 
 
 def content_round_trip(spark, sf):
-    """Requests of all parsed files and the landed answers, matched again by alias."""
-    aliased = batching.assign_aliases(_content_batches(spark, sf))
+    """Requests of all parsed files and the landed answers, matched again by alias.
+
+    As in the job, the batches are written out: a request and its answer share them.
+    """
+    aliased = checkpointed(batching.assign_aliases(_content_batches(spark, sf)))
     return responses.content_answers(aliased, content_bodies(aliased, view(spark, sf, "blobs")))
 
 
@@ -198,7 +201,7 @@ def _(spark, sf):
 
 
 def history_round_trip(spark, sf):
-    aliased = batching.assign_aliases(_history_batches(spark, sf))
+    aliased = checkpointed(batching.assign_aliases(_history_batches(spark, sf)))
     return responses.history_answers(aliased, history_bodies(aliased, view(spark, sf, "commit_nodes")))
 
 

@@ -14,7 +14,14 @@ from ..functions import text as text_functions
 from ..operators.batching import file_alias, ref_alias, repo_alias
 from ..operators.ordering import first_n
 
-TABLES = ("documents", "labels", "events", "conversations", "pages", "benchmark")
+# Declared, so that no job has to look into the files first.
+TABLES = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "pages": "page_id long, url string, html string",
+}
 
 VIEWS = {
     # One file per document: other hosts, folders, upper-case hosts and stub URLs occur.
@@ -137,7 +144,7 @@ VIEWS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

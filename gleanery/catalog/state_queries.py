@@ -7,7 +7,7 @@ from ..operators import audit, state
 from ..operators.ordering import first_n
 from ..sources import content_tree
 from ..sources.state_store import StateStore
-from ..session import shared_folder
+from ..session import checkpointed, shared_folder
 from .registry import query
 from .scenario import table, view, with_views
 
@@ -231,7 +231,8 @@ def _(spark, sf):
 def _(spark, sf):
     from .response_queries import stored_metadata
 
-    return state.repos_without_metadata(view(spark, sf, "files"), stored_metadata(spark, sf))
+    stored = checkpointed(stored_metadata(spark, sf))
+    return state.repos_without_metadata(view(spark, sf, "files"), stored)
 
 
 @query("split_on_disk", f"{FILES}, {PARSED} SELECT url, owner || '/' || repo || '/blob/' || ref || '/' || path "
