@@ -10,7 +10,7 @@ from ..streaming.ingest import ingest_pages, ingested_files
 from . import scenario
 from ..session import shared_folder
 from .registry import query
-from .response_queries import ANSWERED, ASOF, CONTENT_ERROR, FRESH, _batched, landed_pages
+from .response_queries import ANSWERED, ASOF, CONTENT_ERROR, _batched, landed_pages
 from .scan_queries import CLAIMED, LIMITS, OVERLAP, _fetched, _walk
 from .scenario import FAILED_BATCH, MISSING_REF, MISSING_REPO, view, with_views
 from .state_queries import METADATA, PARSED, REPOS

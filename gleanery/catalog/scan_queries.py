@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import audit, ranges, scan, state
+from ..operators import audit, ranges, scan
+from ..operators.links import resolve_links
 from ..plans import jobs
 from ..session import checkpointed
 from .registry import query
-from .scenario import table, view, with_views
+from .scenario import view, with_views
 
 # Small limits, so that every branch of the scan occurs on the test tables.
 LIMITS = scan.ScanLimits(cap=3, first_chunk=500, max_size=1_000_000, empty_stop=10)
@@ -166,8 +167,6 @@ def _(spark, sf):
            CASE WHEN l.turn IS NULL THEN 'not_found' WHEN e.stop = 0 THEN 'resolved' ELSE 'unresolvable_symlink' END AS status
     FROM ends e LEFT JOIN links l ON l.conv_id = e.conv_id AND l.turn = e.stop""")
 def _(spark, sf):
-    from ..operators.links import resolve_links
-
     return resolve_links(view(spark, sf, "links"))
 
 

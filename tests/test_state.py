@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from gleanery.operators import audit, state
 from gleanery.operators.ordering import first_n, with_position
