@@ -41,7 +41,7 @@ caps AS (
     FROM weighted
     WINDOW earlier AS (ORDER BY cap::DOUBLE / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 level AS (
-    SELECT min((total - caps_before)::DOUBLE / (weights - weights_before)) AS level FROM caps
+    SELECT arg_min((total - caps_before)::DOUBLE / (weights - weights_before), weights_before) AS level FROM caps
     WHERE (total - caps_before)::DOUBLE / (weights - weights_before) * weight <= cap)
 SELECT doc_id, size, source_size, least(cap::DOUBLE, coalesce(level, 0) * weight) AS target
 FROM docs JOIN weighted ON docs.source IS NOT DISTINCT FROM weighted.source CROSS JOIN level"""
