@@ -53,3 +53,23 @@ def _(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op10_bpe")
+def _(spark, sf_dir):
+    from .bpe import decode_text, encode_ids, ids_digest
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = decode_text(encode_ids(docs, vocabulary_path()).drop("text"), vocabulary_path())
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        ids_digest("ids").alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
