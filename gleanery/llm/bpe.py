@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -214,7 +215,7 @@ def encode_ids(docs: DataFrame, path: str, text: str = "text", name: str = "ids"
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     @F.arrow_udf("array<int>")
-    def encode(batches):
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(shared.value)
         for texts in batches:
             ids = [i for run in _pieces(texts.to_pylist()) for i in encoder.encode(run)]
@@ -233,7 +234,7 @@ def decode_text(docs: DataFrame, path: str, ids: str = "ids", name: str = "decod
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     @F.arrow_udf("string")
-    def decode(batches):
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arrays in batches:
             flat, offsets = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
             missing = arrays.is_null().to_numpy(zero_copy_only=False)
