@@ -73,3 +73,11 @@ def _(spark, sf_dir):
         ids_digest("ids").alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_language")
+def _(spark, sf_dir):
+    from .langid import identify_folds
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_folds(docs).select("doc_id", "held_out", "lang_pred", "score")
