@@ -81,3 +81,26 @@ def _(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify_folds(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op6_pii")
+def _(spark, sf_dir):
+    from .pii import KINDS, find_spans, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_spans(docs, train(docs)).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: s["base"])
+
+    def line(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in KINDS],
+        F.sha2(line(base).cast("binary"), 256).alias("base_sha256"),
+        line(F.col("spans")).alias("spans"),
+    )
