@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import without
@@ -18,8 +18,9 @@ from .common import without
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-_CACHED_WORDS = 1 << 19  # words whose ids a task remembers; a full cache is emptied
-_BLOCK = 1 << 20  # ids decoded at a time
+_CACHED_WORDS = 1 << 18  # words whose ids a task remembers; a full cache is emptied
+_BLOCK = 1 << 18  # ids decoded at a time
+_ROWS = 1024  # documents worked on at a time
 
 
 def _byte_symbols() -> list[str]:
@@ -189,45 +190,55 @@ class Encoder:
         self.starts = np.cumsum(self.sizes) - self.sizes
 
 
-def _pieces(texts: list, limit: int = 1 << 22):
-    """Texts in runs of about `limit` characters, so that words of one run fit in memory."""
+def _pieces(texts: pa.Array, limit: int = 1 << 21) -> Iterator[list[str | None]]:
+    """The texts of a batch in runs of up to _ROWS rows and about `limit` characters.
+
+    What is made of a run at a time (words, ids, decoded text) stays small; one text is never cut.
+    """
     run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t or "")
-        if size >= limit:
+    for value in texts:
+        run.append(value.as_py())
+        size += len(run[-1] or "")
+        if size >= limit or len(run) == _ROWS:
             yield run
             run, size = [], 0
-    if run:
+    if run or not len(texts):
         yield run
 
 
-def encode_ids(docs: DataFrame, path: str, text: str = "text", name: str = "ids") -> DataFrame:
-    """docs with the token ids of the text as an ARRAY<INT>.
+def _ids_array(ids: list[np.ndarray], packed: bool) -> pa.Array:
+    if packed:
+        return pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+
+
+def encode_ids(docs: DataFrame, path: str, text: str = "text", name: str = "ids", packed: bool = False) -> DataFrame:
+    """docs with the token ids of the text: ARRAY<INT>, or packed as little-endian numbers of 32 bits.
 
     The vocabulary is read once, by the driver, from `path` and broadcast: its size is fixed.
     Each document is encoded by itself, whole. Words met before in a task are looked up, new
     ones of many documents are merged together. Strings of special tokens in a text become their
     ids. Which characters are letters is decided by the installed Unicode tables: characters that
-    Unicode added after version 15.1 may be split otherwise by another library. Null and empty texts, and texts of white space only, have no ids (an empty array).
-    Repeated rows stay. A column of docs with the new one's name is replaced.
+    Unicode added after version 15.1 may be split otherwise by another library. Null and empty
+    texts, and texts of white space only, have no ids (an empty array). Repeated rows stay. A
+    column of docs with the new one's name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("binary" if packed else "array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(shared.value)
         for texts in batches:
-            ids = [i for run in _pieces(texts.to_pylist()) for i in encoder.encode(run)]
-            offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+            for run in _pieces(texts):
+                yield _ids_array(encoder.encode(run), packed)
 
     return without(docs, [name]).withColumn(name, encode(F.col(text)))
 
 
 def decode_text(docs: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """docs with the text of the ids: the tokens with one space between, special ones too.
+    """docs with the text of an ids column (ARRAY<INT>): the tokens with one space between, special ones too.
 
     Null ids give null, no ids the empty text. A column of docs with the new one's name is replaced.
     """
@@ -236,22 +247,29 @@ def decode_text(docs: DataFrame, path: str, ids: str = "ids", name: str = "decod
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arrays in batches:
-            flat, offsets = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
-            missing = arrays.is_null().to_numpy(zero_copy_only=False)
-            texts = [None if m else shared.value.decode(flat[a:b]) for a, b, m in zip(offsets, offsets[1:], missing)]
-            yield pa.array(texts, pa.string())
+            for at in range(0, len(arrays), _ROWS):
+                part = arrays[at:at + _ROWS].to_numpy(zero_copy_only=False)
+                texts = [None if i is None else shared.value.decode(np.asarray(i, np.int64)) for i in part]
+                yield pa.array(texts, pa.string())
 
     return without(docs, [name]).withColumn(name, decode(F.col(ids)))
 
 
-def ids_digest(ids: str) -> Column:
-    """SHA-256, in hex, of the ids as little-endian unsigned numbers of 32 bits."""
+def round_trip(docs: DataFrame, path: str, text: str = "text", packed: bool = False) -> DataFrame:
+    """docs with ids, as encode_ids gives them, and decoded, the text of these ids.
 
-    @F.arrow_udf("string")
-    def digest(arrays: pa.Array) -> pa.Array:
-        from hashlib import sha256
+    Both are made in one pass, so that a task has one Python process and ids do not go to and fro.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
-        flat, offsets = arrays.values.to_numpy(zero_copy_only=False).astype("<u4"), arrays.offsets.to_numpy()
-        return pa.array([sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(offsets, offsets[1:])])
+    @F.arrow_udf(f"struct<ids {'binary' if packed else 'array<int>'}, decoded string>")
+    def transcode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(shared.value)
+        for texts in batches:
+            for run in _pieces(texts):
+                ids = encoder.encode(run)
+                decoded = pa.array([shared.value.decode(i) for i in ids], pa.string())
+                yield pa.StructArray.from_arrays([_ids_array(ids, packed), decoded], ["ids", "decoded"])
 
-    return digest(F.col(ids))
+    found = without(docs, ["ids", "decoded"]).withColumn("_found", transcode(F.col(text)))
+    return found.withColumns({"ids": F.col("_found.ids"), "decoded": F.col("_found.decoded")}).drop("_found")
