@@ -63,14 +63,13 @@ def vocabulary_path() -> str:
 
 @query("op10_bpe")
 def _(spark, sf_dir):
-    from .bpe import decode_text, encode_ids, ids_digest
+    from .bpe import round_trip
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = decode_text(encode_ids(docs, vocabulary_path()).drop("text"), vocabulary_path())
-    return encoded.select(
+    return round_trip(docs, vocabulary_path(), packed=True).select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        ids_digest("ids").alias("ids_sha256"),
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
@@ -104,3 +103,37 @@ def _(spark, sf_dir):
         F.sha2(line(base).cast("binary"), 256).alias("base_sha256"),
         line(F.col("spans")).alias("spans"),
     )
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_URL = r"^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
+_GLOB_TESTS = " OR ".join(
+    f"regexp_full_match(canonical, '{pattern}', 's')"
+    for pattern in (
+        r".*spam-farm\..*", r".*cheap-pills\..*", "[^/?]*casino[^/?]*/.*", r"[^/?]*\.xxx/.*", "[^/?]*viagra[^/?]*/.*",
+        r".*/wp-login\.php.*", ".*/cgi-bin/.*", r".*\.exe", r".*\?.*sessionid=.*",
+    )
+)
+URL_CHECK = f"""
+WITH parts AS (
+    SELECT page_id, coalesce(translate(regexp_extract(url, '{_URL}', 1, 's'), '{_UPPER}', '{_UPPER.lower()}'), '') AS host,
+           coalesce(regexp_extract(url, '{_URL}', 2, 's'), '') AS path, coalesce(regexp_extract(url, '{_URL}', 3, 's'), '') AS query
+    FROM pages),
+ruled AS (
+    SELECT *, '.' || host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical,
+           CASE WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM parts)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN {_GLOB_TESTS} THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled"""
+
+
+@query("op5_urls", URL_CHECK)
+def _(spark, sf_dir):
+    from .urls import judge
+
+    return judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
