@@ -137,3 +137,12 @@ def _(spark, sf_dir):
     from .urls import judge
 
     return judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_quality")
+def _(spark, sf_dir):
+    from .quality import BASE, quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return judged.select("doc_id", *BASE, "base_failed", "kept", "rejected_by")
