@@ -142,11 +142,11 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     less good documents rejected is taken, the loosest of equals; one that rejects no more bad
     documents than good ones is none. Strata without enough good documents get no cutoff.
 
-    Documents with several labels count once for each, and repeated ids once for each row; null
+    Documents with differing labels count once for each, and repeated ids once for each row; null
     labels do not count. Null strata are one stratum. Bins of all documents are counted on the
     executors: at most strata x rules x BINS x 2 rows are left.
     """
-    marks = labels.select(F.col(doc_id).alias("_of"), F.col(quality).alias("_quality")).filter("_quality in (0, 1)")
+    marks = labels.select(F.col(doc_id).alias("_of"), F.col(quality).alias("_quality")).filter("_quality in (0, 1)").distinct()
     base = measured.filter(~F.col("base_failed"))
     held = base.join(marks, F.col(doc_id) == F.col("_of"))
     bins = F.explode(F.array(*[

@@ -146,3 +146,12 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return judged.select("doc_id", *BASE, "base_failed", "kept", "rejected_by")
+
+
+@query("op7_toxicity")
+def _(spark, sf_dir):
+    from .toxicity import score_folds
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return score_folds(docs, labels).select("doc_id", "held_out", "score", "predicted")
