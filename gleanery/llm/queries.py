@@ -155,3 +155,11 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     return score_folds(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op2_embeddings")
+def _(spark, sf_dir):
+    from .embeddings import embedding_groups
+
+    groups = embedding_groups(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return groups.select("vec_id", "n_links", "component_id", "kept")
