@@ -163,3 +163,27 @@ def _(spark, sf_dir):
 
     groups = embedding_groups(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     return groups.select("vec_id", "n_links", "component_id", "kept")
+
+
+def _license_check() -> str:
+    from .licenses import TEMPLATES, TOKEN, WORDS, shingles_of
+
+    rows = [(name, shingle) for name, text in TEMPLATES.items() for shingle in shingles_of(text)]
+    values = ", ".join(f"('{name}', '{shingle}')" for name, shingle in rows)
+    return f"""
+WITH templates AS (SELECT * FROM (VALUES {values}) t(license, shingle)),
+sizes AS (SELECT license, count(*) AS n FROM templates GROUP BY license),
+words AS (SELECT doc_id, regexp_extract_all(lower(text), '{TOKEN}') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + {WORDS - 1}], ' ') FOR i IN range(1, len(w) - {WORDS - 2})]) AS shingle
+    FROM words)
+SELECT doc_id, license, count(*) / any_value(n) AS containment, count(*)::INT AS n_found, any_value(n)::INT AS n_shingles
+FROM shingles JOIN templates USING (shingle) JOIN sizes USING (license)
+GROUP BY doc_id, license HAVING count(*) / any_value(n) >= 0.8"""
+
+
+@query("op1_licenses", _license_check())
+def _(spark, sf_dir):
+    from .licenses import scan
+
+    return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
