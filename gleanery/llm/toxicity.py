@@ -173,7 +173,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     spark = docs.sparkSession
     marks = labels.select(F.col(doc_id).alias("_of"), F.col(label).cast("int").alias("_label")).filter("_label in (0, 1)").distinct()
     half = F.xxhash64("_of", F.lit(7)).bitwiseAND(F.lit(1)).cast("int")
-    labelled = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(marks, F.col("_id") == F.col("_of"))
+    # labels grow with the documents, so they are never broadcast: the same plan at every size
+    labelled = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
+        marks.hint("merge"), F.col("_id") == F.col("_of")
+    )
     every = _dense(_count(docs, 1, None, text), 1)[0]
     counts = _dense(_count(labelled, 4, 2 * F.col("_label") + half, "_text"), 4)
     shared = shared_model(every)
