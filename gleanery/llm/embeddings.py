@@ -99,13 +99,12 @@ def usable(embedding: str) -> Column:
 
 
 def _entries(settings: tuple[int, int, float]):
-    """(id, label, d) once for each table as a member of its cell, and once for each cell probed."""
+    """(id, key, label, d) once for each table as a member of its cell, and once for each cell probed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, Lattice] = {}
         for batch in batches:
-            ids, labels = batch.column(0).to_numpy(), batch.column(1)
-            lists = batch.column(2)
+            ids, keys, labels, lists = (*(batch.column(i).to_numpy() for i in (0, 1)), batch.column(2), batch.column(3))
             sizes = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             starts = np.cumsum(sizes) - sizes
@@ -118,9 +117,9 @@ def _entries(settings: tuple[int, int, float]):
                     who = np.concatenate([rows, np.repeat(rows, lattice.probes)])
                     probe = np.arange(len(cell)) >= len(rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[who]), labels.take(pa.array(who)), pa.array(np.full(len(who), d, np.int32)),
+                        [pa.array(ids[who]), pa.array(keys[who]), labels.take(pa.array(who)), pa.array(np.full(len(who), d, np.int32)),
                          pa.array(np.full(len(who), t, np.int32)), pa.array(cell), pa.array(probe)],
-                        ["id", "label", "d", "t", "cell", "probe"],
+                        ["id", "key", "label", "d", "t", "cell", "probe"],
                     )
 
     return run
@@ -155,11 +154,11 @@ def _compare(settings: tuple[int, int, float], least: float):
         for batch in batches:
             ends = batch.column(2).offsets.to_numpy()
             flat = batch.column(2).flatten()
-            ids, copies = flat.field("id").to_numpy(), flat.field("n").to_numpy()
+            ids, keys, copies = (flat.field(c).to_numpy() for c in ("id", "key", "n"))
             probe = flat.field("probe").to_numpy(zero_copy_only=False)
             vectors = flat.field("v").flatten().to_numpy(zero_copy_only=False)
             start = 0
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             for i, (d, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 a, b = ends[i] - ends[0], ends[i + 1] - ends[0]
                 unit = _unit(vectors[start:start + (b - a) * d], d)
@@ -183,11 +182,12 @@ def _compare(settings: tuple[int, int, float], least: float):
                 ]).astype(np.int64)
                 who = np.concatenate([own[query], own[member]])
                 root = _join(who, np.concatenate([qi, []]).astype(np.int64), mi + len(query))
-                for column, values in zip(out, (who, gained, who, root)):
+                which = np.concatenate([keys[a:b][query], keys[a:b][member]])
+                for column, values in zip(out, (who, which, gained, who, root)):
                     column.append(values)
             if out[0]:
                 arrays = [np.concatenate(c) for c in out]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], ["id", "links", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], ["id", "key", "links", "a", "b"])
 
     return run
 
@@ -206,9 +206,10 @@ def _join(who: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def lattice_links(classes: DataFrame, least: float = 0.98, tables: int = TABLES, probes: int = PROBES,
                   scale: float = SCALE) -> DataFrame:
-    """(id, links, a, b): links found for id in one place, an edge (a, b) that connects it there.
+    """(id, key, links, a, b): links found for a vector in one place, an edge (a, b) that connects it there.
 
-    classes holds id, label, v (a usable vector) and n (how many rows it stands for). With the
+    classes holds id, key (a hash that tells vectors of one id apart), label, v (a usable vector) and
+    n (how many rows it stands for). With the
     settings given, a pair at cosine 0.98 is missed by one table with a chance below 2 %, by all
     four below 1 in a million; larger collections want a larger scale (fewer vectors in a cell)
     with more tables or probes. Vectors are only sent to cells where two of them meet. A cell with
@@ -216,8 +217,8 @@ def lattice_links(classes: DataFrame, least: float = 0.98, tables: int = TABLES,
     """
     settings = (tables, probes, scale)
     entries = checkpointed(
-        classes.select("id", "label", "v").mapInArrow(
-            _entries(settings), "id bigint, label string, d int, t int, cell bigint, probe boolean"
+        classes.select("id", "key", "label", "v").mapInArrow(
+            _entries(settings), "id bigint, key bigint, label string, d int, t int, cell bigint, probe boolean"
         )
     )
     cell = ["label", "d", "t", "cell"]
@@ -231,15 +232,15 @@ def lattice_links(classes: DataFrame, least: float = 0.98, tables: int = TABLES,
     met = entries.join(checkpointed(sizes), cell)
     own = F.pmod(F.xxhash64("id"), F.when(F.col("probe"), slots("asking")).otherwise(slots("here"))).cast("int")
     others = F.sequence(F.lit(0), F.when(F.col("probe"), slots("here")).otherwise(slots("asking")) - 1)
-    placed = met.select(*cell, "id", "probe", own.alias("own"), F.explode(others).alias("other"))
+    placed = met.select(*cell, "id", "key", "probe", own.alias("own"), F.explode(others).alias("other"))
     placed = placed.select(
-        *cell, "id", "probe",
+        *cell, "id", "key", "probe",
         F.when(F.col("probe"), F.col("own")).otherwise(F.col("other")).alias("i"),
         F.when(F.col("probe"), F.col("other")).otherwise(F.col("own")).alias("j"),
     )
-    full = checkpointed(placed).join(classes.select("id", "n", "v"), "id")
-    chunks = full.groupBy(*cell, "i", "j").agg(F.collect_list(F.struct("id", "n", "probe", "v")).alias("members"))
-    return chunks.select("d", "t", "members").mapInArrow(_compare(settings, least), "id bigint, links bigint, a bigint, b bigint")
+    full = checkpointed(placed).join(classes.select("id", "key", "n", "v"), ["id", "key"])
+    chunks = full.groupBy(*cell, "i", "j").agg(F.collect_list(F.struct("id", "key", "n", "probe", "v")).alias("members"))
+    return chunks.select("d", "t", "members").mapInArrow(_compare(settings, least), "id bigint, key bigint, links bigint, a bigint, b bigint")
 
 
 def embedding_groups(vectors: DataFrame, least: float = 0.98, vec_id: str = "vec_id", embedding: str = "embedding",
@@ -255,7 +256,7 @@ def embedding_groups(vectors: DataFrame, least: float = 0.98, vec_id: str = "vec
     Null labels, and vectors that are null, empty, zero or hold nulls or non-finite components,
     link with nothing: n_links 0, component_id their own id. So do rows without an id; these have
     no component and are not kept. Vectors of different lengths are never linked. An id with
-    several vectors is one node with the links of all of them. Empty input gives no rows. Columns
+    several vectors is one node, reached over any of them; each row counts its own vector's links. Empty input gives no rows. Columns
     of vectors with the names of the added ones are replaced.
     """
     vectors = without(vectors, _ADDED)
@@ -263,12 +264,13 @@ def embedding_groups(vectors: DataFrame, least: float = 0.98, vec_id: str = "vec
     rows = vectors.filter(able).select(
         F.col(vec_id).cast("bigint").alias("id"), F.col(label).cast("string").alias("label"), F.col(embedding).alias("v")
     )
-    classes = checkpointed(rows.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("n")))
+    same = rows.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    classes = checkpointed(same.withColumn("key", F.xxhash64("label", "v")))
     found = checkpointed(lattice_links(classes, least, **settings))
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    links = found.groupBy("id", "key").agg(F.sum("links").alias("links"))
     groups = components(found.select("a", "b")).withColumnRenamed("node", "id")
     known = (
-        classes.join(links, "id", "left").join(groups, "id", "left")
+        classes.join(links, ["id", "key"], "left").join(groups, "id", "left")
         .select(F.col("label").alias("_label"), F.col("v").alias("_v"), F.coalesce("component", "id").alias("_component"),
                 (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("_links"))
     )
