@@ -24,6 +24,11 @@ def _store(spark, sf) -> StateStore:
     return store
 
 
+def _landed(plan, bodies):
+    """Answers as they land: by the key of their request."""
+    return plan.requests.select("batch_id", "request_key").join(bodies, "batch_id").select("request_key", "body")
+
+
 @query("job_collect_paths", f"""{with_views('estimates', recursive=True)}, {_walk(CLAIMED)}, {_fetched()},
     found AS (SELECT url, min(seq) AS item_seq FROM fetched WHERE action = 'collect' GROUP BY url)
     SELECT f.url, f.sha, row_number() OVER (ORDER BY item_seq) - 1 AS seq
@@ -71,7 +76,7 @@ def _(spark, sf):
     )
     plan = jobs.plan_content(store, tree, cached, ASOF)
     blobs = view(spark, sf, "blobs")
-    answers = scenario.content_bodies(plan.open_items, blobs)
+    answers = _landed(plan, scenario.content_bodies(plan.open_items, blobs))
     jobs.record_content(
         store, plan, answers, scenario.single_answers(blobs), f"{store.root}/content", "first", ASOF
     )
@@ -85,7 +90,8 @@ def _(spark, sf):
     store = _store(spark, sf)
     nothing = spark.createDataFrame([], "key string, body string, error string, cached_at timestamp")
     plan = jobs.plan_metadata(store, nothing, ASOF)
-    jobs.record_metadata(store, plan, scenario.metadata_bodies(plan.open_items, view(spark, sf, "repo_bodies")), ASOF)
+    bodies = scenario.metadata_bodies(plan.open_items, view(spark, sf, "repo_bodies"))
+    jobs.record_metadata(store, plan, _landed(plan, bodies), ASOF)
     return store.read("repo_metadata").select(
         "repo_key",
         "stars",
@@ -108,7 +114,7 @@ def _(spark, sf):
     store = _store(spark, sf)
     nothing = spark.createDataFrame([], "key string, body string, error string, cached_at timestamp")
     plan = jobs.plan_history(store, nothing, ASOF)
-    answers = scenario.history_bodies(plan.open_items, view(spark, sf, "commit_nodes"))
+    answers = _landed(plan, scenario.history_bodies(plan.open_items, view(spark, sf, "commit_nodes")))
     jobs.record_history(store, plan, answers, ASOF)
     return audit.history_summary(audit.exploded_commits(store.read("file_history")))
 

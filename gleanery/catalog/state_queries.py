@@ -344,11 +344,13 @@ def _(spark, sf):
 
 @query("content_sink", f"{FILES}, {PARSED} SELECT url, owner, repo, ref, path, text FROM parsed")
 def _(spark, sf):
-    """Write the content table twice under one run id; the second write replaces the first."""
+    """Write the content table in two runs, half of the texts each, and read both."""
     path = shared_folder(spark)
     content = state.parsed_files(view(spark, sf, "files")).withColumn("status", F.lit("fetched"))
-    for _ in range(2):
-        written = content_tree.write_content_table(content, path, "first")
+    first = content.filter(F.crc32("url") % 2 == 0)
+    runs = [first, content.join(first.select("url"), "url", "left_anti").select(*content.columns)]
+    parts = [content_tree.write_content_table(rows, path, name) for rows, name in zip(runs, ("first", "second"))]
+    written = parts[0].unionByName(parts[1])
     return written.select("url", "owner", "repo", "ref", "path", "text")
 
 

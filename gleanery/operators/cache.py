@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import last_wins
 from .state import upsert
 
 LIFETIME_DAYS = 30  # fixed value
@@ -35,16 +36,26 @@ def lookup(
     retry_errors: bool = False,
     key: str = "key",
 ) -> DataFrame:
-    """requests with is_hit and the cached columns. One equi-join; AQE picks its form by size."""
-    entries = readable_entries(cache, asof, skip_read, retry_errors).withColumn("_found", F.lit(True))
+    """requests with is_hit and the cached columns of the latest usable entry.
+
+    Entries are reduced to those asked for before bodies move.
+    """
+    entries = wanted_entries(requests, readable_entries(cache, asof, skip_read, retry_errors), key)
+    entries = entries.withColumn("_found", F.lit(True))
     shared = [c for c in entries.columns if c != key and c in requests.columns]
     joined = requests.join(entries.drop(*shared), key, "left")
     return joined.withColumn("is_hit", F.coalesce("_found", F.lit(False))).drop("_found")
 
 
 def hits(requests: DataFrame, entries: DataFrame, key: str = "key") -> DataFrame:
-    """Requests with a usable entry, and what it holds."""
-    return requests.join(entries, key)
+    """Requests with a usable entry, and what the latest one holds."""
+    return requests.join(wanted_entries(requests, entries, key), key)
+
+
+def wanted_entries(requests: DataFrame, entries: DataFrame, key: str = "key") -> DataFrame:
+    """The latest entry of each key that is asked for; of equally old ones the one with the larger body."""
+    asked = entries.join(requests.select(key), key, "left_semi")
+    return last_wins(asked, key, ["cached_at", "body"])
 
 
 def misses(requests: DataFrame, entries: DataFrame, key: str = "key") -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.urls import link_destination
 from ..session import checkpointed
 
-# Each round doubles the links already followed, so ten rounds cover chains of 1024.
-_ROUNDS = 10
+
+def _rounds(links: int) -> int:
+    """Rounds after which only cycles are left: each doubles the links followed, and no chain has more than all."""
+    return links.bit_length() + 1
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
@@ -17,8 +19,7 @@ def resolve_links(links: DataFrame) -> DataFrame:
 
     links: repo_key, path (unique together), target (NULL for a regular file, "" or an
     absolute path for a link that leaves the repository). Status is resolved, not_found
-    (the chain leaves the table), unresolvable_symlink, or too_deep (a cycle, or more than
-    1024 links).
+    (the chain leaves the table), unresolvable_symlink, or too_deep (a cycle).
 
     The full table is joined once, to see what each link's first stop is. After that only
     links take part: every round replaces the next stop of an open link by that stop's own
@@ -41,7 +42,7 @@ def resolve_links(links: DataFrame) -> DataFrame:
         .select("repo_key", "path", "next", F.when(reached != "link", reached).alias("kind"))
     )
     is_open = F.col("kind").isNull()
-    for _ in range(_ROUNDS):
+    for _ in range(_rounds(state.filter(is_open).count())):
         waiting = state.filter(is_open)
         if waiting.isEmpty():
             break

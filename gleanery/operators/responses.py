@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from .. import schemas
 from ..functions import commits, text
 from .batching import file_alias, ref_alias, repo_alias
+from .ordering import last_wins
 
 # Limits of the search service and of one page's retries.
 PAGES_PER_QUERY = 10
@@ -62,7 +63,8 @@ def usable_pages(attempts: DataFrame, page_size: int = ITEMS_PER_PAGE) -> DataFr
         .withColumn("prior", F.coalesce(F.sum("n_items").over(before), F.lit(0)))
         .withColumn("place", F.row_number().over(by_page))
     )
-    enough = F.col("prior") >= F.least(F.col("expected"), F.col("page") * page_size)
+    expected = F.coalesce("expected", F.lit(0))  # an answer without a total promises nothing
+    enough = F.col("prior") >= F.least(expected, F.col("page") * page_size)
     ends = (
         F.col("attempt").isNull()
         | (F.col("place") != F.col("page"))
@@ -115,6 +117,12 @@ def _per_item(requested: DataFrame, answers: DataFrame, body: StructType, found)
     )
 
 
+def latest_answers(answers: DataFrame) -> DataFrame:
+    """One answer per request_key: the latest by answered_at, where there is such a column, then by body."""
+    order = ["answered_at", "body"] if "answered_at" in answers.columns else ["body"]
+    return last_wins(answers, "request_key", order).select("request_key", "body")
+
+
 def content_answers(aliased: DataFrame, answers: DataFrame) -> DataFrame:
     """aliased: items with batch_id, repo_no, pos; answers: batch_id, body."""
 

@@ -80,8 +80,15 @@ def repos_without_metadata(files: DataFrame, repo_metadata: DataFrame) -> DataFr
 
 
 def new_files(files: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Incoming rows with an unknown URL, the first of each URL."""
-    return first_wins(incoming, "url", "seq").join(files.select("url"), "url", "left_anti")
+    """Incoming rows with an unknown URL, the first of each URL.
+
+    The known table is first reduced to the URLs that come in. Where these are few they are
+    broadcast and the known table is only scanned; it is never shuffled whole against a small
+    delivery. A null URL is new.
+    """
+    fresh = first_wins(incoming, "url", "seq")
+    known = files.select("url").join(fresh.select("url"), "url", "left_semi")
+    return fresh.join(known, "url", "left_anti")
 
 
 def insert_files(files: DataFrame, incoming: DataFrame) -> DataFrame:

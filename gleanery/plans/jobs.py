@@ -24,8 +24,9 @@ from ..sources.state_store import StateStore
 class Plan:
     """What a planning half found: items by fate, and the requests for the open ones.
 
-    open_items is written out, so the batches a request was made for are the same when its
-    answer is recorded.
+    open_items and requests are written out, so the batches a request was made for are the same
+    when its answer is recorded. An answer is matched by request_key, the hash of the request's
+    text: batch numbers start anew in every plan, and an older answer may still be at hand.
     """
 
     rejected: DataFrame | None
@@ -41,6 +42,25 @@ def _cache_split(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, Data
     return cache.hits(written, entries), cache.misses(written, entries)
 
 
+def _keyed(requests: DataFrame) -> DataFrame:
+    """Requests with their key, hashed once for each batch and written."""
+    return checkpointed(requests.withColumn("request_key", F.sha2("request", 256)))
+
+
+def _answers_of(plan: Plan, answers: DataFrame) -> DataFrame:
+    """batch_id and body of the plan's answers, the latest of each request; answers of other plans drop out.
+
+    answers: request_key, body and, where known, answered_at.
+    """
+    return plan.requests.select("batch_id", "request_key").join(responses.latest_answers(answers), "request_key")
+
+
+def _add(store: StateStore, table: str, updates: DataFrame, key: str, upsert=None) -> None:
+    """Append rows of new keys, the last of each; what is stored already is neither read nor rewritten."""
+    shaped = (upsert or state.upsert)(store.read(table).limit(0), updates, *([] if upsert else [key]))
+    store.append(table, shaped)
+
+
 # --- paths -------------------------------------------------------------------------------
 
 
@@ -111,7 +131,7 @@ def plan_content(
         skipped=split.filter("on_disk").select("url"),
         hits=hits,
         open_items=aliased,
-        requests=batching.content_requests(aliased),
+        requests=_keyed(batching.content_requests(aliased)),
     )
 
 
@@ -123,7 +143,7 @@ def batched_content(plan: Plan, answers: DataFrame) -> DataFrame:
 
     Items of a batch that failed as a whole are left out and stay pending.
     """
-    answered = responses.content_answers(plan.open_items, answers).withColumn(
+    answered = responses.content_answers(plan.open_items, _answers_of(plan, answers)).withColumn(
         "error", responses.content_error()
     )
     fresh = answered.filter("batch_ok").select(
@@ -201,7 +221,7 @@ def record_content(
         F.lit(0).alias("seq"),
     )
     counters = checkpointed(audit.outcome_counts(handled.unionByName(fixed(plan.rejected, "error"))))
-    store.replace("content_status", state.upsert(store.read("content_status"), updates, "url"))
+    _add(store, "content_status", updates, "url")
     return counters
 
 
@@ -220,12 +240,12 @@ def plan_metadata(
     entries = cache.readable_entries(response_cache, asof, retry_errors=retry_errors)
     hits, misses = _cache_split(keyed, entries)
     batched = checkpointed(batching.assign_batches(misses, batch_size))
-    return Plan(None, None, hits, batched, batching.metadata_requests(batched))
+    return Plan(None, None, hits, batched, _keyed(batching.metadata_requests(batched)))
 
 
 def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str) -> DataFrame:
     """Store found repositories. Errors are not stored, so those stay pending."""
-    answered = responses.metadata_answers(plan.open_items, answers).withColumn(
+    answered = responses.metadata_answers(plan.open_items, _answers_of(plan, answers)).withColumn(
         "error", responses.metadata_error()
     )
     stored_columns = [f.name for f in store.read("repo_metadata").schema.fields if f.name not in ("repo_key", "fetched_at")]
@@ -256,7 +276,7 @@ def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str
         plan.hits.select(hit_outcome.alias("outcome"), F.lit(True).alias("is_hit"))
     )
     counters = checkpointed(audit.outcome_counts(outcomes))
-    store.replace("repo_metadata", state.upsert_metadata(store.read("repo_metadata"), updates))
+    _add(store, "repo_metadata", updates, "repo_key", state.upsert_metadata)
     return counters
 
 
@@ -282,13 +302,13 @@ def plan_history(
         skipped=None,
         hits=hits,
         open_items=aliased,
-        requests=batching.history_requests(aliased),
+        requests=_keyed(batching.history_requests(aliased)),
     )
 
 
 def record_history(store: StateStore, plan: Plan, answers: DataFrame, asof: str) -> DataFrame:
     """Store answered histories, also empty ones; errors stay pending."""
-    answered = responses.history_answers(plan.open_items, answers).withColumn(
+    answered = responses.history_answers(plan.open_items, _answers_of(plan, answers)).withColumn(
         "error", responses.history_error()
     )
     stored = F.from_json("body", "commits array<struct<sha:string,author:string,date:string,message:string>>")
@@ -313,7 +333,7 @@ def record_history(store: StateStore, plan: Plan, answers: DataFrame, asof: str)
         .unionByName(rejected)
     )
     counters = checkpointed(audit.outcome_counts(outcomes))
-    store.replace("file_history", state.upsert(store.read("file_history"), updates, "url"))
+    _add(store, "file_history", updates, "url")
     return counters
 
 

@@ -17,8 +17,8 @@ def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    """Landed batched answers: batch_id and the body as text."""
-    return spark.read.schema("batch_id long, body string").json(path)
+    """Landed batched answers: the key of the request, the time of the answer and the body as text."""
+    return spark.read.schema("request_key string, answered_at timestamp, body string").json(path)
 
 
 def cache_rows(files: DataFrame) -> DataFrame:

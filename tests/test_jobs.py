@@ -37,6 +37,12 @@ def cache_entry(spark, key_column, body, error=None, at="2024-01-20"):
     )
 
 
+def landed(spark, plan, bodies):
+    """Answers by the key of the request that the batch number stands for."""
+    key_of = {r.batch_id: r.request_key for r in plan.requests.collect()}
+    return spark.createDataFrame([(key_of[b], body) for b, body in bodies], "request_key string, body string")
+
+
 def statuses(store):
     return {r.url: r.status for r in store.read("content_status").collect()}
 
@@ -63,7 +69,7 @@ def test_content_run_and_rerun(spark, store, tmp_path):
         return {"text": t, "byteSize": 9, "isTruncated": cut}
 
     first = {"data": {"r0": {"f0": blob("zero"), "f1": None, "f2": blob("part", True), "f3": blob("part", True)}}}
-    answers = spark.createDataFrame([(0, json.dumps(first)), (1, '{"errors":[]}')], "batch_id long, body string")
+    answers = landed(spark, plan, [(0, json.dumps(first)), (1, '{"errors":[]}')])
     singles = spark.createDataFrame([(url(2), 200, None, "d2hvbGU=", False), (url(0), 200, None, "bm8=", False)], SINGLES)
     content = str(tmp_path / "content")
     counters = jobs.record_content(store, plan, answers, singles, content, "one", ASOF).first().asDict()
@@ -77,6 +83,42 @@ def test_content_run_and_rerun(spark, store, tmp_path):
     assert {r.url for r in again.open_items.collect()} == {url(3), url(4), url(7)}
 
 
+def test_answers_of_earlier_runs_and_repeats(spark, store, tmp_path):
+    """An old answer in the folder, a repeated one and a key cached twice: texts stay with their URLs."""
+    put_files(spark, store, [url(i) for i in range(5)])
+    nowhere = spark.createDataFrame([], "rel_path string")
+    empty = spark.createDataFrame([], CACHE)
+    place = [F.lit(v) for v in ("o", "r", "main", "f4.md")]
+    cached = [cache_entry(spark, keys.content_key(*place), json.dumps({"content": c}), at=at)
+              for c, at in (("bmV3", "2024-01-21"), ("b2xk", "2024-01-20"))]
+    twice = cached[0].unionByName(cached[1])
+    content = str(tmp_path / "content")
+    singles = spark.createDataFrame([], SINGLES)
+
+    def answer(plan, when, *texts):
+        key = plan.requests.filter("batch_id = 0").first().request_key
+        files = {f"f{i}": {"text": t, "byteSize": 1, "isTruncated": False} for i, t in enumerate(texts)}
+        return (key, when, json.dumps({"data": {"r0": files}}))
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "request_key string, answered_at string, body string")
+
+    first = jobs.plan_content(store, nowhere, twice, ASOF, batch_size=2)
+    old = answer(first, "2024-01-01", "zero", "one")
+    again = answer(first, "2024-01-02", "ZERO", "ONE")
+    counters = jobs.record_content(store, first, frame([old, again, old]), singles, content, "a", ASOF).first()
+    assert (counters.fetched, counters.cache_hits) == (3, 1)
+    second = jobs.plan_content(store, nowhere, empty, ASOF, batch_size=2)
+    assert {r.url for r in second.open_items.collect()} == {url(2), url(3)}
+    both = frame([old, again, answer(second, "2024-01-01", "two", "three")])
+    with pytest.raises(ValueError):
+        jobs.record_content(store, second, both, singles, content, "a", ASOF)
+    jobs.record_content(store, second, both, singles, content, "b", ASOF)
+    texts = {r.url: r.text for r in spark.read.parquet(content).collect()}
+    assert texts == {url(0): "ZERO", url(1): "ONE", url(2): "two", url(3): "three", url(4): "new"}
+    assert spark.read.parquet(content).count() == 5 and len(statuses(store)) == 5
+
+
 def test_metadata_run(spark, store):
     put_files(spark, store, [url(0), url(1, repo="gone"), url(2, repo="cached"), url(3, repo="empty"), url(4)])
     known = cache_entry(spark, keys.metadata_key(F.lit("o/cached")), json.dumps({"stars": 7, "topics": ["a"]}))
@@ -84,7 +126,7 @@ def test_metadata_run(spark, store):
     plan = jobs.plan_metadata(store, known.unionByName(blank), ASOF)
     assert [(r.repo_key, r.pos) for r in plan.open_items.orderBy("pos").collect()] == [("o/r", 0), ("o/gone", 1)]
     body = {"data": {"r0": {"stargazerCount": 3}, "r1": None}}
-    answers = spark.createDataFrame([(0, json.dumps(body))], "batch_id long, body string")
+    answers = landed(spark, plan, [(0, json.dumps(body))])
     counters = jobs.record_metadata(store, plan, answers, ASOF).first()
     assert (counters.fetched, counters.errors, counters.cache_hits) == (2, 1, 2)
     rows = {r.repo_key: (r.stars, r.topics) for r in store.read("repo_metadata").collect()}
@@ -100,7 +142,7 @@ def test_history_run_shares_answers_between_refs(spark, store):
     plan = jobs.plan_history(store, cache_entry(spark, key, json.dumps({"commits": commits})), ASOF)
     assert plan.hits.count() == 2
     body = {"data": {"r0": {"ref0": {"f0": {"nodes": []}, "f1": None}}}}
-    answers = spark.createDataFrame([(0, json.dumps(body))], "batch_id long, body string")
+    answers = landed(spark, plan, [(0, json.dumps(body))])
     counters = jobs.record_history(store, plan, answers, ASOF).first()
     assert (counters.fetched, counters.errors, counters.cache_hits) == (3, 2, 2)
     rows = {r.url: [c.sha for c in r.commits] for r in store.read("file_history").collect()}

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from gleanery.operators import responses, state
@@ -63,8 +64,12 @@ def test_missing_tree_is_empty(spark, tmp_path):
 def test_content_table_run_is_repeatable(spark, tmp_path):
     path = str(tmp_path / "content")
     content = spark.createDataFrame([("u", "o", "r", "m", "p", "t")], CONTENT).withColumn("status", F.lit("fetched"))
-    for run in ("first", "first", "second"):
+    for run in ("first", "second"):
         content_tree.write_content_table(content, path, run)
+    with pytest.raises(ValueError):
+        content_tree.write_content_table(content, path, "first")
+    os.remove(os.path.join(path, "run=first", "stage=batch", "_SUCCESS"))  # as a killed run leaves it
+    content_tree.write_content_table(content, path, "first")
     assert spark.read.parquet(path).groupBy("run").count().filter("count = 1").count() == 2
 
 
