@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import keys, urls
-from ..operators import audit, state
+from ..operators import audit, paths, state
 from ..plans import jobs
 from ..sources.state_store import StateStore
 from ..streaming.ingest import ingest_pages, ingested_files
@@ -43,6 +43,62 @@ def _(spark, sf):
     return store.read("files").select("url", "sha", "seq")
 
 
+PROBED = """probed AS (
+    SELECT r.query || '#' || r.chunk AS query, r.lo, least(r.lo + r.chunk - 1, 1000000) AS hi, r.chunk, r.empties,
+           CASE WHEN r.chunk <> 7 THEN (SELECT count(*) FROM files f WHERE f.query = r.query
+               AND f.size_bytes BETWEEN r.lo AND least(r.lo + r.chunk - 1, 1000000)) END AS total
+    FROM (SELECT DISTINCT query, c.chunk, c.lo, c.empties FROM files, (VALUES (1, 0, 9), (7, 0, 3), (2000, 0, 0), (3000, 1, 2),
+          (1000000, 500, 4), (1000, 999999, 0), (5, 900000, 2)) c(chunk, lo, empties)) r),
+acted AS (
+    SELECT *, CASE WHEN total IS NULL THEN 'pending' WHEN total = 0 THEN 'empty' WHEN total >= 20 AND lo < hi THEN 'narrow'
+                   WHEN total >= 20 THEN 'over_full' ELSE 'collected' END AS action FROM probed)"""
+
+
+@query("path_next_ranges", f"""{with_views('files')}, {PROBED}
+    SELECT query, action,
+           CASE WHEN action IN ('pending', 'narrow') OR (action = 'empty' AND empties >= 9) THEN lo ELSE hi + 1 END::BIGINT AS next_lo,
+           CASE WHEN action = 'narrow' THEN greatest(chunk // 2, 1)
+                WHEN action = 'pending' OR (action = 'empty' AND empties >= 9) THEN chunk ELSE least(chunk * 2, 1000000) END::BIGINT AS next_chunk,
+           CASE action WHEN 'empty' THEN empties + 1 WHEN 'pending' THEN empties ELSE 0 END::BIGINT AS next_empties,
+           (action = 'empty' AND empties >= 9) OR (action IN ('empty', 'collected', 'over_full') AND hi >= 1000000) AS completed
+    FROM acted""")
+def _(spark, sf):
+    """The next range of every query of the table, from seven places of a scan; one place has no answer yet."""
+    files = view(spark, sf, "files")
+    places = [(1, 0, 9), (7, 0, 3), (2000, 0, 0), (3000, 1, 2), (1_000_000, 500, 4), (1000, 999_999, 0), (5, 900_000, 2)]
+    place = F.explode(F.array(*[
+        F.struct(*[F.lit(v).cast("bigint").alias(n) for n, v in zip(("chunk", "lo", "empties"), p)]) for p in places
+    ]))
+    ranges = files.select("query").distinct().select("query", place.alias("p")).select("query", "p.*").withColumn(
+        "hi", F.least(F.col("lo") + F.col("chunk") - 1, F.lit(paths.MAX_SIZE).cast("bigint"))
+    )
+    sized = files.groupBy("query", "size_bytes").agg(F.count("*").alias("n"))
+    inside = (ranges["query"] == sized["query"]) & sized["size_bytes"].between(F.col("lo"), F.col("hi"))
+    counted = ranges.join(sized, inside, "left").groupBy(ranges["query"], "lo", "hi", "chunk", "empties").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_items")
+    )
+    probed = counted.withColumn("total_count", F.when(F.col("chunk") != 7, F.col("n_items"))).withColumn(
+        "query", F.concat_ws("#", "query", F.col("chunk").cast("string"))
+    )
+    moved = paths.next_ranges(probed, limit=20)
+    return moved.select("query", "action", "next_lo", "next_chunk", "next_empties", "completed")
+
+
+@query("record_paths", f"""{with_views('files')}
+    SELECT f.url, min(f.sha) AS sha, count(*) AS n_hits, 0::BIGINT AS size_min, 999999::BIGINT AS size_max FROM files f GROUP BY f.url""")
+def _(spark, sf):
+    """Land the whole list of every query for its first range: all of it is stored, full or not."""
+    store = StateStore(spark, shared_folder(spark))
+    store.create()
+    files = view(spark, sf, "files")
+    plan = jobs.plan_paths(store, files, first_chunk=1_000_000)
+    items = files.join(plan.select("query", "request"), "query").select(F.col("request").alias("query"), "url", "sha")
+    probes = items.groupBy(F.col("query").alias("request")).agg(F.count("*").alias("total_count"))
+    jobs.record_paths(store, plan, probes, items, ASOF)
+    hits = store.read("search_hits").groupBy("url", "size_min", "size_max").agg(F.count("*").alias("n_hits"))
+    return store.read("files").select("url", "sha").join(hits, "url").select("url", "sha", "n_hits", "size_min", "size_max")
+
+
 JOB_PENDING = """pending AS (
     SELECT p.* FROM parsed p WHERE NOT EXISTS (SELECT 1 FROM content_status c WHERE c.url = p.url)
     AND p.lang <> 'de')"""

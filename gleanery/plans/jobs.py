@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys, text
-from ..operators import audit, batching, cache, responses, scan, state
+from ..operators import audit, batching, cache, paths, responses, scan, state
 from ..operators.ordering import with_position
 from ..session import checkpointed
 from ..sources.content_tree import split_on_disk, write_content_table
@@ -106,6 +106,51 @@ def collect_paths(
     return plan
 
 
+def plan_paths(store: StateStore, queries: DataFrame, first_chunk: int = paths.FIRST_CHUNK) -> DataFrame:
+    """The open range of every query, written: request is what to count and to list."""
+    return checkpointed(paths.open_ranges(queries, store.read("scan_ranges"), first_chunk))
+
+
+def record_paths(store: StateStore, plan: DataFrame, probes: DataFrame, items: DataFrame, asof: str) -> DataFrame:
+    """Store what has landed for the open ranges and move every query on; returns the new ranges.
+
+    probes: request, total_count (the largest answer of a request counts). items: query (the
+    request), url, sha, as search_items gives them. All landed items go to search_hits and to
+    files, those of over-full ranges too; the service's limit only decides where to go next.
+    """
+    landed = checkpointed(
+        items.filter(F.col("url").isNotNull()).join(plan.select(F.col("request").alias("query"), "lo", "hi"), "query")
+        .select("url", "sha", "query", "lo", "hi").withColumn("seq", F.monotonically_increasing_id())
+    )
+    counts = landed.groupBy(F.col("query").alias("request")).agg(F.count_distinct("url").alias("n_items"))
+    totals = probes.groupBy("request").agg(F.max("total_count").alias("total_count"))
+    moved = checkpointed(paths.next_ranges(plan.join(totals, "request", "left").join(counts, "request", "left")))
+
+    known = store.read("files")
+    found = state.new_files(known, landed.select("seq", "url", "sha"))
+    behind = known.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("_behind")).first()["_behind"]
+    placed = with_position(checkpointed(found), "seq", "_position")
+    stamp = F.lit(asof).cast("timestamp")
+    store.append("search_hits", landed.select(
+        "url", "query", F.col("lo").alias("size_min"), F.col("hi").alias("size_max"), stamp.alias("hit_at")
+    ))
+    store.append("files", placed.select(
+        "url", "sha", (F.col("_position") + F.lit(behind)).alias("seq"), stamp.alias("discovered_at")
+    ))
+
+    place = moved.select(
+        "query", F.col("next_lo").alias("lo"), F.col("next_chunk").alias("chunk"), F.col("next_empties").alias("empties"),
+        "completed", "action", F.lit(0).alias("seq"),
+    )
+    store.replace("scan_ranges", state.upsert(store.read("scan_ranges"), place, "query"))
+    progress = place.select(
+        "query", F.col("lo").alias("last_lo"), F.lit(paths.MAX_SIZE).cast("bigint").alias("max_size"),
+        F.lit(store.read("files").count()).cast("bigint").alias("collected"), "completed", "seq",
+    )
+    store.replace("scan_progress", state.upsert_progress(store.read("scan_progress"), progress, asof))
+    return moved
+
+
 # --- content -----------------------------------------------------------------------------
 
 

@@ -17,7 +17,7 @@ def _struct(**columns) -> StructType:
     return StructType([StructField(name, kind, True) for name, kind in columns.items()])
 
 
-STRING, LONG, INT, TIME = StringType(), LongType(), IntegerType(), TimestampType()
+STRING, LONG, INT, TIME, BOOLEAN = StringType(), LongType(), IntegerType(), TimestampType(), BooleanType()
 
 COMMIT = _struct(sha=STRING, author=STRING, date=STRING, message=STRING)
 
@@ -57,6 +57,9 @@ SCAN_PROGRESS = _struct(
     query=STRING, last_lo=LONG, max_size=LONG, collected=LONG, completed_at=TIME, updated_at=TIME
 )
 
+# Where the scan of each query stands, and what its last range was marked with.
+SCAN_RANGES = _struct(query=STRING, lo=LONG, chunk=LONG, empties=LONG, completed=BOOLEAN, action=STRING)
+
 STATE_TABLES = {
     "files": FILES,
     "repo_metadata": REPO_METADATA,
@@ -64,6 +67,7 @@ STATE_TABLES = {
     "search_hits": SEARCH_HITS,
     "content_status": CONTENT_STATUS,
     "scan_progress": SCAN_PROGRESS,
+    "scan_ranges": SCAN_RANGES,
 }
 
 RESPONSE_CACHE = _struct(key=STRING, endpoint=STRING, body=STRING, error=STRING, cached_at=TIME)
