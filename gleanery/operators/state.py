@@ -86,9 +86,8 @@ def new_files(files: DataFrame, incoming: DataFrame) -> DataFrame:
     broadcast and the known table is only scanned; it is never shuffled whole against a small
     delivery. A null URL is new.
     """
-    fresh = first_wins(incoming, "url", "seq")
-    known = files.select("url").join(fresh.select("url"), "url", "left_semi")
-    return fresh.join(known, "url", "left_anti")
+    known = files.select("url").join(incoming.select("url"), "url", "left_semi")
+    return first_wins(incoming, "url", "seq").join(known, "url", "left_anti")
 
 
 def insert_files(files: DataFrame, incoming: DataFrame) -> DataFrame:
