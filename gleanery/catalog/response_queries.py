@@ -463,7 +463,8 @@ def _(spark, sf):
         FROM named n LEFT JOIN (SELECT url FROM cache WHERE {FRESH}) c ON n.url = c.url)
     SELECT count(*) FILTER (outcome = 'fetched') AS fetched, CAST(0 AS BIGINT) AS skipped,
            count(*) FILTER (outcome = 'not_found') AS not_found, count(*) FILTER (outcome = 'error') AS errors,
-           count(*) FILTER (outcome = 'truncated_rest') AS truncated_rest, count(*) FILTER (is_hit) AS cache_hits
+           count(*) FILTER (outcome = 'truncated_rest') AS truncated_rest, CAST(0 AS BIGINT) AS pending,
+           count(*) FILTER (is_hit) AS cache_hits
     FROM outcomes""")
 def _(spark, sf):
     entries = cache.readable_entries(view(spark, sf, "cache"), ASOF).select("url", F.lit(True).alias("_hit"))

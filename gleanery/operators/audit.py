@@ -51,6 +51,7 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
         counted("not_found").alias("not_found"),
         counted("error").alias("errors"),
         counted("truncated_rest").alias("truncated_rest"),
+        counted("pending").alias("pending"),
         F.count_if(F.col("is_hit")).alias("cache_hits"),
     )
 

@@ -8,18 +8,24 @@ halves: plan_* says what to ask, record_* takes the landed answers.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import keys, text
+from .. import schemas
+from ..functions import commits, keys, text
 from ..operators import audit, batching, cache, paths, responses, scan, state
-from ..operators.ordering import with_position
+from ..operators.ordering import last_wins, with_position
 from ..session import checkpointed
 from ..sources.content_tree import split_on_disk, write_content_table
 from ..sources.state_store import StateStore
 
 
+# Endpoints under which answers are cached.
+CONTENT, METADATA, HISTORY = "contents", "repo_metadata", "file_history"
+
+
 @dataclass(frozen=True)
 class Plan:
     """What a planning half found: items by fate, and the requests for the open ones.
@@ -36,6 +42,33 @@ class Plan:
     requests: DataFrame
 
 
+def cached_answers(store: StateStore, given: DataFrame | None, endpoint: str) -> DataFrame:
+    """The cache that was given, or what the state holds for an endpoint; other endpoints are not read."""
+    if given is not None:
+        return given
+    return store.read("response_cache").filter(F.col("endpoint") == endpoint).drop("endpoint")
+
+
+def add_answers(store: StateStore, entries: DataFrame, endpoint: str, asof: str) -> None:
+    """Append entries (key, body, error) to the stored cache. Lookups take the latest of a key."""
+    stamped = entries.select("key", "body", "error").withColumns(
+        {"endpoint": F.lit(endpoint), "cached_at": F.lit(asof).cast("timestamp")}
+    )
+    store.append("response_cache", stamped)
+
+
+def error_body(error):
+    """Cached form of an error."""
+    return F.to_json(F.struct(error.alias("error")))
+
+
+def _unanswered(plan: Plan, answers: DataFrame) -> DataFrame:
+    """Open items of batches without an answer: they stay pending."""
+    return plan.open_items.join(_answers_of(plan, answers).select("batch_id"), "batch_id", "left_anti").select(
+        F.lit("pending").alias("outcome"), F.lit(False).alias("is_hit")
+    )
+
+
 def _cache_split(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Hits and misses. Only the narrow requests are written out, never cached bodies."""
     written = checkpointed(wanted)
@@ -157,7 +190,7 @@ def record_paths(store: StateStore, plan: DataFrame, probes: DataFrame, items: D
 def plan_content(
     store: StateStore,
     tree: DataFrame,
-    response_cache: DataFrame,
+    response_cache: DataFrame | None,
     asof: str,
     batch_size: int = batching.CONTENT_BATCH,
     skip_read: bool = False,
@@ -169,7 +202,8 @@ def plan_content(
     wanted = split.filter(~F.col("on_disk")).select(
         "url", *place, "seq", keys.content_key(*place).alias("key")
     )
-    hits, misses = _cache_split(wanted, cache.readable_entries(response_cache, asof, skip_read))
+    entries = cached_answers(store, response_cache, CONTENT)
+    hits, misses = _cache_split(wanted, cache.readable_entries(entries, asof, skip_read))
     aliased = checkpointed(batching.assign_aliases(batching.assign_batches(misses, batch_size)))
     return Plan(
         rejected=state.rejected_files(pending).select("url"),
@@ -184,46 +218,78 @@ PLACE = ["url", "owner", "repo", "ref", "path"]
 
 
 def batched_content(plan: Plan, answers: DataFrame) -> DataFrame:
-    """Items answered in batches or by the cache: place, outcome, is_hit and text.
+    """Items answered in batches or by the cache: place, key, outcome, error, is_hit and text.
 
-    Items of a batch that failed as a whole are left out and stay pending.
+    Items of a batch that failed as a whole have outcome "failed": they stay pending.
     """
     answered = responses.content_answers(plan.open_items, _answers_of(plan, answers)).withColumn(
         "error", responses.content_error()
     )
-    fresh = answered.filter("batch_ok").select(
+    outcome = responses.batched_outcome(F.col("error"), F.col("text"))
+    fresh = answered.select(
         *PLACE,
-        responses.batched_outcome(F.col("error"), F.col("text")).alias("outcome"),
+        "key",
+        F.when(F.col("batch_ok"), outcome).otherwise("failed").alias("outcome"),
+        "error",
         F.lit(False).alias("is_hit"),
+        "byte_size",
         "text",
     )
     content = F.get_json_object("body", "$.content")
     cached_error = F.coalesce(F.col("error"), F.when(F.coalesce(content, F.lit("")) == "", "no_content"))
     cached = plan.hits.select(
         *PLACE,
+        "key",
         responses.batched_outcome(cached_error, content).alias("outcome"),
+        cached_error.alias("error"),
         F.lit(True).alias("is_hit"),
+        F.lit(None).cast("bigint").alias("byte_size"),
         text.decoded_text(content).alias("text"),
     )
     return fresh.unionByName(cached)
 
 
-def single_content(truncated: DataFrame, singles: DataFrame) -> DataFrame:
-    """Truncated items with their single-file answer; those without one stay pending.
+def single_error():
+    """Error name of a single-file answer, NULL when there is content."""
+    return (
+        F.when(F.coalesce(F.col("is_folder"), F.lit(False)), "directory")
+        .when(F.col("status") == 404, "not_found")
+        .when(F.col("status").isNull() | ~F.col("status").between(200, 299), "error")
+        .when(F.col("error").isNotNull(), F.col("error"))
+        .when(F.col("content").isNull(), "no_content")
+    )
+
+
+def single_content(wanted: DataFrame, singles: DataFrame, fetched: str = "truncated_rest") -> DataFrame:
+    """Wanted items with their single-file answer; those without one stay pending.
 
-    singles: url, status, error, content (base64), is_folder.
+    wanted: place, key, is_hit. singles: url, status, error, content (base64), is_folder; the
+    latest answer of a URL counts. Content that cannot be decoded is an error.
     """
     named = responses.single_outcome(
         F.col("status"), F.col("error"), F.col("content"), F.col("is_folder")
     )
-    alone = singles.select("url", named.alias("_named"), text.decoded_text(F.col("content")).alias("text"))
-    fetched = F.col("_named") == "fetched"
-    outcome = (
-        F.when(fetched & F.col("text").isNull(), "error")
-        .when(fetched, "truncated_rest")
-        .otherwise(F.col("_named"))
+    order = ["answered_at", "content"] if "answered_at" in singles.columns else ["status", "content"]
+    alone = last_wins(singles, "url", order).select(
+        "url", named.alias("_named"), single_error().alias("error"), text.decoded_text(F.col("content")).alias("text")
+    )
+    found = F.col("_named") == "fetched"
+    broken = found & F.col("text").isNull()
+    outcome = F.when(broken, "error").when(found, fetched).otherwise(F.col("_named"))
+    return wanted.join(alone, "url").select(
+        *PLACE, "key", outcome.alias("outcome"), F.when(broken, "error").otherwise(F.col("error")).alias("error"),
+        "is_hit", F.lit(None).cast("bigint").alias("byte_size"), "text",
     )
-    return truncated.join(alone, "url").select(*PLACE, outcome.alias("outcome"), "is_hit", "text")
+
+
+def content_entries(stored: DataFrame) -> DataFrame:
+    """Cache entries of a run's stored content rows: texts and lasting errors, never truncated ones."""
+    body = F.to_json(F.struct(
+        text.encoded_text(F.col("text")).alias("content"), F.lit("base64").alias("encoding"),
+        F.col("byte_size").alias("size"), "path",
+    ))
+    fresh = stored.filter(~F.col("is_hit") & cache.admit_content(F.col("error")))
+    return fresh.select("key", F.when(F.col("error").isNull(), body).otherwise(error_body(F.col("error"))).alias("body"), "error")
 
 
 def outcome_status(outcome):
@@ -246,26 +312,31 @@ def record_content(
 
     batched = stored(batched_content(plan, answers), "batch")
     truncated = batched.filter(F.col("status") == "truncated")
-    single = stored(single_content(truncated.drop("text", "outcome"), singles), "single")
+    single = stored(single_content(truncated.select(*PLACE, "key", "is_hit"), singles), "single")
+    return settle_content(store, plan, [batched, single], asof)
+
 
-    def outcome_rows(rows: DataFrame) -> DataFrame:
-        return rows.select("url", "outcome", "is_hit")
+def settle_content(store: StateStore, plan: Plan, stored: list[DataFrame], asof: str) -> DataFrame:
+    """Statuses, cache entries and counters of stored content rows; every item of the plan is counted once."""
 
     def fixed(rows: DataFrame, outcome: str) -> DataFrame:
         return rows.select("url", F.lit(outcome).alias("outcome"), F.lit(False).alias("is_hit"))
 
-    handled = (
-        outcome_rows(batched.filter(F.col("status") != "truncated"))
-        .unionByName(outcome_rows(single))
-        .unionByName(fixed(plan.skipped, "skipped"))
-    )
+    rows = reduce(DataFrame.unionByName, [r.filter("status <> 'truncated'") for r in stored])
+    outcomes = rows.select("url", "outcome", "is_hit")
+    handled = outcomes.filter("outcome <> 'failed'").unionByName(fixed(plan.skipped, "skipped"))
     updates = handled.select(
         "url",
         outcome_status(F.col("outcome")).alias("status"),
         F.lit(asof).cast("timestamp").alias("fetched_at"),
         F.lit(0).alias("seq"),
     )
-    counters = checkpointed(audit.outcome_counts(handled.unionByName(fixed(plan.rejected, "error"))))
+    pending = plan.open_items.join(outcomes.select("url"), "url", "left_anti")
+    failed = fixed(outcomes.filter("outcome = 'failed'"), "error")
+    counters = checkpointed(audit.outcome_counts(
+        handled.unionByName(fixed(plan.rejected, "error")).unionByName(failed).unionByName(fixed(pending, "pending"))
+    ))
+    add_answers(store, content_entries(rows.filter("status <> 'failed'")), CONTENT, asof)
     _add(store, "content_status", updates, "url")
     return counters
 
@@ -275,14 +346,14 @@ def record_content(
 
 def plan_metadata(
     store: StateStore,
-    response_cache: DataFrame,
+    response_cache: DataFrame | None,
     asof: str,
     batch_size: int = batching.METADATA_BATCH,
     retry_errors: bool = False,
 ) -> Plan:
     missing = state.repos_without_metadata(store.read("files"), store.read("repo_metadata"))
     keyed = missing.withColumn("key", keys.metadata_key(F.col("repo_key")))
-    entries = cache.readable_entries(response_cache, asof, retry_errors=retry_errors)
+    entries = cache.readable_entries(cached_answers(store, response_cache, METADATA), asof, retry_errors=retry_errors)
     hits, misses = _cache_split(keyed, entries)
     batched = checkpointed(batching.assign_batches(misses, batch_size))
     return Plan(None, None, hits, batched, _keyed(batching.metadata_requests(batched)))
@@ -290,18 +361,15 @@ def plan_metadata(
 
 def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str) -> DataFrame:
     """Store found repositories. Errors are not stored, so those stay pending."""
-    answered = responses.metadata_answers(plan.open_items, _answers_of(plan, answers)).withColumn(
-        "error", responses.metadata_error()
+    answered = checkpointed(
+        responses.metadata_answers(plan.open_items, _answers_of(plan, answers))
+        .withColumn("error", responses.metadata_error())
+        .select("repo_key", "key", "batch_ok", "error", "repo")
     )
     stored_columns = [f.name for f in store.read("repo_metadata").schema.fields if f.name not in ("repo_key", "fetched_at")]
     cached = plan.hits.withColumn(
         "_stored",
-        F.from_json(
-            "body",
-            "stars long, forks long, watchers long, language string, topics array<string>, "
-            "created_at string, updated_at string, pushed_at string, default_branch string, "
-            "license string, description string",
-        ),
+        F.from_json("body", schemas.STORED_METADATA),
     )
     fresh = responses.flatten_metadata(answered)
     # An empty cached object is neither stored nor an error.
@@ -320,7 +388,10 @@ def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str
     outcomes = answered.select(fresh_outcome.alias("outcome"), F.lit(False).alias("is_hit")).unionByName(
         plan.hits.select(hit_outcome.alias("outcome"), F.lit(True).alias("is_hit"))
     )
-    counters = checkpointed(audit.outcome_counts(outcomes))
+    counters = checkpointed(audit.outcome_counts(outcomes.unionByName(_unanswered(plan, answers))))
+    whole = F.to_json(F.struct(*responses.metadata_columns(F.col("repo"))), {"ignoreNullFields": "false"})
+    body = F.when(F.col("error").isNull(), whole).otherwise(error_body(F.col("error")))
+    add_answers(store, answered.filter("batch_ok").select("key", body.alias("body"), "error"), METADATA, asof)
     _add(store, "repo_metadata", updates, "repo_key", state.upsert_metadata)
     return counters
 
@@ -330,7 +401,7 @@ def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str
 
 def plan_history(
     store: StateStore,
-    response_cache: DataFrame,
+    response_cache: DataFrame | None,
     asof: str,
     batch_size: int = batching.HISTORY_BATCH,
     retry_errors: bool = False,
@@ -339,7 +410,7 @@ def plan_history(
     parsed = state.parsed_files(pending)
     key = keys.history_key(F.col("owner"), F.col("repo"), F.col("path"))
     wanted = parsed.select(*PLACE, "seq", key.alias("key"))
-    entries = cache.readable_entries(response_cache, asof, retry_errors=retry_errors)
+    entries = cache.readable_entries(cached_answers(store, response_cache, HISTORY), asof, retry_errors=retry_errors)
     hits, misses = _cache_split(wanted, entries)
     aliased = checkpointed(batching.assign_aliases(batching.assign_batches(misses, batch_size)))
     return Plan(
@@ -353,16 +424,18 @@ def plan_history(
 
 def record_history(store: StateStore, plan: Plan, answers: DataFrame, asof: str) -> DataFrame:
     """Store answered histories, also empty ones; errors stay pending."""
-    answered = responses.history_answers(plan.open_items, _answers_of(plan, answers)).withColumn(
-        "error", responses.history_error()
+    answered = checkpointed(
+        responses.history_answers(plan.open_items, _answers_of(plan, answers))
+        .select("url", "key", "batch_ok", responses.history_error().alias("error"),
+                commits.commit_records(F.col("nodes")).alias("commits"))
     )
-    stored = F.from_json("body", "commits array<struct<sha:string,author:string,date:string,message:string>>")
-    no_commits = F.array().cast("array<struct<sha:string,author:string,date:string,message:string>>")
+    stored = F.from_json("body", schemas.STORED_HISTORY)
+    no_commits = F.array().cast(schemas.STORED_HISTORY["commits"].dataType)
     known = plan.hits.filter(F.col("error").isNull()).select(
         "url", F.coalesce(stored["commits"], no_commits).alias("commits")
     )
     updates = (
-        responses.flatten_history(answered)
+        answered.filter("error IS NULL").select("url", "commits")
         .unionByName(known)
         .withColumn("fetched_at", F.lit(asof).cast("timestamp"))
         .withColumn("seq", F.lit(0))
@@ -376,12 +449,23 @@ def record_history(store: StateStore, plan: Plan, answers: DataFrame, asof: str)
         answered.select(outcome(F.col("error")).alias("outcome"), F.lit(False).alias("is_hit"))
         .unionByName(plan.hits.select(outcome(F.col("error")).alias("outcome"), F.lit(True).alias("is_hit")))
         .unionByName(rejected)
+        .unionByName(_unanswered(plan, answers))
     )
     counters = checkpointed(audit.outcome_counts(outcomes))
+    add_answers(store, history_entries(answered.filter("batch_ok")), HISTORY, asof)
     _add(store, "file_history", updates, "url")
     return counters
 
 
+def history_entries(answered: DataFrame) -> DataFrame:
+    """Cache entries of answered histories, one for each key: refs share it, and commits go before errors."""
+    body = F.when(F.col("error").isNull(), F.to_json(F.struct("commits"), {"ignoreNullFields": "false"})).otherwise(
+        error_body(F.col("error"))
+    )
+    entries = answered.select("key", body.alias("body"), "error", F.col("error").isNull().alias("_found"))
+    return last_wins(entries, "key", ["_found", "body"])
+
+
 # --- comparison --------------------------------------------------------------------------
 
 

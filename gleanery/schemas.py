@@ -60,6 +60,8 @@ SCAN_PROGRESS = _struct(
 # Where the scan of each query stands, and what its last range was marked with.
 SCAN_RANGES = _struct(query=STRING, lo=LONG, chunk=LONG, empties=LONG, completed=BOOLEAN, action=STRING)
 
+RESPONSE_CACHE = _struct(key=STRING, body=STRING, error=STRING, cached_at=TIME, endpoint=STRING)
+
 STATE_TABLES = {
     "files": FILES,
     "repo_metadata": REPO_METADATA,
@@ -68,9 +70,15 @@ STATE_TABLES = {
     "content_status": CONTENT_STATUS,
     "scan_progress": SCAN_PROGRESS,
     "scan_ranges": SCAN_RANGES,
+    "response_cache": RESPONSE_CACHE,
 }
 
-RESPONSE_CACHE = _struct(key=STRING, endpoint=STRING, body=STRING, error=STRING, cached_at=TIME)
+# Tables in folders by the values of a column; a reader of one value opens no other file.
+PARTITIONS = {"response_cache": "endpoint"}
+
+# Bodies of cached answers.
+STORED_METADATA = StructType([f for f in REPO_METADATA.fields if f.name not in ("repo_key", "fetched_at")])
+STORED_HISTORY = _struct(commits=ArrayType(COMMIT))
 
 SEARCH_ITEM = _struct(
     sha=STRING, name=STRING, path=STRING, html_url=STRING, repository=_struct(full_name=STRING)
@@ -119,3 +127,22 @@ HISTORY_BODY = _struct(
         MapType(STRING, MapType(STRING, _struct(nodes=ArrayType(COMMIT_NODE)))),
     )
 )
+
+# Single answers: a repository, the commits of a file.
+SINGLE_REPO = _struct(
+    stargazers_count=LONG,
+    forks_count=LONG,
+    watchers_count=LONG,
+    language=STRING,
+    topics=ArrayType(STRING),
+    created_at=STRING,
+    updated_at=STRING,
+    pushed_at=STRING,
+    default_branch=STRING,
+    license=_struct(spdx_id=STRING),
+    description=STRING,
+)
+
+SINGLE_COMMITS = ArrayType(
+    _struct(sha=STRING, commit=_struct(author=_struct(name=STRING, date=STRING), message=STRING))
+)

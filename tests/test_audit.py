@@ -67,4 +67,4 @@ def test_history_summary(spark):
 def test_outcome_counts(spark):
     rows = [("fetched", True), ("fetched", False), ("skipped", False), ("not_found", False), ("error", False), ("truncated_rest", False)]
     got = audit.outcome_counts(spark.createDataFrame(rows, "outcome string, is_hit boolean")).first()
-    assert got.asDict() == {"fetched": 2, "skipped": 1, "not_found": 1, "errors": 1, "truncated_rest": 1, "cache_hits": 1}
+    assert got.asDict() == {"fetched": 2, "skipped": 1, "not_found": 1, "errors": 1, "truncated_rest": 1, "pending": 0, "cache_hits": 1}

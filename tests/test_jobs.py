@@ -74,7 +74,8 @@ def test_content_run_and_rerun(spark, store, tmp_path):
     content = str(tmp_path / "content")
     counters = jobs.record_content(store, plan, answers, singles, content, "one", ASOF).first().asDict()
 
-    assert counters == {"fetched": 2, "skipped": 1, "not_found": 1, "errors": 1, "truncated_rest": 1, "cache_hits": 1}
+    assert counters == {"fetched": 2, "skipped": 1, "not_found": 1, "errors": 3, "truncated_rest": 1, "pending": 1, "cache_hits": 1}
+    assert sum(counters.values()) - counters["cache_hits"] == len(urls)
     assert statuses(store) == {url(0): "fetched", url(1): "not_found", url(2): "fetched", url(5): "fetched", url(6): "fetched"}
     texts = {r.url: r.text for r in spark.read.parquet(content).filter("status = 'fetched'").collect()}
     assert texts == {url(0): "zero", url(2): "whole", url(6): "cached"}
