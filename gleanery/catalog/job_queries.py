@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import keys, urls
+from ..functions import keys, text, urls
 from ..operators import audit, paths, state
-from ..plans import jobs
+from ..plans import calls, jobs, singles
 from ..sources.state_store import StateStore
 from ..streaming.ingest import ingest_pages, ingested_files
 from . import scenario
@@ -175,6 +175,173 @@ def _(spark, sf):
     return audit.history_summary(audit.exploded_commits(store.read("file_history")))
 
 
+@query("job_content_rerun", f"""{with_views('blobs')}, {PARSED}
+    SELECT p.url, md5(b.text) AS text_md5 FROM parsed p JOIN blobs b ON p.url = b.url
+    WHERE NOT ({MISSING_REPO}) AND b.blob_found IS NOT NULL AND b.text IS NOT NULL AND (b.text <> '' OR b.is_truncated)
+    AND NOT (b.is_truncated AND b.byte_size > 20000)""")
+def _(spark, sf):
+    """Two runs: the first gets half its answers, the second finds them, and stale ones, in the folder too."""
+    store = _store(spark, sf)
+    blobs = view(spark, sf, "blobs")
+    nowhere = spark.createDataFrame([], "rel_path string")
+    landed = None
+    for number in range(2):
+        plan = jobs.plan_content(store, nowhere, None, ASOF)
+        # Batch numbers that no failure rule names.
+        spaced = plan.open_items.withColumn("batch_id", F.col("batch_id") * 11)
+        bodies = scenario.content_bodies(spaced, blobs).withColumn("batch_id", F.expr("batch_id div 11"))
+        fresh = bodies if number else bodies.filter("batch_id % 2 = 0")
+        fresh = _landed(plan, fresh).withColumn("answered_at", F.lit("2024-01-30"))
+        stale = fresh.select("request_key", F.lit('{"data":{}}').alias("body"), F.lit("2024-01-29").alias("answered_at"))
+        new = fresh.unionByName(stale).unionByName(fresh)
+        landed = new if landed is None else landed.unionByName(new)
+        jobs.record_content(store, plan, landed, scenario.single_answers(blobs), f"{store.root}/content", f"run-{number}", ASOF)
+    stored = spark.read.parquet(f"{store.root}/content").filter("status = 'fetched'")
+    return stored.select("url", F.md5("text").alias("text_md5"))
+
+
+@query("job_metadata_second_run", f"""{with_views('repo_bodies')}, {REPOS}, {METADATA},
+    gone AS (SELECT DISTINCT repo_key FROM repo_files WHERE repo_key NOT IN (SELECT repo_key FROM repo_metadata))
+    SELECT m.mode, g.repo_key FROM gone g, (VALUES ('cached'), ('retry'), ('later')) m(mode)""")
+def _(spark, sf):
+    """What a second run finds of the repositories that are gone: an error in the cache, unless asked to retry or 30 days on."""
+    store = _store(spark, sf)
+    plan = jobs.plan_metadata(store, None, ASOF)
+    bodies = scenario.metadata_bodies(plan.open_items, view(spark, sf, "repo_bodies"))
+    jobs.record_metadata(store, plan, _landed(plan, bodies), ASOF)
+    second = jobs.plan_metadata(store, None, ASOF)
+    retry = jobs.plan_metadata(store, None, ASOF, retry_errors=True)
+    later = jobs.plan_metadata(store, None, "2024-03-15 00:00:00")
+    seen = {"cached": second.hits, "asked": second.open_items, "retry": retry.open_items, "later": later.open_items}
+    parts = [rows.select(F.lit(mode).alias("mode"), "repo_key") for mode, rows in seen.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query("job_history_second_run", f"""{with_views('commit_nodes')}, {PARSED}, {_batched(5)},
+    left_over AS (SELECT url, {FAILED_BATCH} AS failed FROM batched WHERE ({FAILED_BATCH}) OR ({MISSING_REPO}) OR ({MISSING_REF})
+                  OR url NOT IN (SELECT url FROM commit_nodes))
+    SELECT CASE WHEN failed THEN 'asked' ELSE 'cached' END AS mode, url FROM left_over
+    UNION ALL SELECT 'retry', url FROM left_over""")
+def _(spark, sf):
+    """A second run asks for failed batches only; errors come from the cache, unless they are to be retried."""
+    store = _store(spark, sf)
+    plan = jobs.plan_history(store, None, ASOF)
+    answers = _landed(plan, scenario.history_bodies(plan.open_items, view(spark, sf, "commit_nodes")))
+    jobs.record_history(store, plan, answers, ASOF)
+    second = jobs.plan_history(store, None, ASOF)
+    retry = jobs.plan_history(store, None, ASOF, retry_errors=True)
+    seen = {"cached": second.hits, "asked": second.open_items, "retry": retry.open_items}
+    parts = [rows.select(F.lit(mode).alias("mode"), "url") for mode, rows in seen.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("job_content_single", f"""{with_views('blobs')}, {PARSED},
+    named AS (SELECT p.url, b.text, p.lang <> 'es' AND b.blob_found IS NOT NULL AND b.text IS NOT NULL AS found
+              FROM parsed p JOIN blobs b ON p.url = b.url)
+    SELECT url, CASE WHEN found THEN 'fetched' ELSE 'not_found' END AS status,
+           CASE WHEN found THEN md5(text) ELSE '' END AS text_md5 FROM named""")
+def _(spark, sf):
+    """One answer per file: German files are links to the place beside them, Spanish ones link out of the repository."""
+    store = _store(spark, sf)
+    plan = jobs.plan_content(store, spark.createDataFrame([], "rel_path string"), None, ASOF)
+    parsed = state.parsed_files(view(spark, sf, "files")).select("url", "owner", "repo", "ref", "path", "lang")
+    blobs = view(spark, sf, "blobs").select("url", "blob_found", "text")
+    gone = F.col("blob_found").isNull()
+    answer = [
+        F.when(gone, 404).otherwise(200).alias("status"),
+        F.lit(None).cast("string").alias("error"),
+        F.when(~gone, text.encoded_text(F.col("text"))).alias("content"),
+        F.lit(False).alias("is_folder"),
+    ]
+    beside = F.col("lang") == "de"
+    place = F.when(beside, F.concat("path", F.lit(".real"))).otherwise(F.col("path")).alias("path")
+    files = parsed.filter("lang <> 'es'").join(blobs, "url").select(
+        "owner", "repo", "ref", place, *answer, F.lit(False).alias("is_link"), F.lit(None).cast("string").alias("target")
+    )
+    target = F.when(beside, F.concat(F.substring_index("path", "/", -1), F.lit(".real"))).otherwise("/abs")
+    links = parsed.filter("lang IN ('de', 'es')").select(
+        "owner", "repo", "ref", "path", F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"),
+        F.lit(None).cast("string").alias("content"), F.lit(False).alias("is_folder"), F.lit(True).alias("is_link"),
+        target.alias("target"),
+    )
+    singles.record_content(store, plan, files.unionByName(links), f"{store.root}/content", "first", ASOF)
+    texts = spark.read.parquet(f"{store.root}/content").filter("status = 'fetched'").select("url", F.md5("text").alias("_md5"))
+    return store.read("content_status").join(texts, "url", "left").select(
+        "url", "status", F.coalesce("_md5", F.lit("")).alias("text_md5")
+    )
+
+
+@query("job_metadata_single", f"""{with_views('repo_bodies')}, {REPOS}
+    SELECT repo_key, b.seq AS stars, b.seq % 7 AS forks, b.seq % 9 AS watchers, 'ai,t' || (b.seq % 3) AS topics,
+           '2024-01-01T00:00:00+00:00' AS created_at, 'MIT' AS license
+    FROM repo_bodies b WHERE b.seq % 6 <> 0 AND repo_key IN (SELECT repo_key FROM repo_files)""")
+def _(spark, sf):
+    store = _store(spark, sf)
+    plan = jobs.plan_metadata(store, None, ASOF)
+    n = F.col("seq")
+    body = F.to_json(F.struct(
+        n.alias("stargazers_count"), (n % 7).alias("forks_count"), (n % 9).alias("watchers_count"),
+        F.array(F.lit("ai"), F.concat(F.lit("t"), (n % 3).cast("string"))).alias("topics"),
+        F.lit("2024-01-01T00:00:00Z").alias("created_at"), F.struct(F.lit("MIT").alias("spdx_id")).alias("license"),
+    ))
+    answers = view(spark, sf, "repo_bodies").select("repo_key", F.when(n % 6 == 0, 404).otherwise(200).alias("status"), body.alias("body"))
+    singles.record_metadata(store, plan, answers, ASOF)
+    return store.read("repo_metadata").select(
+        "repo_key", "stars", "forks", "watchers", F.array_join("topics", ",").alias("topics"), "created_at", "license"
+    )
+
+
+@query("job_history_single", f"""{with_views('commit_nodes')}, {PARSED}
+    SELECT n.url, left(oid, 7) AS sha, coalesce(author, '') AS author,
+           CASE WHEN author IS NULL THEN '' ELSE strftime(committed_at, '%Y-%m-%dT%H:%M:%S+00:00') END AS date,
+           left(split_part(message, chr(10), 1), 80) AS message
+    FROM commit_nodes n JOIN parsed p ON n.url = p.url""")
+def _(spark, sf):
+    store = _store(spark, sf)
+    plan = jobs.plan_history(store, None, ASOF)
+    author = F.when(F.col("author").isNotNull(), F.struct(
+        F.col("author").alias("name"), F.date_format("committed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date")
+    ))
+    commit = F.struct(F.col("oid").alias("sha"), F.struct(author.alias("author"), "message").alias("commit"))
+    listed = view(spark, sf, "commit_nodes").groupBy("url").agg(F.to_json(F.collect_list(commit)).alias("body"))
+    singles.record_history(store, plan, listed.select("url", F.lit(200).alias("status"), "body"), ASOF)
+    return audit.exploded_commits(store.read("file_history")).select(
+        "url", "sha", F.coalesce("author", F.lit("")).alias("author"), F.coalesce("date", F.lit("")).alias("date"), "message"
+    )
+
+
+@query("job_api", f"""{with_views('request_log')},
+    first_run AS (SELECT request_id AS call_id, 1 AS run, false AS is_hit, status,
+           CASE WHEN status = 429 OR (status = 403 AND contains(lower(body), 'rate limit')) THEN 'rate_limited'
+                WHEN status >= 500 THEN 'retryable' WHEN status < 300 THEN 'success' ELSE 'terminal' END AS disposition,
+           CASE WHEN body = '' THEN -1 ELSE CAST(body ->> '$.k' AS BIGINT) END AS k,
+           method = 'GET' AND status BETWEEN 200 AND 299 AS kept FROM request_log)
+    SELECT call_id, run, is_hit, disposition, status, k FROM first_run
+    UNION ALL SELECT call_id, 2, kept, CASE WHEN kept THEN 'success' ELSE 'pending' END, CASE WHEN kept THEN status ELSE -1 END,
+           CASE WHEN kept THEN k ELSE -1 END FROM first_run""")
+def _(spark, sf):
+    """Every call answered once; in the second run nothing is answered, and the cache has what may be kept."""
+    store = StateStore(spark, shared_folder(spark))
+    store.create()
+    log = view(spark, sf, "request_log")
+    wanted = log.select(
+        F.col("request_id").alias("call_id"), "method", F.concat(F.lit("items/"), F.col("request_id").cast("string")).alias("endpoint"),
+        F.create_map(F.lit("kind"), F.lit("event")).alias("params"),
+    )
+    results = []
+    for run in (1, 2):
+        plan = calls.plan_calls(store, wanted, ASOF)
+        answers = plan.requests.select("call_id", "key", "method").join(
+            log.select(F.col("request_id").alias("call_id"), "status", "body", F.col("started_at").alias("answered_at")), "call_id"
+        ).select("key", "method", "answered_at", "status", "body", *[F.lit(None).cast("string").alias(c) for c in ("etag", "link")])
+        recorded = calls.record_calls(store, plan, answers if run == 1 else answers.limit(0), ASOF)
+        results.append(recorded.select(
+            "call_id", F.lit(run).alias("run"), "is_hit", "disposition", F.coalesce("status", F.lit(-1)).alias("status"),
+            F.coalesce(F.get_json_object("body", "$.k").cast("bigint"), F.lit(-1)).alias("k"),
+        ))
+    return results[0].unionByName(results[1])
+
+
 @query("job_compare", f"""{with_views('run_a', 'run_b', 'reported')}, {OVERLAP}
     SELECT o.test, o.n_a, o.n_b, o.a_in_b_pct, o.b_over_api_pct,
            (SELECT count(*) FROM (SELECT test, url FROM run_a EXCEPT SELECT test, url FROM run_b) m
