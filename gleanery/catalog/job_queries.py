@@ -354,12 +354,14 @@ def _(spark, sf):
     )
 
 
-@query("resumable_ingest", f"{with_views('files')} SELECT url, sha FROM files")
+@query("resumable_ingest", f"""{with_views('page_attempts')}
+    SELECT url, any_value(sha) AS sha, 2 * count(*) AS n_hits FROM page_attempts GROUP BY url""")
 def _(spark, sf):
-    """Land the pages, take them in, land them again with a restart: nothing is added twice."""
+    """Land the pages, take them in, land them again with a restart: a hit for each delivery, a file once."""
     base = shared_folder(spark)
     pages = landed_pages(spark, sf)
     for _ in range(2):
         pages.write.mode("append").json(f"{base}/landed")
         ingest_pages(spark, f"{base}/landed", f"{base}/state", f"{base}/offsets").awaitTermination()
-    return ingested_files(spark, f"{base}/state").select("url", "sha")
+    hits = StateStore(spark, f"{base}/state").read("search_hits").groupBy("url").agg(F.count(F.lit(1)).alias("n_hits"))
+    return ingested_files(spark, f"{base}/state").select("url", "sha").join(hits, "url").select("url", "sha", "n_hits")

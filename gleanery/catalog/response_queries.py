@@ -294,19 +294,19 @@ def _(spark, sf):
     return responses.search_items(landed.read_search_pages(spark, path))
 
 
-@query("assemble_search_pages", f"""{with_views('page_attempts')},
+@query("assemble_search_pages", f"""{with_views('page_attempts', recursive=True)},
     per_page AS (SELECT query, page, min(attempt) AS attempt, count(*) AS n, max(total_count) AS total
                  FROM page_attempts WHERE page <= 10 AND attempt <= 3 GROUP BY query, page),
-    walked AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY query ORDER BY page
-                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior,
-                      row_number() OVER (PARTITION BY query ORDER BY page) AS place FROM per_page),
-    ended AS (SELECT *, max(CASE WHEN place <> page OR (attempt > 1 AND prior >= least(total, page * 10)) THEN 1 ELSE 0 END)
-                    OVER (PARTITION BY query ORDER BY page) AS over FROM walked)
-    SELECT a.query, a.page, a.url FROM page_attempts a
-    JOIN ended e ON a.query = e.query AND a.page = e.page AND a.attempt = e.attempt WHERE e.over = 0""")
+    walk AS (SELECT query, page, attempt, n, total, CAST(0 AS BIGINT) AS prior FROM per_page
+             WHERE page = 1 AND NOT (attempt > 1 AND least(total, 10) <= 0)
+             UNION ALL SELECT p.query, p.page, p.attempt, p.n, w.total, CAST(w.prior + w.n AS BIGINT)
+             FROM walk w JOIN per_page p ON p.query = w.query AND p.page = w.page + 1
+             WHERE NOT (p.attempt > 1 AND w.prior + w.n >= least(w.total, p.page * 10)))
+    SELECT a.query, a.page, a.url, w.query IS NOT NULL AS in_walk FROM page_attempts a
+    LEFT JOIN walk w ON a.query = w.query AND a.page = w.page AND a.attempt = w.attempt""")
 def _(spark, sf):
     items = view(spark, sf, "page_attempts")
-    return responses.assemble_pages(items, page_size=10).select("query", "page", "url")
+    return responses.assemble_pages(items, page_size=10).select("query", "page", "url", "in_walk")
 
 
 # --- cache -------------------------------------------------------------------------------

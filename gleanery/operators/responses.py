@@ -78,16 +78,19 @@ def usable_pages(attempts: DataFrame, page_size: int = ITEMS_PER_PAGE) -> DataFr
 
 
 def assemble_pages(items: DataFrame, page_size: int = ITEMS_PER_PAGE) -> DataFrame:
-    """A query's items from its landed page attempts.
+    """Items of all landed page attempts, with in_walk: whether a walk over the pages would have taken them.
 
     items: one row per item with query, page, attempt, total_count, url (NULL on the one
-    row of an empty attempt). The join partner has at most ten rows per query.
+    row of an empty attempt). The join partner has at most ten rows per query. Nothing that has
+    landed is dropped.
     """
     attempts = items.groupBy("query", "page", "attempt").agg(
         F.count("url").alias("n_items"), F.max("total_count").alias("total_count")
     )
     usable = usable_pages(attempts, page_size)
-    return items.filter(F.col("url").isNotNull()).join(usable, ["query", "page", "attempt"], "left_semi")
+    marked = usable.withColumn("_walked", F.lit(True))
+    joined = items.filter(F.col("url").isNotNull()).join(marked, ["query", "page", "attempt"], "left")
+    return joined.withColumn("in_walk", F.coalesce("_walked", F.lit(False))).drop("_walked")
 
 
 # --- batched answers ---------------------------------------------------------------------

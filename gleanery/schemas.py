@@ -71,6 +71,8 @@ STATE_TABLES = {
     "scan_progress": SCAN_PROGRESS,
     "scan_ranges": SCAN_RANGES,
     "response_cache": RESPONSE_CACHE,
+    "rejected_pages": _struct(query=STRING, line=STRING),
+    "ingested_batches": _struct(stream=STRING, batch_id=LONG),
 }
 
 # Tables in folders by the values of a column; a reader of one value opens no other file.
@@ -93,6 +95,9 @@ SEARCH_PAGE = _struct(
     items=ArrayType(SEARCH_ITEM),
 )
 
+# A page as it is read: with its line, where that could not be read in full.
+LANDED_PAGE = StructType([*SEARCH_PAGE.fields, StructField("_line", STRING)])
+
 # Bodies of batched answers: one map entry per alias used in the request.
 CONTENT_BODY = _struct(
     data=MapType(

@@ -11,9 +11,21 @@ from .. import schemas
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed search pages as JSON lines, with the declared schema (no inference).
 
-    A line that is not a page counts as a page not landed yet.
+    A page with an odd item keeps its other items, and the whole line stands in `_line`. A line that
+    is not a page counts as a page not landed yet; rejected_pages has it.
     """
-    return spark.read.schema(schemas.SEARCH_PAGE).option("mode", "DROPMALFORMED").json(path)
+    return _landed_pages(spark, path).filter(F.col("query").isNotNull())
+
+
+def rejected_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that could not be read in full: query (null where nothing could be read) and line."""
+    parsed = F.from_json("value", schemas.LANDED_PAGE, {"columnNameOfCorruptRecord": "_line"})
+    lines = spark.read.text(path).select(parsed.alias("page"))
+    return lines.filter(F.col("page._line").isNotNull()).select("page.query", F.col("page._line").alias("line"))
+
+
+def _landed_pages(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.LANDED_PAGE).option("columnNameOfCorruptRecord", "_line").json(path)
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:

@@ -1,22 +1,60 @@
-"""Resumable ingest of landed search pages."""
+"""Resumable ingest of landed search pages into the state tables."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.ordering import first_wins
+from ..operators.ordering import with_position
 from ..operators.responses import search_items
+from ..operators.state import new_files
+from ..session import checkpointed
+from ..sources.state_store import StateStore
+
+_RANGE = r" size:([0-9]+)\.\.([0-9]+)$"
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the stream keeps in its checkpoint: a new checkpoint is another stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+
 
-_FILES = "seq long, url string, sha string"
+def take_in(store: StateStore, pages: DataFrame, stream: str, batch_id: int) -> None:
+    """Store the pages of one micro-batch: items as hits, new URLs as files, broken lines as rejects.
 
+    A batch that is in ingested_batches is done. One that was killed before is repeated: what it
+    had appended stays, under the batch's name, and the rest is added. A URL known from an earlier
+    batch is not added again. Compact the tables between runs, not in the middle of one.
+    """
+    done = store.read("ingested_batches").filter((F.col("stream") == stream) & (F.col("batch_id") == batch_id))
+    if not done.isEmpty():
+        return
+    once = f"{stream}-{batch_id}"
+    landed = checkpointed(pages)
+    now = F.current_timestamp()
+    store.append("rejected_pages", landed.filter(F.col("_line").isNotNull()).select("query", F.col("_line").alias("line")), once)
+
+    items = search_items(landed.filter(F.col("query").isNotNull())).filter(F.col("url").isNotNull())
+    bounds = [F.regexp_extract("query", _RANGE, i).try_cast("bigint").alias(n) for i, n in ((1, "size_min"), (2, "size_max"))]
+    store.append("search_hits", items.select("url", "query", *bounds, now.alias("hit_at")), once)
 
-def _known(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Files of earlier micro-batches."""
-    stored = spark.read.schema(_FILES + ", batch long").parquet(path)
-    return stored.filter(F.col("batch") < batch_id)
+    # The first of a URL is that of page order, then of the place on the page.
+    order = F.struct("query", "page", "attempt", "item_no").alias("seq")
+    known = store.read("files")
+    fresh = checkpointed(new_files(known, items.select("url", "sha", order)).select(
+        "url", "sha", F.monotonically_increasing_id().alias("seq")
+    ))
+    behind = known.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("_behind")).first()["_behind"]
+    placed = with_position(fresh, "seq", "_position")
+    store.append("files", placed.select(
+        "url", "sha", (F.col("_position") + F.lit(behind)).alias("seq"), now.alias("discovered_at")
+    ), once)
+    mark = store.spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch_id).alias("batch_id"))
+    store.append("ingested_batches", mark, once)
 
 
 def ingest_pages(
@@ -26,38 +64,21 @@ def ingest_pages(
     checkpoint: str,
     max_files: int = 10_000,
 ) -> StreamingQuery:
-    """Take in every landed page not seen yet, then stop.
-
-    Each micro-batch writes its own folder (batch=N) of the files and of the hits. A batch
-    that is repeated after a kill replaces that folder with the same rows, and a URL known
-    from an earlier batch is not added again, so re-delivery changes nothing.
-    """
+    """Take every landed page not seen yet into the state tables below target, then stop."""
+    StateStore(spark, target).create()
     pages = (
-        spark.readStream.schema(schemas.SEARCH_PAGE)
-        .option("mode", "DROPMALFORMED")
+        spark.readStream.schema(schemas.LANDED_PAGE)
+        .option("columnNameOfCorruptRecord", "_line")
         .option("maxFilesPerTrigger", max_files)
         .json(landed)
     )
-    spark.createDataFrame([], _FILES).write.mode("ignore").parquet(f"{target}/files/batch=-1")
-
-    def take_in(batch: DataFrame, batch_id: int) -> None:
-        items = search_items(batch).filter(F.col("url").isNotNull())
-        hits = items.select("url", "query", "page", "attempt", "item_no")
-        hits.write.mode("overwrite").parquet(f"{target}/hits/batch={batch_id}")
-        # Position inside the batch: page order, then place on the page.
-        ordered = items.select(
-            "url", "sha", F.struct("query", "page", "attempt", "item_no").alias("_order")
-        )
-        fresh = first_wins(ordered, "url", "_order").join(
-            _known(batch.sparkSession, f"{target}/files", batch_id).select("url"), "url", "left_anti"
-        )
-        # Ids of at most 1024 tasks fit below 2**43, so batches do not overlap.
-        place = F.lit(batch_id).cast("bigint") * (1 << 43) + F.monotonically_increasing_id()
-        rows = fresh.coalesce(1024).select(place.alias("seq"), "url", "sha")
-        rows.write.mode("overwrite").parquet(f"{target}/files/batch={batch_id}")
+
+    def batch_in(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        take_in(StateStore(session, target), batch, _stream_id(session, checkpoint), batch_id)
 
     return (
-        pages.writeStream.foreachBatch(take_in)
+        pages.writeStream.foreachBatch(batch_in)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -65,4 +86,4 @@ def ingest_pages(
 
 
 def ingested_files(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(_FILES + ", batch long").parquet(f"{target}/files")
+    return StateStore(spark, target).read("files")

@@ -29,7 +29,9 @@ def page(no, attempt, total, n):
 )
 def test_pages_of_one_search(spark, attempts, want):
     rows = [row for a in attempts for row in page(*a)]
-    assert responses.assemble_pages(spark.createDataFrame(rows, ITEMS)).count() == want
+    got = responses.assemble_pages(spark.createDataFrame(rows, ITEMS))
+    assert got.filter("in_walk").count() == want
+    assert got.count() == sum(a[3] for a in attempts)
 
 
 def loop_result(log, total_of_first):

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from gleanery.operators import responses, state
 from gleanery.sources import content_tree, landed
-from gleanery.streaming.ingest import ingest_pages, ingested_files
+from gleanery.sources.state_store import StateStore
+from gleanery.streaming.ingest import ingest_pages, ingested_files, take_in
 
 
 def test_flat_cache_skips_what_is_not_json(spark, tmp_path):
@@ -102,7 +103,33 @@ def test_ingest_resumes_and_ignores_redelivery(spark, tmp_path):
     assert run() == got
     ids = [r.seq for r in ingested_files(spark, target).collect()]
     assert len(ids) == len(set(ids)) == 4
-    assert spark.read.parquet(f"{target}/hits").count() == 9
+    assert sorted(ids) == [0, 1, 2, 3]
+    hits = StateStore(spark, target).read("search_hits")
+    assert hits.count() == 9 and hits.filter("size_min IS NULL").count() == 9
+
+
+def test_ingest_keeps_pages_with_an_odd_item_and_repeats_batches(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "state"))
+    store.create()
+    inbox = str(tmp_path / "inbox")
+    os.mkdir(inbox)
+    land(inbox, "good", ["a", "b"], query="q size:10..19")
+    with open(os.path.join(inbox, "good.json")) as f:
+        odd = json.load(f)
+    odd["items"][0]["repository"] = 7
+    odd["items"][0]["html_url"], odd["items"][1]["html_url"] = "c", "d"
+    with open(os.path.join(inbox, "odd.json"), "w") as f:
+        f.write(json.dumps(odd) + "\n{broken")
+    pages = landed._landed_pages(spark, inbox)
+    for _ in range(2):  # the batch number is far beyond what a folder number could carry
+        take_in(store, pages, "stream", 1 << 40)
+    assert {r.url for r in store.read("files").collect()} >= {"a", "b", "d"}
+    hits = store.read("search_hits")
+    assert {(r.size_min, r.size_max) for r in hits.collect()} == {(10, 19)}
+    assert hits.groupBy("url").count().filter("count > 1").isEmpty()
+    assert store.read("rejected_pages").count() == landed.rejected_pages(spark, inbox).count() == 2
+    take_in(store, pages, "other", 0)
+    assert store.read("files").count() == 2 + (hits.count() - 2)
 
 
 def test_batch_and_stream_agree(spark, tmp_path):
