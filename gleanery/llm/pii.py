@@ -31,6 +31,7 @@ _DIGIT = re.compile(r"[0-9]")
 _HIDDEN_EMAIL = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]{1,63})+", re.I
 )
+_HIDDEN_AT = re.compile(r"at[)\]]", re.I)
 _IP6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
 _DOTTED_CARD = re.compile(r"(?<![0-9.])[0-9]{4}\.[0-9]{4}\.[0-9]{4}\.[0-9]{4}(?![0-9.])")
 _PART_CARD = re.compile(r"(?<![0-9])(?:[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}|[0-9]{14,19})(?![0-9])")
@@ -101,7 +102,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of looser writings that touch neither a fixed-pattern span nor each other."""
     found = []
-    if any(mark in text for mark in ("at)", "at]", "AT)", "AT]")):
+    if _HIDDEN_AT.search(text):
         found += [(m.start(), 0, m.end()) for m in _HIDDEN_EMAIL.finditer(text)]
     if _DIGIT.search(text):
         if ":" in text:

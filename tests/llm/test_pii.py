@@ -84,3 +84,9 @@ def test_odd_rows(odd, none):
     assert found.count() == odd.count() and redact(found).count() == odd.count()
     assert find_spans(none, train(none)).collect() == []
     assert base_spans("7" * 200000 + " " + "a@" * 50000 + " " + "1.." * 50000 + "x " + "+1" * 50000) == []
+
+
+def test_hidden_addresses_in_any_case():
+    for at, dot in (("(at)", "(dot)"), ("(At)", "(Dot)"), ("[aT]", "[DOT]"), ("(AT)", ".")):
+        text = f"write to jo {at} mail {dot} org today"
+        assert [(text[a:b], k) for a, k, b in loose_spans(text, [])] == [(f"jo {at} mail {dot} org", 0)]
