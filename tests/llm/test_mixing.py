@@ -52,3 +52,13 @@ def test_odd_rows(odd, none):
     assert (by_id[1]["size"], by_id[1].taken, by_id[2]["size"], by_id[3]["size"]) == (0, 0, 0, 0)
     assert by_id[7]["size"] == 30000 and dict(mixed.dtypes)["target"] == "double"
     assert mix(none).collect() == []
+
+
+def test_one_row_per_source_is_taken_in_part(spark):
+    """Null ids share a key: one-word documents, full copies and different texts all count whole but one."""
+    rows = [(None, "w", "a")] * 30 + [(None, f"x{i} y z", "b") for i in range(30)] + [(None, "q r s", None)] * 20 + [(1, "t u", "c")]
+    mixed = mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), weights=(7, 2, 3), most=2).collect()
+    assert len(mixed) == len(rows)
+    for source in ("a", "b", "c", None):
+        own = [r for r in mixed if r.source == source]
+        assert sum(r.taken for r in own) == int(own[0].target) and sum(r.taken % r["size"] > 0 for r in own) <= 1
