@@ -166,8 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
 
     Shared counts come from all of docs, class counts from all labelled ones. The driver gets one
     row per n-gram that occurs, at most CELLS. The calibration is fitted to `sample` labelled
-    documents, those with the smallest hashes of their ids: each is scored by a model that has
-    counted only the other half of the labelled documents. Null labels and ids do not count, and
+    documents, those with the smallest hashes of their ids, a repeated id by one of its rows: each
+    is scored by a model that has counted only the other half of the labelled documents. Null labels and ids do not count, and
     repeated labels count once. Without labels of both classes every score is a half.
     """
     spark = docs.sparkSession
@@ -195,8 +195,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     key = F.xxhash64("_of", F.lit(11))
     chosen = checkpointed(marks.select("_of", "_label", key.alias("_key")).orderBy("_key", "_of", "_label").limit(sample))
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    found = texts.join(chosen, F.col("_id") == F.col("_of")).select("_label", crossed("_text", half).alias("x"))
-    rows = sorted((r["x"]["mean"], r["x"]["most"], r["_label"]) for r in found.orderBy("x", "_label").limit(2 * sample).collect())
+    found = texts.join(chosen, F.col("_id") == F.col("_of")).select("_of", "_label", F.xxhash64("_text").alias("_hash"), crossed("_text", half).alias("x"))
+    found = found.groupBy("_of", "_label").agg(F.min_by("x", F.struct("_hash", "x")).alias("x"))
+    rows = sorted((r["x"]["mean"], r["x"]["most"], r["_label"]) for r in found.collect())
     both = len({r[2] for r in rows}) == 2
     x = np.array([r[:2] for r in rows] if both else []).reshape(-1, 2)
     return ToxicityModel(tables["all"], _calibrate(x, np.array([r[2] for r in rows] if both else [])))

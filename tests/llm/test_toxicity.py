@@ -57,3 +57,12 @@ def test_odd_rows(spark, odd, none):
     assert len({r.score for r in rows if not (r.text or "").strip()}) == 1
     half = train(none, labels)
     assert {r.score for r in score(odd, half).collect()} == {0.5} and score(none, model).collect() == []
+
+
+def test_repeated_rows_do_not_push_others_out_of_the_calibration(spark):
+    texts = {1: "a calm note on rivers", 2: "you stupid moron", 3: "a calm day in spring", 4: "stupid stupid loser"}
+    rows = [(d, t) for d, t in texts.items()] + [(1, texts[1])] * 30
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (4, 1)], "doc_id bigint, toxic int")
+    model = train(docs, labels, sample=4)
+    assert model.weights.any() and model.score(texts[2]) > model.score(texts[1])
