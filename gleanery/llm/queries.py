@@ -187,3 +187,39 @@ def _(spark, sf_dir):
     from .licenses import scan
 
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+CONTAMINATION_CHECK = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id,
+           coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}'), []) AS w
+    FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS w FROM benchmark),
+lengths AS (SELECT DISTINCT least(len(w), 10) AS size FROM items WHERE len(w) > 0),
+windows AS (
+    SELECT DISTINCT item_id, array_to_string(w[i:i + size - 1], ' ') AS phrase
+    FROM (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
+found AS (
+    SELECT doc, i, size, phrase
+    FROM (SELECT doc, i, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+          FROM (SELECT doc, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, lengths WHERE len(w) >= size))
+    WHERE phrase IN (SELECT phrase FROM windows)),
+hits AS (SELECT doc, count(DISTINCT place) AS n_hit FROM (SELECT doc, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc),
+listed AS (
+    SELECT doc, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc, item_id::VARCHAR AS item FROM found JOIN windows USING (phrase) WHERE item_id IS NOT NULL) GROUP BY doc)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (doc) LEFT JOIN listed USING (doc)"""
+
+
+@query("op13_decontamination", CONTAMINATION_CHECK)
+def _(spark, sf_dir):
+    from .contamination import decontaminate
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated"
+    )

@@ -28,7 +28,7 @@ SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls in every column, empty and long texts, repeated rows and ids."""
-    return spark.createDataFrame(ODD, SCHEMA).cache()
+    return spark.createDataFrame(ODD, SCHEMA)
 
 
 @pytest.fixture(scope="session")
@@ -43,4 +43,4 @@ def sf():
 
 @pytest.fixture(scope="session")
 def documents(spark, sf):
-    return spark.read.parquet(f"{sf}/documents.parquet").cache()
+    return spark.read.parquet(f"{sf}/documents.parquet")
