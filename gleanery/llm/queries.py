@@ -223,3 +223,20 @@ def _(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated"
     )
+
+
+@query("op11_whitening")
+def _(spark, sf_dir):
+    from .whitening import train, whiten
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    models = train(vectors)
+    found = whiten(vectors, models).withColumn("_d", F.size("embedding"))
+    facts = spark.createDataFrame(
+        [(d, i + 1, m.n, share, m.identity_error) for d, m in models.items() for i, share in enumerate(m.explained)],
+        "d int, component int, n bigint, explained double, identity_error double",
+    )
+    rows = found.select("vec_id", "deviation", "_d", F.posexplode("whitened").alias("_i", "whitened"))
+    return rows.join(facts, (F.col("_d") == F.col("d")) & (F.col("_i") + 1 == F.col("component"))).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
