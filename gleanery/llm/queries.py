@@ -240,3 +240,31 @@ def _(spark, sf_dir):
     return rows.join(facts, (F.col("_d") == F.col("d")) & (F.col("_i") + 1 == F.col("component"))).select(
         "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
     )
+
+
+NEGATIVES_CHECK = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
+@query("op12_hard_negatives", NEGATIVES_CHECK)
+def _(spark, sf_dir):
+    from .hardnegatives import mine
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
