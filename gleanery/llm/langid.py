@@ -206,7 +206,8 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
             sure += s.tolist()
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(sure, pa.float64())], ["lang_pred", "score"])
 
-    found = docs.withColumn("_found", predict(F.col(text)))
+    # Spark would put a filter on the result before the projection, and predict twice
+    found = docs.withColumn("_found", predict.asNondeterministic()(F.col(text)))
     return (
         found.withColumn("lang_pred", F.when(_has_letter(text), F.col("_found.lang_pred")).otherwise("und"))
         .withColumn("score", F.when(_has_letter(text), F.col("_found.score")).otherwise(0.0))

@@ -49,3 +49,11 @@ def test_odd_rows(odd, none):
     assert train(none) is None and train(odd.withColumn("lang", F.lit(None).cast("string"))) is None
     assert identify(none, train(odd)).collect() == []
     assert {r.lang_pred for r in identify(odd, None).collect()} == {"und"}
+
+
+def test_a_filter_on_the_result_does_not_predict_twice(spark, documents):
+    from gleanery.llm.langid import identify, train
+
+    kept = identify(documents, train(documents.limit(100))).filter("lang_pred <> 'und' AND score > 0.2")
+    plan = spark._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "simple")
+    assert plan.count("ArrowEvalPython") == 1
