@@ -19,8 +19,7 @@ from ..operators import audit, batching, cache, paths, responses, scan, state
 from ..operators.ordering import last_wins, with_position
 from ..session import checkpointed
 from ..sources.content_tree import split_on_disk, write_content_table
-from ..sources.state_store import StateStore
-
+from ..sources.state_store import Commit, ConcurrentChange, StateStore
 
 # Endpoints under which answers are cached.
 CONTENT, METADATA, HISTORY = "contents", "repo_metadata", "file_history"
@@ -49,7 +48,7 @@ def cached_answers(store: StateStore, given: DataFrame | None, endpoint: str) ->
     return store.read("response_cache").filter(F.col("endpoint") == endpoint).drop("endpoint")
 
 
-def add_answers(store: StateStore, entries: DataFrame, endpoint: str, asof: str) -> None:
+def add_answers(store: StateStore | Commit, entries: DataFrame, endpoint: str, asof: str) -> None:
     """Append entries (key, body, error) to the stored cache. Lookups take the latest of a key."""
     stamped = entries.select("key", "body", "error").withColumns(
         {"endpoint": F.lit(endpoint), "cached_at": F.lit(asof).cast("timestamp")}
@@ -88,10 +87,10 @@ def _answers_of(plan: Plan, answers: DataFrame) -> DataFrame:
     return plan.requests.select("batch_id", "request_key").join(responses.latest_answers(answers), "request_key")
 
 
-def _add(store: StateStore, table: str, updates: DataFrame, key: str, upsert=None) -> None:
-    """Append rows of new keys, the last of each; what is stored already is neither read nor rewritten."""
-    shaped = (upsert or state.upsert)(store.read(table).limit(0), updates, *([] if upsert else [key]))
-    store.append(table, shaped)
+def put(commit: Commit, table: str, updates: DataFrame, key: str, upsert=None) -> None:
+    """Rows replace stored ones of equal keys; of the new ones of a key the last counts."""
+    shaped = (upsert or state.upsert)(commit.read(table).limit(0), updates, *([] if upsert else [key]))
+    commit.upsert(table, shaped, key)
 
 
 # --- paths -------------------------------------------------------------------------------
@@ -114,74 +113,98 @@ def collect_paths(
     fetched = checkpointed(scan.fetched_items(plan, items, limits))
 
     known = store.read("files")
-    found = state.new_files(known, scan.scan_collected(fetched)).select("seq", "url", "sha")
+    found = checkpointed(state.new_files(known, scan.scan_collected(fetched)).select("seq", "url", "sha"))
     # New files go behind the known ones, in item order.
     behind = known.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("_behind")).first()["_behind"]
-    placed = with_position(checkpointed(found), "seq", "_position")
+    placed = with_position(found, "seq", "_position")
     fresh = placed.select(
         "url",
         "sha",
         (F.col("_position") + F.lit(behind)).alias("seq"),
         F.lit(asof).cast("timestamp").alias("discovered_at"),
     )
-    store.append("search_hits", scan.scan_hits(fetched).withColumn("hit_at", F.lit(asof).cast("timestamp")))
-    store.append("files", fresh)
+    commit = store.begin()
+    commit.append("search_hits", scan.scan_hits(fetched).withColumn("hit_at", F.lit(asof).cast("timestamp")))
+    commit.append("files", fresh)
 
     # The count of a progress row is that of the whole table, as it stands after the run.
-    total = store.read("files").count()
+    total = known.count() + found.count()
     ended = (
         scan.scan_progress_rows(plan, limits)
         .withColumn("collected", F.lit(total).cast("bigint"))
         .withColumn("completed", F.lit(True))
         .withColumn("seq", F.lit(0))
     )
-    store.replace("scan_progress", state.upsert_progress(store.read("scan_progress"), ended, asof))
+    commit.upsert("scan_progress", state.upsert_progress(commit.read("scan_progress").limit(0), ended, asof), "query")
+    commit.publish()
     return plan
 
 
-def plan_paths(store: StateStore, queries: DataFrame, first_chunk: int = paths.FIRST_CHUNK) -> DataFrame:
-    """The open range of every query, written: request is what to count and to list."""
-    return checkpointed(paths.open_ranges(queries, store.read("scan_ranges"), first_chunk))
+def plan_paths(store: StateStore, queries: DataFrame, first_chunk: int = paths.FIRST_CHUNK, rescan: bool = False) -> DataFrame:
+    """The open range of every query, written: request is what to count and to list.
+
+    rescan: start anew from size 0, also finished queries; scan numbers the scans of a query.
+    """
+    return checkpointed(paths.open_ranges(queries, store.read("scan_ranges"), first_chunk, rescan=rescan))
 
 
 def record_paths(store: StateStore, plan: DataFrame, probes: DataFrame, items: DataFrame, asof: str) -> DataFrame:
-    """Store what has landed for the open ranges and move every query on; returns the new ranges.
+    """Store what has landed and move every query on whose list is whole; returns the new ranges.
 
     probes: request, total_count (the largest answer of a request counts). items: query (the
-    request), url, sha, as search_items gives them. All landed items go to search_hits and to
-    files, those of over-full ranges too; the service's limit only decides where to go next.
-    """
-    landed = checkpointed(
-        items.filter(F.col("url").isNotNull()).join(plan.select(F.col("request").alias("query"), "lo", "hi"), "query")
-        .select("url", "sha", "query", "lo", "hi").withColumn("seq", F.monotonically_increasing_id())
-    )
-    counts = landed.groupBy(F.col("query").alias("request")).agg(F.count_distinct("url").alias("n_items"))
-    totals = probes.groupBy("request").agg(F.max("total_count").alias("total_count"))
-    moved = checkpointed(paths.next_ranges(plan.join(totals, "request", "left").join(counts, "request", "left")))
+    request), url, sha, page, attempt, item_no and total_count, as search_items gives them, and
+    scan where it is not the first. Every landed item goes to search_hits and files, also those
+    of over-full, earlier or unknown ranges; a page attempt that was taken in before is not taken
+    in again. A range is pending until its count is known and the walk over its pages has come
+    to an end, over as many calls as that takes. Items without page and attempt are a whole list.
 
-    known = store.read("files")
-    found = state.new_files(known, landed.select("seq", "url", "sha"))
-    behind = known.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("_behind")).first()["_behind"]
-    placed = with_position(checkpointed(found), "seq", "_position")
+    All tables change in one commit, so that a killed call can be repeated, and so can a finished one.
+    """
+    landed = checkpointed(paths.landed_items(items))
+    paged = "page" in items.columns
     stamp = F.lit(asof).cast("timestamp")
-    store.append("search_hits", landed.select(
-        "url", "query", F.col("lo").alias("size_min"), F.col("hi").alias("size_max"), stamp.alias("hit_at")
-    ))
-    store.append("files", placed.select(
-        "url", "sha", (F.col("_position") + F.lit(behind)).alias("seq"), stamp.alias("discovered_at")
-    ))
-
-    place = moved.select(
-        "query", F.col("next_lo").alias("lo"), F.col("next_chunk").alias("chunk"), F.col("next_empties").alias("empties"),
-        "completed", "action", F.lit(0).alias("seq"),
-    )
-    store.replace("scan_ranges", state.upsert(store.read("scan_ranges"), place, "query"))
-    progress = place.select(
-        "query", F.col("lo").alias("last_lo"), F.lit(paths.MAX_SIZE).cast("bigint").alias("max_size"),
-        F.lit(store.read("files").count()).cast("bigint").alias("collected"), "completed", "seq",
-    )
-    store.replace("scan_progress", state.upsert_progress(store.read("scan_progress"), progress, asof))
-    return moved
+    while True:
+        commit = store.begin(reads=("files", "landed_pages", "scan_ranges"))
+        taken = commit.read("landed_pages")
+        fresh_pages = checkpointed(paths.page_attempts(landed).join(taken, paths.ATTEMPT, "left_anti"))
+        fresh = checkpointed(
+            landed.filter(F.col("url").isNotNull()).join(fresh_pages.select(*paths.ATTEMPT), paths.ATTEMPT, "left_semi")
+            .withColumn("seq", F.monotonically_increasing_id())
+        )
+        known_pages = taken.unionByName(fresh_pages).join(plan.select("request", "scan"), ["request", "scan"], "left_semi")
+        totals = probes.groupBy("request").agg(F.max("total_count").alias("total_count"))
+        asked = plan.join(totals, "request", "left")
+        listed = paths.lists(known_pages, totals) if paged else paths.lists(known_pages, totals).withColumn("whole", F.lit(True))
+        moved = checkpointed(paths.next_ranges(asked.join(listed, "request", "left")))
+
+        known = commit.read("files")
+        found = state.new_files(known, fresh.select("seq", "url", "sha"))
+        behind = known.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("_behind")).first()["_behind"]
+        placed = checkpointed(with_position(checkpointed(found), "seq", "_position"))
+        commit.append("search_hits", fresh.select(
+            "url", F.col("request").alias("query"), *paths.bounds("request"), stamp.alias("hit_at")
+        ))
+        commit.append("files", placed.select(
+            "url", "sha", (F.col("_position") + F.lit(behind)).alias("seq"), stamp.alias("discovered_at")
+        ))
+        commit.append("landed_pages", fresh_pages)
+
+        place = moved.select(
+            "query", F.col("next_lo").alias("lo"), F.col("next_chunk").alias("chunk"), F.col("next_empties").alias("empties"),
+            "completed", "action", "scan",
+        )
+        commit.upsert("scan_ranges", place, "query")
+        # the count of a progress row is that of the whole table, as it stands after this call
+        progress = place.select(
+            "query", F.col("lo").alias("last_lo"), F.lit(paths.MAX_SIZE).cast("bigint").alias("max_size"),
+            F.lit(known.count() + placed.count()).cast("bigint").alias("collected"), "completed", F.lit(0).alias("seq"),
+        )
+        commit.upsert("scan_progress", state.upsert_progress(commit.read("scan_progress").limit(0), progress, asof), "query")
+        try:
+            commit.publish()
+            return moved
+        except ConcurrentChange:
+            continue
 
 
 # --- content -----------------------------------------------------------------------------
@@ -303,20 +326,30 @@ def record_content(
     """Store text and statuses; returns the counters of the run.
 
     Answers are unpacked once, straight into the content table. What follows reads narrow
-    columns of that table: texts are never shuffled or written twice.
+    columns of that table: texts are never shuffled or written twice. A killed run is repeated
+    under its name and goes on behind the stages it has written; a finished one is refused.
     """
+    operation = unfinished(store, run)
 
     def stored(outcomes: DataFrame, stage: str) -> DataFrame:
         rows = outcomes.withColumn("status", outcome_status(F.col("outcome")))
-        return write_content_table(rows, content_path, run, stage)
+        return write_content_table(rows, content_path, run, stage, resume=True)
 
     batched = stored(batched_content(plan, answers), "batch")
     truncated = batched.filter(F.col("status") == "truncated")
     single = stored(single_content(truncated.select(*PLACE, "key", "is_hit"), singles), "single")
-    return settle_content(store, plan, [batched, single], asof)
+    return settle_content(store, plan, [batched, single], asof, operation)
+
+
+def unfinished(store: StateStore, run: str) -> str:
+    """The name under which a content run is committed; a run that is finished is refused."""
+    operation = f"content-{run}"
+    if store.done(operation):
+        raise ValueError(f"run {run} is finished; take a new name")
+    return operation
 
 
-def settle_content(store: StateStore, plan: Plan, stored: list[DataFrame], asof: str) -> DataFrame:
+def settle_content(store: StateStore, plan: Plan, stored: list[DataFrame], asof: str, operation: str) -> DataFrame:
     """Statuses, cache entries and counters of stored content rows; every item of the plan is counted once."""
 
     def fixed(rows: DataFrame, outcome: str) -> DataFrame:
@@ -336,8 +369,10 @@ def settle_content(store: StateStore, plan: Plan, stored: list[DataFrame], asof:
     counters = checkpointed(audit.outcome_counts(
         handled.unionByName(fixed(plan.rejected, "error")).unionByName(failed).unionByName(fixed(pending, "pending"))
     ))
-    add_answers(store, content_entries(rows.filter("status <> 'failed'")), CONTENT, asof)
-    _add(store, "content_status", updates, "url")
+    commit = store.begin(operation)
+    add_answers(commit, content_entries(rows.filter("status <> 'failed'")), CONTENT, asof)
+    put(commit, "content_status", updates, "url")
+    commit.publish()
     return counters
 
 
@@ -391,8 +426,10 @@ def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str
     counters = checkpointed(audit.outcome_counts(outcomes.unionByName(_unanswered(plan, answers))))
     whole = F.to_json(F.struct(*responses.metadata_columns(F.col("repo"))), {"ignoreNullFields": "false"})
     body = F.when(F.col("error").isNull(), whole).otherwise(error_body(F.col("error")))
-    add_answers(store, answered.filter("batch_ok").select("key", body.alias("body"), "error"), METADATA, asof)
-    _add(store, "repo_metadata", updates, "repo_key", state.upsert_metadata)
+    commit = store.begin()
+    add_answers(commit, answered.filter("batch_ok").select("key", body.alias("body"), "error"), METADATA, asof)
+    put(commit, "repo_metadata", updates, "repo_key", state.upsert_metadata)
+    commit.publish()
     return counters
 
 
@@ -452,8 +489,10 @@ def record_history(store: StateStore, plan: Plan, answers: DataFrame, asof: str)
         .unionByName(_unanswered(plan, answers))
     )
     counters = checkpointed(audit.outcome_counts(outcomes))
-    add_answers(store, history_entries(answered.filter("batch_ok")), HISTORY, asof)
-    _add(store, "file_history", updates, "url")
+    commit = store.begin()
+    add_answers(commit, history_entries(answered.filter("batch_ok")), HISTORY, asof)
+    put(commit, "file_history", updates, "url")
+    commit.publish()
     return counters
 
 

@@ -75,6 +75,7 @@ def record_content(
 
     singles: owner, repo, ref, path, status, error, content (base64), is_folder, is_link, target.
     """
+    operation = jobs.unfinished(store, run)
     landed = checkpointed(_followed(_latest(singles, FILE, "content")))
     wanted = plan.open_items.select(*PLACE, "key").withColumn("is_hit", F.lit(False))
     answers = wanted.select("url", *FILE).join(landed, FILE).select("url", "status", "error", "content", "is_folder")
@@ -90,8 +91,8 @@ def record_content(
         text.decoded_text(content).alias("text"),
     )
     rows = fresh.unionByName(cached).withColumn("status", jobs.outcome_status(F.col("outcome")))
-    stored = write_content_table(rows, content_path, run, "single")
-    return jobs.settle_content(store, plan, [stored], asof)
+    stored = write_content_table(rows, content_path, run, "single", resume=True)
+    return jobs.settle_content(store, plan, [stored], asof, operation)
 
 
 # --- metadata and history ----------------------------------------------------------------
@@ -149,8 +150,10 @@ def _record(store, plan, answered, key, table, endpoint, stored: StructType, aso
         "error",
         F.col("error").isNull().alias("_found"),
     )
-    jobs.add_answers(store, last_wins(lasting, "key", ["_found", "body"]), endpoint, asof)
-    jobs._add(store, table, updates, key, upsert)
+    commit = store.begin()
+    jobs.add_answers(commit, last_wins(lasting, "key", ["_found", "body"]), endpoint, asof)
+    jobs.put(commit, table, updates, key, upsert)
+    commit.publish()
     return counters
 
 

@@ -58,7 +58,10 @@ SCAN_PROGRESS = _struct(
 )
 
 # Where the scan of each query stands, and what its last range was marked with.
-SCAN_RANGES = _struct(query=STRING, lo=LONG, chunk=LONG, empties=LONG, completed=BOOLEAN, action=STRING)
+SCAN_RANGES = _struct(query=STRING, lo=LONG, chunk=LONG, empties=LONG, completed=BOOLEAN, action=STRING, scan=LONG)
+
+# Every page attempt that was taken in, by the scan that asked for it.
+LANDED_PAGES = _struct(request=STRING, scan=LONG, page=LONG, attempt=LONG, n_items=LONG, total_count=LONG)
 
 RESPONSE_CACHE = _struct(key=STRING, body=STRING, error=STRING, cached_at=TIME, endpoint=STRING)
 
@@ -70,6 +73,7 @@ STATE_TABLES = {
     "content_status": CONTENT_STATUS,
     "scan_progress": SCAN_PROGRESS,
     "scan_ranges": SCAN_RANGES,
+    "landed_pages": LANDED_PAGES,
     "response_cache": RESPONSE_CACHE,
     "rejected_pages": _struct(query=STRING, line=STRING),
     "ingested_batches": _struct(stream=STRING, batch_id=LONG),
@@ -78,6 +82,15 @@ STATE_TABLES = {
 # Tables in folders by the values of a column; a reader of one value opens no other file.
 PARTITIONS = {"response_cache": "endpoint"}
 
+# Keys of the tables in which a row replaces an older one.
+KEYS = {
+    "repo_metadata": "repo_key",
+    "file_history": "url",
+    "content_status": "url",
+    "scan_progress": "query",
+    "scan_ranges": "query",
+}
+
 # Bodies of cached answers.
 STORED_METADATA = StructType([f for f in REPO_METADATA.fields if f.name not in ("repo_key", "fetched_at")])
 STORED_HISTORY = _struct(commits=ArrayType(COMMIT))

@@ -64,17 +64,20 @@ def split_on_disk(parsed: DataFrame, tree: DataFrame) -> DataFrame:
     )
 
 
-def write_content_table(content: DataFrame, path: str, run: str, stage: str = "batch") -> DataFrame:
+def write_content_table(content: DataFrame, path: str, run: str, stage: str = "batch", resume: bool = False) -> DataFrame:
     """Write the handled items of one run and read them back.
 
-    One folder per run, stage and status. A run that was killed may be written again; one that
-    is finished is never replaced, its name is refused. Rows stay where they are: a repartition by repository would put one that holds most
+    One folder per run, stage and status. A stage that was killed may be written again; one that
+    is finished is never replaced: its name is refused, or with `resume` what it has written is
+    read. Rows stay where they are: a repartition by repository would put one that holds most
     files into one task.
     """
     folder = f"{path}/run={run}/stage={stage}"
     spark = content.sparkSession
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
     if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        if resume:
+            return spark.read.schema(content.schema).parquet(folder)
         raise ValueError(f"run {run} is finished; take a new name")
     (
         content.write.mode("overwrite")

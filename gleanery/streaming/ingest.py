@@ -13,7 +13,7 @@ from ..operators.ordering import with_position
 from ..operators.responses import search_items
 from ..operators.state import new_files
 from ..session import checkpointed
-from ..sources.state_store import StateStore
+from ..sources.state_store import ConcurrentChange, StateStore
 
 _RANGE = r" size:([0-9]+)\.\.([0-9]+)$"
 
@@ -26,35 +26,39 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
 def take_in(store: StateStore, pages: DataFrame, stream: str, batch_id: int) -> None:
     """Store the pages of one micro-batch: items as hits, new URLs as files, broken lines as rejects.
 
-    A batch that is in ingested_batches is done. One that was killed before is repeated: what it
-    had appended stays, under the batch's name, and the rest is added. A URL known from an earlier
-    batch is not added again. Compact the tables between runs, not in the middle of one.
+    All of it is one commit under the batch's name: a killed batch has left nothing and is
+    repeated, a finished one is not. Where another writer has added files meanwhile, the batch is
+    worked out again, so that a URL is never added twice.
     """
-    done = store.read("ingested_batches").filter((F.col("stream") == stream) & (F.col("batch_id") == batch_id))
-    if not done.isEmpty():
-        return
     once = f"{stream}-{batch_id}"
+    if store.done(once):
+        return
     landed = checkpointed(pages)
     now = F.current_timestamp()
-    store.append("rejected_pages", landed.filter(F.col("_line").isNotNull()).select("query", F.col("_line").alias("line")), once)
-
     items = search_items(landed.filter(F.col("query").isNotNull())).filter(F.col("url").isNotNull())
     bounds = [F.regexp_extract("query", _RANGE, i).try_cast("bigint").alias(n) for i, n in ((1, "size_min"), (2, "size_max"))]
-    store.append("search_hits", items.select("url", "query", *bounds, now.alias("hit_at")), once)
-
     # The first of a URL is that of page order, then of the place on the page.
     order = F.struct("query", "page", "attempt", "item_no").alias("seq")
-    known = store.read("files")
-    fresh = checkpointed(new_files(known, items.select("url", "sha", order)).select(
-        "url", "sha", F.monotonically_increasing_id().alias("seq")
-    ))
-    behind = known.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("_behind")).first()["_behind"]
-    placed = with_position(fresh, "seq", "_position")
-    store.append("files", placed.select(
-        "url", "sha", (F.col("_position") + F.lit(behind)).alias("seq"), now.alias("discovered_at")
-    ), once)
-    mark = store.spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch_id).alias("batch_id"))
-    store.append("ingested_batches", mark, once)
+    while True:
+        commit = store.begin(once, reads=("files",))
+        commit.append("rejected_pages", landed.filter(F.col("_line").isNotNull()).select("query", F.col("_line").alias("line")))
+        commit.append("search_hits", items.select("url", "query", *bounds, now.alias("hit_at")))
+        known = commit.read("files")
+        fresh = checkpointed(new_files(known, items.select("url", "sha", order)).select(
+            "url", "sha", F.monotonically_increasing_id().alias("seq")
+        ))
+        behind = known.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("_behind")).first()["_behind"]
+        placed = with_position(fresh, "seq", "_position")
+        commit.append("files", placed.select(
+            "url", "sha", (F.col("_position") + F.lit(behind)).alias("seq"), now.alias("discovered_at")
+        ))
+        mark = store.spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch_id).alias("batch_id"))
+        commit.append("ingested_batches", mark)
+        try:
+            commit.publish()
+            return
+        except ConcurrentChange:
+            continue
 
 
 def ingest_pages(

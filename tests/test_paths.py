@@ -20,7 +20,9 @@ ITEMS = "query string, url string, sha string"
     (7, 7, 1, 0, 5000, 1000, ("over_full", 8, 2, 0, False)),
     (7, 7, 1, 0, 5000, 400, ("collected", 8, 2, 0, False)),
     (0, 99, 100, 3, 999, 999, ("collected", 100, 200, 0, False)),
-    (0, 99, 100, 3, 5, None, ("collected", 100, 200, 0, False)),
+    (0, 99, 100, 3, 5, None, ("pending", 0, 100, 3, False)),
+    (0, 99, 100, 3, 5, 5, ("collected", 100, 200, 0, False)),
+    (7, 7, 1, 3, 5000, None, ("pending", 7, 1, 3, False)),
     (900_000, 1_000_000, 800_000, 0, 3, 3, ("collected", 1_000_001, 1_000_000, 0, True)),
     (1_000_000, 1_000_000, 1, 0, 0, None, ("empty", 1_000_001, 2, 1, True)),
 ])
@@ -76,10 +78,103 @@ def test_store_appends_cost_what_they_add(spark, tmp_path):
     store.replace("files", rows(0, 5))
     store.append("files", rows(5, 6))
     store.append("files", rows(6, 8))
-    torn = next(p for p in (tmp_path / "state" / "files").iterdir() if p.name.startswith("delta=") and
-                spark.read.parquet(str(p)).count() == 1)
+    torn = store.begin()
+    torn.append("files", rows(8, 9))  # as a killed job leaves it
     assert store.read("files").count() == 8
-    (torn / "_SUCCESS").unlink()
-    assert store.read("files").count() == 7
     store.compact("files")
-    assert store.read("files").count() == 7 and len(store._parts("files")) == 1
+    assert store.read("files").count() == 8 and len(store._latest()[1]["tables"]["files"]) == 1
+
+
+PAGES = "query string, page long, attempt long, total_count long, item_no int, url string, sha string"
+COUNTS = "request string, total_count long"
+
+
+def pages(request, urls, total, page=1, attempt=1):
+    """The rows of one landed page; an empty one keeps a row."""
+    return [(request, page, attempt, total, i, u, "s") for i, u in enumerate(urls)] or [(request, page, attempt, total, None, None, None)]
+
+
+@pytest.fixture
+def path_stage(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "state"))
+    store.create()
+
+    def record(plan, probes, items):
+        moved = jobs.record_paths(store, plan, spark.createDataFrame(probes, COUNTS), spark.createDataFrame(items, PAGES), ASOF)
+        return {r.query: r.action for r in moved.collect()}
+
+    return store, record
+
+
+def test_count_before_its_list_waits_and_nothing_landed_is_lost(spark, path_stage):
+    store, record = path_stage
+    queries = spark.createDataFrame([("q",)], "query string")
+    plan = jobs.plan_paths(store, queries)
+    (first,) = plan.collect()
+    assert (first.lo, first.hi) == (0, 9_999)
+    request, urls = first.request, [f"u{i}" for i in range(250)]
+    assert record(plan, [(request, 250)], []) == {"q": "pending"}
+    assert record(plan, [(request, 250)], pages(request, urls[:100], 250)) == {"q": "pending"}
+    third = pages(request, urls[200:], 250, 3)
+    # the third page before the second, and the first once more
+    assert record(plan, [], third + pages(request, urls[:100], 250)) == {"q": "pending"}
+    assert store.read("files").count() == 150 and store.read("search_hits").count() == 150
+    assert record(plan, [(request, 250)], pages(request, urls[100:200], 250, 2)) == {"q": "collected"}
+    (following,) = jobs.plan_paths(store, queries).collect()
+    assert (following.lo, following.hi) == (10_000, 29_999)
+    # a page of the earlier range that lands now, and the whole delivery again
+    late = pages(request, ["late", "u1"], 252, 4)
+    for _ in range(2):
+        assert record(jobs.plan_paths(store, queries), [], late + third) == {"q": "pending"}
+    assert sorted(r.url for r in store.read("files").collect()) == sorted([*urls, "late"])
+    hits = store.read("search_hits").collect()
+    assert len(hits) == 252 and {(h.size_min, h.size_max) for h in hits} == {(0, 9_999)}
+    assert sorted(r.seq for r in store.read("files").collect()) == list(range(251))
+
+
+@pytest.mark.parametrize("tries, empty_after, want", [
+    ([(1, 100), (2, 0)], 250, "pending"),
+    ([(1, 100), (2, 0), (2, 0)], 250, "pending"),
+    ([(1, 100), (2, 0), (2, 0), (2, 0)], 250, "collected"),
+    ([(1, 100), (2, 0)], 100, "collected"),
+    ([(1, 0), (1, 100)], 100, "collected"),
+    ([(1, 0), (1, 0), (1, 0)], 30, "collected"),
+])
+def test_walk_over_pages_says_when_a_list_is_whole(spark, path_stage, tries, empty_after, want):
+    store, record = path_stage
+    plan = jobs.plan_paths(store, spark.createDataFrame([("q",)], "query string"))
+    request, seen, rows = plan.first().request, {}, []
+    for page, n in tries:
+        seen[page] = seen.get(page, 0) + 1
+        rows += pages(request, [f"u{page}.{i}" for i in range(n)], empty_after, page, seen[page])
+    assert record(plan, [(request, empty_after)], rows) == {"q": want}
+
+
+def test_lonely_large_file_is_found(spark, path_stage):
+    store, record = path_stage
+    queries = spark.createDataFrame([("q",)], "query string")
+    while True:
+        plan = jobs.plan_paths(store, queries)
+        if plan.isEmpty():
+            break
+        (r,) = plan.collect()
+        there = r.lo <= 500_000 <= r.hi
+        record(plan, [(r.request, int(there))], pages(r.request, ["large"] if there else [], int(there)))
+    assert [r.url for r in store.read("files").collect()] == ["large"]
+
+
+def test_rescan_starts_anew_and_takes_its_own_pages(spark, path_stage):
+    store, record = path_stage
+    queries = spark.createDataFrame([("q",)], "query string")
+    plan = jobs.plan_paths(store, queries, first_chunk=1_000_001)
+    request = plan.first().request
+    assert record(plan, [(request, 1)], pages(request, ["a"], 1)) == {"q": "collected"}
+    assert jobs.plan_paths(store, queries).isEmpty()
+    again = jobs.plan_paths(store, queries, first_chunk=1_000_001, rescan=True)
+    assert again.first().scan == 1 and again.first().request == request
+    second = spark.createDataFrame(pages(request, ["a", "b"], 2), PAGES).withColumn("scan", F.lit(1))
+    counts = spark.createDataFrame([(request, 2)], COUNTS)
+    for _ in range(2):
+        jobs.record_paths(store, again, counts, second, ASOF)
+    assert {r.url for r in store.read("files").collect()} == {"a", "b"} and store.read("search_hits").count() == 3
+    assert jobs.plan_paths(store, queries).isEmpty()
