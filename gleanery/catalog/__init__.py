@@ -4,7 +4,7 @@ from .registry import CHECKS, QUERIES
 
 
 def _load() -> None:
-    from . import job_queries, response_queries, scan_queries, state_queries  # noqa: F401
+    from . import commit_queries, job_queries, response_queries, scan_queries, state_queries  # noqa: F401
 
 
 def all_queries():

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from ..functions import keys, text, urls
 from ..operators import audit, paths, state
 from ..plans import calls, jobs, singles
+from ..sources.content_tree import write_content_table
 from ..sources.state_store import StateStore
 from ..streaming.ingest import ingest_pages, ingested_files
 from . import scenario
-from ..session import shared_folder
+from ..session import checkpointed, shared_folder
 from .registry import query
 from .response_queries import ANSWERED, ASOF, CONTENT_ERROR, _batched, landed_pages
 from .scan_queries import CLAIMED, LIMITS, OVERLAP, _fetched, _walk
@@ -104,7 +105,7 @@ JOB_PENDING = """pending AS (
     AND p.lang <> 'de')"""
 
 
-@query("job_content", f"""{with_views('content_status', 'blobs')}, {PARSED}, {JOB_PENDING},
+JOB_CONTENT = f"""{with_views('content_status', 'blobs')}, {PARSED}, {JOB_PENDING},
     asked AS (SELECT * FROM pending WHERE lang <> 'fr'), {_batched(50, "asked")}, {ANSWERED},
     named AS (SELECT url, text, byte_size, {CONTENT_ERROR} AS error FROM answered WHERE batch_ok),
     fresh AS (SELECT url, CASE WHEN error = 'truncated' AND byte_size > 20000 THEN 'not_found'
@@ -116,9 +117,22 @@ JOB_PENDING = """pending AS (
                 AND NOT EXISTS (SELECT 1 FROM content_status c WHERE c.url = p.url)),
     cached AS (SELECT url, 'fetched' AS status FROM pending WHERE lang = 'fr')
     SELECT url, status FROM content_status UNION ALL SELECT url, status FROM fresh
-    UNION ALL SELECT url, status FROM on_disk UNION ALL SELECT url, status FROM cached""")
+    UNION ALL SELECT url, status FROM on_disk UNION ALL SELECT url, status FROM cached"""
+
+
+@query("job_content", JOB_CONTENT)
 def _(spark, sf):
     """German files are on disk, French ones cached; the rest is asked for in batches."""
+    return _content_run(spark, sf)
+
+
+@query("job_content_killed", JOB_CONTENT)
+def _(spark, sf):
+    """The same run, killed with its first stage written and its commit half filled, and repeated under its name."""
+    return _content_run(spark, sf, killed=True)
+
+
+def _content_run(spark, sf, killed=False):
     store = _store(spark, sf)
     store.append("content_status", view(spark, sf, "content_status"))
     parsed = state.parsed_files(view(spark, sf, "files"))
@@ -133,21 +147,43 @@ def _(spark, sf):
     plan = jobs.plan_content(store, tree, cached, ASOF)
     blobs = view(spark, sf, "blobs")
     answers = _landed(plan, scenario.content_bodies(plan.open_items, blobs))
+    if killed:
+        rows = jobs.batched_content(plan, answers).withColumn("status", jobs.outcome_status(F.col("outcome")))
+        write_content_table(rows, f"{store.root}/content", "first")
+        store.begin("content-first").append("content_status", rows.select("url", "status"))
     jobs.record_content(
         store, plan, answers, scenario.single_answers(blobs), f"{store.root}/content", "first", ASOF
     )
     return store.read("content_status").select("url", "status")
 
 
-@query("job_metadata", f"""{with_views('repo_bodies')}, {REPOS}, {METADATA}
+JOB_METADATA = f"""{with_views('repo_bodies')}, {REPOS}, {METADATA}
     SELECT repo_key, stars, forks, coalesce(watchers, -1) AS watchers, language, topics, default_branch FROM repo_metadata
-    WHERE repo_key IN (SELECT repo_key FROM repo_files)""")
+    WHERE repo_key IN (SELECT repo_key FROM repo_files)"""
+
+
+@query("job_metadata", JOB_METADATA)
+def _(spark, sf):
+    return _metadata_run(spark, sf)
+
+
+@query("job_metadata_repeated", JOB_METADATA)
 def _(spark, sf):
+    """One plan recorded three times: with half of its answers, with all, and with all once more."""
+    return _metadata_run(spark, sf, times=3)
+
+
+def _metadata_run(spark, sf, times=1):
     store = _store(spark, sf)
     nothing = spark.createDataFrame([], "key string, body string, error string, cached_at timestamp")
     plan = jobs.plan_metadata(store, nothing, ASOF)
-    bodies = scenario.metadata_bodies(plan.open_items, view(spark, sf, "repo_bodies"))
-    jobs.record_metadata(store, plan, _landed(plan, bodies), ASOF)
+    landed = checkpointed(_landed(plan, scenario.metadata_bodies(plan.open_items, view(spark, sf, "repo_bodies"))))
+    for i in range(times):
+        jobs.record_metadata(store, plan, landed if i or times == 1 else landed.filter(F.crc32("request_key") % 2 == 0), ASOF)
+    return _stored_metadata(store)
+
+
+def _stored_metadata(store):
     return store.read("repo_metadata").select(
         "repo_key",
         "stars",
@@ -159,6 +195,24 @@ def _(spark, sf):
     )
 
 
+@query("late_answers", JOB_METADATA)
+def _(spark, sf):
+    """Two planners at a time, a third when their leases have ended; answers to the first and the third land, most of them twice."""
+    store, bodies = _store(spark, sf), view(spark, sf, "repo_bodies")
+    nothing = spark.createDataFrame([], "key string, body string, error string, cached_at timestamp")
+    first = jobs.plan_metadata(store, nothing, ASOF, batch_size=20, planner="first")
+    second = jobs.plan_metadata(store, nothing, ASOF, planner="second")  # finds every item taken
+    third = jobs.plan_metadata(store, nothing, "2024-02-09 00:00:00", batch_size=7, planner="third")
+    landed = [_landed(plan, scenario.metadata_bodies(plan.open_items, bodies)) for plan in (first, second, third)]
+    early = landed[0].filter(F.crc32("request_key") % 2 == 0)
+    answers = checkpointed(early.unionByName(landed[1]).unionByName(landed[2]))
+    for delivery in (answers.filter(F.crc32("request_key") % 3 == 0), answers):
+        late = jobs.late_plan(store, jobs.METADATA, delivery)
+        if late is not None:
+            jobs.record_metadata(store, late, delivery, ASOF)
+    return _stored_metadata(store).filter(F.lit(second.open_items.isEmpty()))
+
+
 @query("job_history", f"""{with_views('commit_nodes')}, {PARSED}, {_batched(5)},
     newest AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord DESC) AS age FROM commit_nodes)
     SELECT b.url, min(strftime(committed_at, '%Y-%m-%dT%H:%M:%SZ')) AS first_commit,

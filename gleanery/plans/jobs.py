@@ -20,6 +20,7 @@ from ..operators.ordering import last_wins, with_position
 from ..session import checkpointed
 from ..sources.content_tree import split_on_disk, write_content_table
 from ..sources.state_store import Commit, ConcurrentChange, StateStore
+from . import ledger
 
 # Endpoints under which answers are cached.
 CONTENT, METADATA, HISTORY = "contents", "repo_metadata", "file_history"
@@ -79,6 +80,35 @@ def _keyed(requests: DataFrame) -> DataFrame:
     return checkpointed(requests.withColumn("request_key", F.sha2("request", 256)))
 
 
+def _leased(store: StateStore, stage: str, misses: DataFrame, item: str, planner: str | None, asof: str) -> DataFrame:
+    """Misses that no other planner is asking for; without a name of the planner, all."""
+    return misses if planner is None else ledger.lease(store, stage, misses, item, planner, asof)
+
+
+def _remembered(store: StateStore, stage: str, planner: str | None, plan: Plan) -> Plan:
+    if planner is not None:
+        ledger.remember(store, stage, planner, plan.open_items, plan.requests)
+    return plan
+
+
+def late_plan(store: StateStore, stage: str, answers: DataFrame) -> Plan | None:
+    """A plan of all items that these answers are for, whichever planner asked for them, and whether or not its lease has ended.
+
+    record_metadata, record_history and record_content take it like any other; what is stored
+    already is replaced, never doubled. None where no answer is to a request of the ledger.
+    """
+    found = ledger.answered_plan(store, stage, answers)
+    if found is None:
+        return None
+    open_items, requests = found
+    nothing = open_items.limit(0)
+    empty = nothing.select(*[c for c in nothing.columns if c != "batch_id"]).withColumns(
+        {"body": F.lit(None).cast("string"), "error": F.lit(None).cast("string"), "cached_at": F.lit(None).cast("timestamp")}
+    )
+    none = nothing.select(F.lit(None).cast("string").alias("url"))
+    return Plan(none, none, empty, open_items, requests)
+
+
 def _answers_of(plan: Plan, answers: DataFrame) -> DataFrame:
     """batch_id and body of the plan's answers, the latest of each request; answers of other plans drop out.
 
@@ -217,8 +247,12 @@ def plan_content(
     asof: str,
     batch_size: int = batching.CONTENT_BATCH,
     skip_read: bool = False,
+    planner: str | None = None,
 ) -> Plan:
-    """Pending files split into rejected, on disk, cached and open; the open ones batched."""
+    """Pending files split into rejected, on disk, cached and open; the open ones batched.
+
+    planner: a name under which open items are leased and remembered in the ledger.
+    """
     pending = state.files_without_content(store.read("files"), store.read("content_status"))
     split = split_on_disk(state.parsed_files(pending), tree)
     place = [F.col(c) for c in ("owner", "repo", "ref", "path")]
@@ -227,14 +261,15 @@ def plan_content(
     )
     entries = cached_answers(store, response_cache, CONTENT)
     hits, misses = _cache_split(wanted, cache.readable_entries(entries, asof, skip_read))
+    misses = _leased(store, CONTENT, misses, "url", planner, asof)
     aliased = checkpointed(batching.assign_aliases(batching.assign_batches(misses, batch_size)))
-    return Plan(
+    return _remembered(store, CONTENT, planner, Plan(
         rejected=state.rejected_files(pending).select("url"),
         skipped=split.filter("on_disk").select("url"),
         hits=hits,
         open_items=aliased,
         requests=_keyed(batching.content_requests(aliased)),
-    )
+    ))
 
 
 PLACE = ["url", "owner", "repo", "ref", "path"]
@@ -385,13 +420,16 @@ def plan_metadata(
     asof: str,
     batch_size: int = batching.METADATA_BATCH,
     retry_errors: bool = False,
+    skip_read: bool = False,
+    planner: str | None = None,
 ) -> Plan:
     missing = state.repos_without_metadata(store.read("files"), store.read("repo_metadata"))
     keyed = missing.withColumn("key", keys.metadata_key(F.col("repo_key")))
-    entries = cache.readable_entries(cached_answers(store, response_cache, METADATA), asof, retry_errors=retry_errors)
+    entries = cache.readable_entries(cached_answers(store, response_cache, METADATA), asof, skip_read, retry_errors)
     hits, misses = _cache_split(keyed, entries)
+    misses = _leased(store, METADATA, misses, "repo_key", planner, asof)
     batched = checkpointed(batching.assign_batches(misses, batch_size))
-    return Plan(None, None, hits, batched, _keyed(batching.metadata_requests(batched)))
+    return _remembered(store, METADATA, planner, Plan(None, None, hits, batched, _keyed(batching.metadata_requests(batched))))
 
 
 def record_metadata(store: StateStore, plan: Plan, answers: DataFrame, asof: str) -> DataFrame:
@@ -442,21 +480,24 @@ def plan_history(
     asof: str,
     batch_size: int = batching.HISTORY_BATCH,
     retry_errors: bool = False,
+    skip_read: bool = False,
+    planner: str | None = None,
 ) -> Plan:
     pending = state.files_without_history(store.read("files"), store.read("file_history"))
     parsed = state.parsed_files(pending)
     key = keys.history_key(F.col("owner"), F.col("repo"), F.col("path"))
     wanted = parsed.select(*PLACE, "seq", key.alias("key"))
-    entries = cache.readable_entries(cached_answers(store, response_cache, HISTORY), asof, retry_errors=retry_errors)
+    entries = cache.readable_entries(cached_answers(store, response_cache, HISTORY), asof, skip_read, retry_errors)
     hits, misses = _cache_split(wanted, entries)
+    misses = _leased(store, HISTORY, misses, "url", planner, asof)
     aliased = checkpointed(batching.assign_aliases(batching.assign_batches(misses, batch_size)))
-    return Plan(
+    return _remembered(store, HISTORY, planner, Plan(
         rejected=state.rejected_files(pending).select("url"),
         skipped=None,
         hits=hits,
         open_items=aliased,
         requests=_keyed(batching.history_requests(aliased)),
-    )
+    ))
 
 
 def record_history(store: StateStore, plan: Plan, answers: DataFrame, asof: str) -> DataFrame:

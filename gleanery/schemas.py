@@ -74,6 +74,10 @@ STATE_TABLES = {
     "scan_progress": SCAN_PROGRESS,
     "scan_ranges": SCAN_RANGES,
     "landed_pages": LANDED_PAGES,
+    "hit_ranges": _struct(url=STRING, size_min=LONG, size_max=LONG),
+    "view_progress": _struct(view=STRING, version=LONG),
+    "leases": _struct(stage=STRING, item=STRING, planner=STRING, ends_at=TIME),
+    "asked_items": _struct(stage=STRING, planner=STRING, request_key=STRING, item=STRING, shape=STRING),
     "response_cache": RESPONSE_CACHE,
     "rejected_pages": _struct(query=STRING, line=STRING),
     "ingested_batches": _struct(stream=STRING, batch_id=LONG),
@@ -89,6 +93,7 @@ KEYS = {
     "content_status": "url",
     "scan_progress": "query",
     "scan_ranges": "query",
+    "view_progress": "view",
 }
 
 # Bodies of cached answers.

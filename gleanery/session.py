@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +28,32 @@ def build_session(app_name: str = "gleanery", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables of the jobs within are deleted at the end, whether these succeed or not.
+
+    What a job returns may still read them: write or collect it within.
+    """
+    folder = shared_folder(spark)
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster names in spark.checkpoint.dir.
+    """A new folder below the one the cluster names in spark.checkpoint.dir, or below that of scratch().
 
     Where that is unset, local mode (tests) takes a temporary folder for the session.
     """
+    if _scratch.get() is not None:
+        return f"{_scratch.get()}/{uuid.uuid4().hex}"
     sc = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared is None:
