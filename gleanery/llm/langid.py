@@ -148,17 +148,20 @@ def _has_letter(text: str):
 def training_rows(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str = "lang") -> DataFrame:
     """Up to `sample` different labelled texts of each language, those with the smallest hashes.
 
-    Only hashes are ranked, and map tasks keep `sample` of them per language before the shuffle.
+    Only hashes are counted and ranked, and map tasks keep `sample` of them per language before the shuffle.
     The chosen hashes are written as a small table, so that its size is known before texts are
     read once more: these are joined where they are read and not shuffled.
     """
     known = docs.filter(F.col(lang).isNotNull() & _has_letter(text))
     keyed = known.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
+    keys = checkpointed(keyed.select("lang", "key").distinct()).withColumn("range", F.shiftright("key", 54))
+    # ranges of hashes are counted first: a common language's rows are ranked only where the smallest are
+    sizes = keys.groupBy("lang", "range").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    low = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).filter(F.col("before") < sample)
+    near = keys.join(checkpointed(low.select("lang", "range")), ["lang", "range"], "left_semi")
     first = Window.partitionBy("lang").orderBy("key")
-    chosen = (
-        keyed.select("lang", "key").distinct()
-        .withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= sample).drop("rank")
-    )
+    chosen = near.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= sample).select("lang", "key")
     return keyed.join(checkpointed(chosen), ["lang", "key"]).dropDuplicates(["lang", "key"])
 
 

@@ -57,3 +57,13 @@ def test_a_filter_on_the_result_does_not_predict_twice(spark, documents):
     kept = identify(documents, train(documents.limit(100))).filter("lang_pred <> 'und' AND score > 0.2")
     plan = spark._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "simple")
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_training_rows_are_those_with_the_smallest_hashes(spark):
+    from gleanery.llm.langid import training_rows
+
+    texts = [(f"{lang} word{i % 900}", lang) for lang, n in (("en", 2000), ("de", 30)) for i in range(n)]
+    docs = spark.createDataFrame(texts, "text string, lang string").withColumn("key", F.xxhash64("text"))
+    want = {lang: sorted({r.key for r in docs.collect() if r.lang == lang})[:50] for lang in ("en", "de")}
+    got = training_rows(docs, sample=50).collect()
+    assert {lang: sorted(r.key for r in got if r.lang == lang) for lang in want} == want
