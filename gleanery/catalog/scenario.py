@@ -139,6 +139,16 @@ VIEWS = {
     "reported": """
         SELECT query AS test, CAST(sum(CASE WHEN size_bytes < 1000 THEN 1 ELSE 0 END) AS BIGINT) AS api
         FROM files GROUP BY query""",
+    # The same collections by smaller tests, and claims of very different sizes; some tests have none.
+    "small_a": "SELECT query || '/' || CAST(seq % 7 AS STRING) AS test, url FROM files WHERE lang = 'en'",
+    "small_b": """
+        SELECT f.query || '/' || CAST(f.seq % 7 AS STRING) AS test, f.url
+        FROM files f LEFT JOIN labels l ON f.seq = l.doc_id WHERE coalesce(l.toxic, 0) = 0""",
+    "claimed": """
+        SELECT query || '/' || CAST(seq % 7 AS STRING) AS test,
+               CAST(sum(CASE seq % 7 WHEN 0 THEN 1 WHEN 1 THEN 5 WHEN 2 THEN 20 WHEN 3 THEN 200 WHEN 4 THEN 2000
+                                     WHEN 5 THEN 1 END) AS BIGINT) AS api
+        FROM files GROUP BY query || '/' || CAST(seq % 7 AS STRING)""",
 }
 
 

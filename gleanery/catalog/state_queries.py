@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, text, urls
 from ..operators import audit, state
-from ..operators.ordering import first_n
 from ..sources import content_tree
 from ..sources.state_store import StateStore
 from ..session import checkpointed, shared_folder
@@ -289,41 +288,64 @@ def _(spark, sf):
 
 
 @query("upsert_history", f"""{with_views('commit_nodes')},
-    history AS (SELECT url, string_agg(left(oid, 7), ',' ORDER BY ord) AS commits, count(*) AS n,
-                       min(ord) AS seq, max(ord) AS newest FROM commit_nodes GROUP BY url)
-    SELECT h.url, CASE WHEN author IS NULL THEN '' ELSE left(oid, 7) END AS commits
-    FROM history h JOIN commit_nodes c ON h.url = c.url AND h.newest = c.ord""")
+    stored AS (SELECT url, string_agg(left(oid, 7), ',' ORDER BY ord) AS commits FROM commit_nodes GROUP BY url),
+    updates AS (
+        SELECT url, ord, CASE WHEN author IS NULL THEN '' ELSE left(oid, 7) END AS commits
+        FROM commit_nodes WHERE message LIKE 'purchase %' AND url LIKE '%/en/%'
+        UNION ALL SELECT url || '.new', ord, left(oid, 7) FROM commit_nodes WHERE message LIKE 'error %'),
+    latest AS (SELECT url, arg_max(commits, ord) AS commits FROM updates GROUP BY url)
+    SELECT url, commits FROM latest
+    UNION ALL SELECT url, commits FROM stored WHERE url NOT IN (SELECT url FROM latest)""")
 def _(spark, sf):
-    """Every commit arrives as an update that holds itself, or nothing when it has no author."""
+    """Whole stored histories: those of one language are replaced by single commits, new files come in."""
     nodes = view(spark, sf, "commit_nodes")
     commit = F.struct(F.left("oid", F.lit(7)).alias("sha"))
-    oldest = first_n(nodes, "url", "ord", 100)
-    stored = oldest.groupBy("url").agg(F.array_sort(F.collect_set(commit)).alias("commits"))
+    ordered = F.array_sort(F.collect_list(F.struct("ord", commit.alias("commit"))))
+    stored = nodes.groupBy("url").agg(F.transform(ordered, lambda c: c["commit"]).alias("commits"))
     alone = F.when(F.col("author").isNotNull(), F.array(commit)).otherwise(F.array().cast("array<struct<sha:string>>"))
-    updates = nodes.select("url", F.col("ord").alias("seq"), alone.alias("commits"))
-    return state.upsert(stored, updates, "url").select("url", F.array_join("commits.sha", ",").alias("commits"))
+    wanted = F.col("message").startswith("purchase ") & F.contains("url", F.lit("/en/"))
+    replacing = nodes.filter(wanted).select("url", F.col("ord").alias("seq"), alone.alias("commits"))
+    adding = nodes.filter(F.col("message").startswith("error ")).select(
+        F.concat("url", F.lit(".new")).alias("url"), F.col("ord").alias("seq"), F.array(commit).alias("commits")
+    )
+    return state.upsert(stored, replacing.unionByName(adding), "url").select("url", F.array_join("commits.sha", ",").alias("commits"))
+
 
+#: The first run sees all but purchases, the second one a third of the queries and some that are new.
+PROGRESS = """
+    WITH updates AS (
+        SELECT 1 AS run, event_id AS seq, 'q' || user_id AS query, event_id % 1000 AS last_lo, event_id AS collected,
+               event_type = 'view' AS completed FROM events WHERE event_type <> 'purchase'
+        UNION ALL
+        SELECT 2, event_id, 'q' || user_id || CASE WHEN event_type = 'click' THEN '.new' ELSE '' END, event_id % 1000,
+               event_id, event_type = 'purchase' FROM events WHERE user_id % 3 = 0),
+    latest AS (SELECT query, max(run) AS run FROM updates GROUP BY query)"""
 
-@query("upsert_progress", """
-    WITH updates AS (SELECT event_id AS seq, 'q' || user_id AS query, event_id % 1000 AS last_lo,
-                            CAST(1000000 AS BIGINT) AS max_size, event_id AS collected,
-                            event_type = 'purchase' AS completed FROM events)
-    SELECT query, arg_max(last_lo, seq) AS last_lo, arg_max(max_size, seq) AS max_size,
-           arg_max(collected, seq) AS collected, arg_max(completed, seq) AS is_completed
-    FROM updates GROUP BY query""")
+
+@query("upsert_progress", f"""{PROGRESS}
+    SELECT query, arg_max(last_lo, seq) AS last_lo, CAST(1000000 AS BIGINT) AS max_size, arg_max(collected, seq) AS collected,
+           CASE WHEN arg_max(completed, seq) THEN '2024-0' || run || '-01' ELSE 'open' END AS completed_on, '2024-0' || run || '-01' AS updated_on
+    FROM updates JOIN latest USING (query, run) GROUP BY query, run""")
 def _(spark, sf):
-    updates = table(spark, sf, "events").select(
-        F.col("event_id").alias("seq"),
-        F.concat(F.lit("q"), F.col("user_id").cast("string")).alias("query"),
-        (F.col("event_id") % 1000).alias("last_lo"),
-        F.lit(1_000_000).cast("bigint").alias("max_size"),
-        F.col("event_id").alias("collected"),
-        (F.col("event_type") == "purchase").alias("completed"),
-    )
-    current = state.empty_state(spark)["scan_progress"]
-    done = state.upsert_progress(current, updates, "2024-02-01 00:00:00")
+    """Two runs: untouched queries keep their times, replaced ones may be open again, new ones appear."""
+    events = table(spark, sf, "events")
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+
+    def run(rows, query, completed):
+        return rows.select(
+            F.col("event_id").alias("seq"), query.alias("query"), (F.col("event_id") % 1000).alias("last_lo"),
+            F.lit(1_000_000).cast("bigint").alias("max_size"), F.col("event_id").alias("collected"), completed.alias("completed"),
+        )
+
+    first = run(events.filter(kind != "purchase"), F.concat(F.lit("q"), user), kind == "view")
+    renamed = F.concat(F.lit("q"), user, F.when(kind == "click", ".new").otherwise(""))
+    second = run(events.filter(F.col("user_id") % 3 == 0), renamed, kind == "purchase")
+    done = state.upsert_progress(state.empty_state(spark)["scan_progress"], first, "2024-01-01 00:00:00")
+    done = state.upsert_progress(done, second, "2024-02-01 00:00:00")
     return done.select(
-        "query", "last_lo", "max_size", "collected", F.col("completed_at").isNotNull().alias("is_completed")
+        "query", "last_lo", "max_size", "collected",
+        F.coalesce(F.date_format("completed_at", "yyyy-MM-dd"), F.lit("open")).alias("completed_on"),
+        F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"),
     )
 
 

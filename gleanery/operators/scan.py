@@ -32,19 +32,19 @@ ACTIONS = ("empty", "stop", "narrow", "overflow", "collect")
 PLAN_SCHEMA = "query string, step long, lo long, hi long, est long, got long, action string"
 
 
-def size_histogram(items: DataFrame, limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
+def size_histogram(items: DataFrame, limits: ScanLimits = DEFAULT_LIMITS, off_axis: bool = False) -> DataFrame:
     """Items per query and size on the scan axis, with the running count of the query.
 
-    At most max_size + 1 rows per query whatever the number of items.
+    At most max_size + 1 rows per query whatever the number of items. With off_axis, items that
+    no range of the axis can list (longer ones, null and negative sizes) are one more row of their
+    query, size NULL, and come last in its running count; otherwise they are left out.
     """
-    counts = (
-        items.filter(F.col("size_bytes").between(0, limits.max_size))
-        .groupBy("query", F.col("size_bytes").alias("size"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    on_axis = F.col("size_bytes").between(0, limits.max_size)
+    kept = items if off_axis else items.filter(on_axis)
+    counts = kept.groupBy("query", F.when(on_axis, F.col("size_bytes")).alias("size")).agg(F.count(F.lit(1)).alias("n"))
     so_far = (
         Window.partitionBy("query")
-        .orderBy("size")
+        .orderBy(F.col("size").asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return counts.withColumn("running", F.sum("n").over(so_far))

@@ -170,3 +170,13 @@ def test_plan_equals_brute_force(spark, seed):
     claims = {s: rng.randrange(0, n + 1) for s, n in counts.items()}
     limits = dict(cap=5, first_chunk=rng.choice([1, 7, 50]), max_size=5000)
     assert plan_rows(spark, claims, counts, **limits) == brute_walk(counts, claims, ScanLimits(**limits))
+
+
+def test_sizes_off_the_axis_are_one_row_of_their_query(spark):
+    rows = [("a", 3), ("a", 3), ("a", 10), ("a", 11), ("a", None), ("a", -1), ("b", None), (None, 2)]
+    items = spark.createDataFrame(rows, ITEMS)
+    got = {(r.query, r.size): (r.n, r.running) for r in scan.size_histogram(items, ScanLimits(max_size=10), off_axis=True).collect()}
+    assert got == {("a", 3): (2, 2), ("a", 10): (1, 3), ("a", None): (3, 6), ("b", None): (1, 1), (None, 2): (1, 1)}
+    plain = {(r.query, r.size) for r in scan.size_histogram(items, ScanLimits(max_size=10)).collect()}
+    assert plain == {("a", 3), ("a", 10), (None, 2)}
+    assert scan.size_histogram(spark.createDataFrame([], ITEMS), off_axis=True).collect() == []
