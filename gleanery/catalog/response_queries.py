@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from ..operators import audit, batching, cache, responses, state
 from ..operators.ordering import first_n
-from ..sources import landed
+from ..sources import landed, response_log
 from ..session import checkpointed, shared_folder
 from .registry import query
 from .scenario import (
@@ -439,6 +439,23 @@ def _(spark, sf):
     )
 
 
+@query("envelope_paths", f"""{with_views('repo_bodies')}
+    SELECT repo_key, seq, coalesce(CAST(body ->> '$.data.r0.stargazerCount' AS BIGINT), -1) AS stars,
+           coalesce(CAST(body ->> '$.data.r0.watchers.totalCount' AS BIGINT), -1) AS watchers,
+           coalesce(body ->> '$.data.r0.primaryLanguage.name', '') AS language, coalesce(body ->> '$.data.r0.absent', '') AS absent
+    FROM repo_bodies""")
+def _(spark, sf):
+    """Typed paths of bodies that are written shredded; the other fields stay unread."""
+    folder = shared_folder(spark)
+    response_log.write_log(view(spark, sf, "repo_bodies"), folder)
+    paths = {
+        "stars": ("$.data.r0.stargazerCount", "bigint"), "watchers": ("$.data.r0.watchers.totalCount", "bigint"),
+        "language": ("$.data.r0.primaryLanguage.name", "string"), "absent": ("$.data.r0.absent", "string"),
+    }
+    found = response_log.read_paths(spark, folder, paths, "repo_key", "seq")
+    return found.fillna(-1, ["stars", "watchers"]).fillna("", ["language", "absent"])
+
+
 @query("response_disposition", f"""{with_views('request_log')}
     SELECT request_id,
            CASE WHEN status = 429 OR (status = 403 AND contains(lower(body_text), 'rate limit')) THEN 'rate_limited'
