@@ -12,7 +12,7 @@ from gleanery.operators import batching, state
 SF = "/root/testdata/sf0.001"
 # These run jobs or write files while they are put together; their parts are looked at alone.
 EAGER = {
-    "commit_replay", "growth_by_run", "job_content_killed", "job_metadata_repeated", "late_answers", "multi_range_hits_incremental", "path_rounds", "upsert_merge_read",
+    "commit_replay", "envelope_paths", "growth_by_run", "job_content_killed", "job_metadata_repeated", "late_answers", "multi_range_hits_incremental", "path_rounds", "upsert_merge_read",
     "content_sink", "content_tree_scan", "create_state", "export_json", "job_api", "job_collect_paths", "job_content",
     "job_content_rerun", "job_content_single", "job_history", "job_history_second_run", "job_history_single", "job_metadata",
     "job_metadata_second_run", "job_metadata_single", "record_paths", "resolve_symlinks", "resumable_ingest", "scan_collect", "scan_exact_ceiling",
