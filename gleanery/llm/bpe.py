@@ -18,7 +18,7 @@ from .common import without
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-_CACHED_WORDS = 1 << 18  # words whose ids a task remembers; a full cache is emptied
+_CACHED_WORDS = 1 << 17  # words whose ids a task remembers; a full cache is emptied
 _BLOCK = 1 << 18  # ids decoded at a time
 _ROWS = 1024  # documents worked on at a time
 
@@ -190,7 +190,7 @@ class Encoder:
         self.starts = np.cumsum(self.sizes) - self.sizes
 
 
-def _pieces(texts: pa.Array, limit: int = 1 << 21) -> Iterator[list[str | None]]:
+def _pieces(texts: pa.Array, limit: int = 1 << 18) -> Iterator[list[str | None]]:
     """The texts of a batch in runs of up to _ROWS rows and about `limit` characters.
 
     What is made of a run at a time (words, ids, decoded text) stays small; one text is never cut.
