@@ -1,157 +1,317 @@
-"""Toxicity by class-conditional Kneser-Ney models over letters, with shared backoff counts."""
+"""Toxicity by class-conditional Kneser-Ney models over the letters of whole words, with shared backoff counts.
+
+A word is a run of letters and digits in lower case, of any script. Its n-grams are five code points
+each, spaces standing before the word and one after it. All counts are Spark tables that grow with
+the corpus: one row for every n-gram that occurs, none folded, hashed or left out.
+"""
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
 from .common import fold_of, without
 
-ORDER = 4  # symbols of an n-gram
-SYMBOLS = 32  # a-z, a digit, four classes of other letters, and a space for everything else
-CELLS = SYMBOLS ** ORDER  # about a million n-grams: the size of a model, whatever the corpus
-WINDOW = 24  # symbols of a passage
+ORDER = 5  # code points of an n-gram
+LEAST_SYMBOLS = 8  # the ratio of a shorter word is divided by this all the same
 SAMPLE = 4000  # labelled documents that the score is calibrated on
-_BLOCK = 1 << 20
+HEAD = 1 << 17  # keys that every task holds, the most frequent ones; words with others go through joins
+_HELD = 1 << 17  # words a task holds before it hands their n-grams on
+_RUN = 1 << 18  # symbols worked on at a time
+_BEFORE = " " * (ORDER - 1)
+DISCOUNT = 4.0  # taken off each count of a class: what one text says a few times is left to all documents
 _ADDED = ("score", "predicted")
+_WORDS = re.compile(r"[^\W_]+").findall
+_MODELS = ("v", "v0", "v1")  # of all labelled documents; for those of half 0 and 1, from the other half
+
+
+def words_of(text: str | None) -> list[str]:
+    return _WORDS((text or "").lower())
+
+
+def _runs(words: list[str]) -> Iterator[list[str]]:
+    """The words in runs of about _RUN symbols; one word is never cut."""
+    start = size = 0
+    for i, word in enumerate(words):
+        size += len(word) + ORDER
+        if size >= _RUN:
+            yield words[start:i + 1]
+            start, size = i + 1, 0
+    if start < len(words):
+        yield words[start:]
+
 
-# Bytes as symbols: the lead byte of a longer character (31 here) is left out, the byte after it
-# gives one of four classes.
-_SYMBOL = np.zeros(256, np.uint8)
-_SYMBOL[97:123] = np.arange(1, 27)
-_SYMBOL[48:58] = 27
-_SYMBOL[128:192] = 28 + np.arange(64) % 4
-_LEAD = np.zeros(256, bool)
-_LEAD[192:] = True
+def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that end at each letter of a word and at the space after it, as rows of code points; their words."""
+    flat = np.frombuffer("".join(f"{_BEFORE}{w} " for w in words).encode("utf-32-le"), np.uint32)
+    sizes = np.array([len(w) + 1 for w in words], np.int64)
+    word = np.repeat(np.arange(len(words)), sizes)
+    starts = np.arange(len(word)) + word * (ORDER - 1)
+    return np.lib.stride_tricks.sliding_window_view(flat, ORDER)[starts], word
 
 
-def symbols(text: str | None) -> np.ndarray:
-    """The text as numbers below SYMBOLS: lower case, runs of anything but letters one space."""
-    raw = np.frombuffer(f" {(text or '').lower()} ".encode("utf-8", "replace"), np.uint8)
-    raw = raw[~_LEAD[raw]]
-    found = _SYMBOL[raw]
-    return found[np.concatenate([[True], (found[1:] != 0) | (found[:-1] != 0)])]
+def _pack(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of five code points as two numbers; contexts have a zero in the last place."""
+    g = grams.astype(np.uint64)
+    bits = np.uint64(21)
+    return ((g[:, 0] << bits | g[:, 1]) << bits) | g[:, 2], g[:, 3] << bits | g[:, 4]
 
 
-def codes(found: np.ndarray) -> np.ndarray:
-    """The n-gram that ends at each symbol, the text being preceded by spaces."""
-    padded = np.concatenate([np.zeros(ORDER - 1, np.int32), found.astype(np.int32)])
-    out = np.zeros(len(found), np.int32)
-    for i in range(ORDER):
-        out = out * SYMBOLS + padded[i:i + len(found)]
-    return out
+def _texts(grams: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(grams, "<u4").view(f"<U{ORDER}").ravel().tolist(), pa.string())
 
 
-def _count(docs: DataFrame, groups: int, group: Column | None, text: str) -> DataFrame:
-    """(cell, n0, n1, ...): n-grams of all texts, by group; each task adds up before the shuffle."""
+def _count(docs: DataFrame, groups: int, group: Column, text: str) -> DataFrame:
+    """(gram, n0, n1, ...): n-grams of all texts, by group; each task adds up before the shuffle."""
     names = [f"n{i}" for i in range(groups)]
-    columns = [F.col(text).alias("text"), (group if group is not None else F.lit(0)).cast("int").alias("g")]
+
+    def tables(words: list[Counter]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(list(set().union(*words))):
+            grams, word = ngrams(run)
+            hi, lo = _pack(grams)
+            order = np.lexsort((lo, hi))
+            first = np.flatnonzero(np.concatenate([[True], (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)]))
+            counts = [np.array([c[w] for w in run], np.int64)[word[order]] for c in words]
+            sums = [pa.array(np.add.reduceat(c, first)) for c in counts]
+            yield pa.RecordBatch.from_arrays([_texts(grams[order[first]]), *sums], ["gram", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((groups, CELLS), np.int64)
+        words = [Counter() for _ in range(groups)]
         for batch in batches:
             for t, g in zip(batch.column(0), batch.column(1).to_pylist()):
-                found = codes(symbols(t.as_py()))
-                if len(found) > 4096:
-                    counts[g] += np.bincount(found, minlength=CELLS)
-                else:
-                    np.add.at(counts[g], found, 1)
-        cells = np.flatnonzero(counts.any(0))
-        for at in range(0, len(cells), 1 << 16):
-            part = cells[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), *[pa.array(c[part]) for c in counts]], ["cell", *names])
-
-    found = docs.select(*columns).mapInArrow(run, "cell bigint, " + ", ".join(f"{n} bigint" for n in names))
-    return found.groupBy("cell").agg(*[F.sum(n).alias(n) for n in names])
-
-
-def _dense(counted: DataFrame, groups: int) -> np.ndarray:
-    """Counts as arrays of CELLS, at most that many rows."""
-    out = np.zeros((groups, CELLS), np.float64)
-    rows = counted.toArrow()
-    if rows.num_rows:
-        out[:, rows.column(0).to_numpy()] = np.array([rows.column(i + 1).to_numpy() for i in range(groups)])
-    return out
-
-
-def _discount(counts: np.ndarray) -> float:
+                words[g].update(words_of(t.as_py()))
+                if len(words[g]) > _HELD:
+                    yield from tables(words)
+                    words = [Counter() for _ in range(groups)]
+        yield from tables(words)
+
+    found = docs.select(F.col(text).alias("text"), group.cast("int").alias("g")).mapInArrow(
+        run, "gram string, " + ", ".join(f"{n} bigint" for n in names)
+    )
+    return found.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _context() -> Column:
+    return F.expr(f"substring(gram, 1, {ORDER - 1})")
+
+
+def _discount(once: int | None, twice: int | None) -> float:
     """Kneser and Ney's estimate from the n-grams seen once and twice; 0.75 where there are none."""
-    once, twice = (counts == 1).sum(), (counts == 2).sum()
-    return float(np.clip(once / (once + 2 * twice), 0.1, 0.95)) if once else 0.75
-
-
-def _interpolate(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """p(symbol | context) of counts (contexts x SYMBOLS), what is discounted going to lower."""
-    d = _discount(counts)
-    total = counts.sum(1, keepdims=True)
-    seen = (counts > 0).sum(1, keepdims=True)
-    share = np.where(total > 0, d * seen / np.maximum(total, 1), 1.0)
-    return np.maximum(counts - d, 0) / np.maximum(total, 1) + share * lower
-
-
-def shared_model(counts: np.ndarray) -> np.ndarray:
-    """Interpolated Kneser-Ney over all documents: lower orders count the contexts they continue."""
-    levels = [counts.reshape(-1, SYMBOLS)]
-    for n in range(ORDER - 1, 0, -1):
-        kinds = (levels[-1].reshape(SYMBOLS, -1) > 0).sum(0).astype(np.float64)
-        levels.append(kinds.reshape(-1, SYMBOLS))
-    p = np.full((1, SYMBOLS), 1 / SYMBOLS)
-    for level in reversed(levels):
-        p = _interpolate(level, np.tile(p, (len(level) // len(p), 1)))
+    return min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.75
+
+
+def shared_model(every: DataFrame) -> DataFrame:
+    """(gram, p): interpolated Kneser-Ney of counted n-grams (gram, n0); lower orders count the symbols before.
+
+    The driver gets two numbers an order. The tables are those of the n-grams, joined by equality.
+    """
+    levels = {ORDER: every.select("gram", F.col("n0").alias("c"))}
+    for k in range(ORDER - 1, 0, -1):
+        shorter = levels[k + 1].groupBy(F.expr("substring(gram, 2)").alias("gram"))
+        levels[k] = checkpointed(shorter.agg(F.count("*").alias("c")))
+    seen = reduce(DataFrame.unionAll, [
+        level.agg(F.lit(k).alias("k"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.count("*"))
+        for k, level in levels.items()
+    ])
+    seen = {row[0]: row[1:] for row in seen.collect()}
+    p = None
+    for k in range(1, ORDER + 1):
+        d, context = F.lit(_discount(*seen[k][:2])), F.expr(f"substring(gram, 1, {k - 1})")
+        level = levels[k].withColumn("context", context)
+        sums = level.groupBy("context").agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
+        level = level.join(sums, "context")
+        if p is None:
+            level = level.withColumn("lower", F.lit(1 / max(seen[1][2], 1)))
+        else:
+            level = level.join(p.select(F.col("gram").alias("_end"), F.col("p").alias("lower")), F.expr("substring(gram, 2)") == F.col("_end"))
+        share = d * F.col("kinds") / F.col("total")
+        p = level.select("gram", (F.greatest(F.col("c") - d, F.lit(0)) / F.col("total") + share * F.col("lower")).alias("p"))
     return p
 
 
-def log_ratio(toxic: np.ndarray, ordinary: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """log p(symbol | context, toxic) - log p(symbol | context, ordinary), for every n-gram.
+def key_table(every: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, n, v, v0, v1): what n-grams and their contexts add to log p(toxic) - log p(ordinary).
+
+    classes has counts n0 to n3 of an n-gram: ordinary ones in both halves, then toxic ones. Both
+    classes discount their own counts and give what is left to the shared model, so that an
+    expression rare in either is worth what it is worth in all documents, and tells nothing. The
+    ratio at a symbol is the value of its n-gram plus that of its context; n-grams that no class
+    has seen leave the context's alone. DISCOUNT comes off each count of a class. n is how often all documents have the key.
+    """
+    pairs = {"v": ("n2 + n3", "n0 + n1"), "v0": ("n3", "n1"), "v1": ("n2", "n0")}
+    sides = {f"{m}_{s}": F.expr(counts) for m, both in pairs.items() for s, counts in zip("to", both)}
+    counted = classes.select("gram", _context().alias("context"), *[c.alias(name) for name, c in sides.items()])
+    sums = counted.groupBy("context").agg(
+        *[F.sum(s).alias(f"{s}_total") for s in sides],
+        *[F.sum(F.least(F.col(s), F.lit(DISCOUNT))).alias(f"{s}_off") for s in sides],
+    )
+
+    def share(s: str) -> Column:
+        return F.when(F.col(f"{s}_total") > 0, F.col(f"{s}_off") / F.col(f"{s}_total")).otherwise(1.0)
+
+    def own(s: str) -> Column:
+        more = F.greatest(F.col(s) - DISCOUNT, F.lit(0)) / F.greatest(F.col(f"{s}_total"), F.lit(1))
+        return more + share(s) * F.col("p")
+
+    def ratio(of, m: str) -> Column:
+        return F.log(of(f"{m}_t")) - F.log(of(f"{m}_o"))
 
-    Both classes discount their own counts and give what is left to the shared model, so that an
-    expression rare in either is worth what it is worth in all documents, and tells nothing.
+    full = counted.join(sums, "context").join(shared_model(every), "gram")
+    grams = full.select(F.col("gram").alias("key"), *[(ratio(own, m) - ratio(share, m)).alias(m) for m in pairs])
+    contexts = sums.select(F.col("context").alias("key"), *[ratio(share, m).alias(m) for m in pairs])
+    often = every.select(F.col("gram").alias("key"), F.col("n0").alias("n")).unionAll(
+        every.groupBy(_context().alias("key")).agg(F.sum("n0").alias("n"))
+    )
+    return often.join(grams.unionAll(contexts), "key", "left").fillna(0.0, list(pairs)).select("key", "n", *pairs)
+
+
+class Head:
+    """Keys with their values, to be looked up many at a time: sorted hashes, then the keys themselves.
+
+    Of two keys with one hash the second counts as not there.
     """
-    t, o = (_interpolate(c.reshape(-1, SYMBOLS), shared) for c in (toxic, ordinary))
-    return (np.log(t) - np.log(o)).ravel().astype(np.float32)
-
-
-def features(text: str | None, ratios: np.ndarray) -> tuple[float, float]:
-    """Log-likelihood ratio per symbol, of the text and of its most toxic passage of WINDOW symbols."""
-    found = symbols(text)
-    if not found.any():
-        return 0.0, 0.0
-    total, most, n, rest = 0.0, -np.inf, len(found), min(WINDOW, len(found))
-    for at in range(0, n, _BLOCK):  # passages overlap the blocks of a long text
-        start = max(0, at - WINDOW - ORDER)
-        value = ratios[codes(found[start:at + _BLOCK])].astype(np.float64)
-        if start:
-            value = value[ORDER:]
-        total += value[(at - start - ORDER) if start else 0:].sum()
-        sums = np.concatenate([[0.0], np.cumsum(value)])
-        if len(sums) > rest:
-            most = max(most, float((sums[rest:] - sums[:-rest]).max()))
-    return total / n, most / rest
+
+    def __init__(self, keys: list[str], values: list[float]):
+        padded = np.array(keys, f"<U{ORDER}").view("<u4").reshape(-1, ORDER)
+        hi, lo = _pack(padded)
+        self.hashes, at = np.unique(self._hash(hi, lo), return_index=True)
+        self.hi, self.lo, self.values = hi[at], lo[at], np.array(values, np.float64)[at]
+
+    @staticmethod
+    def _hash(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        mixed = (hi ^ (lo << np.uint64(22))) * np.uint64(0x9E3779B97F4A7C15)
+        return mixed ^ (mixed >> np.uint64(29)) ^ lo
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of the keys, 0 for those that are not there, and which are."""
+        hi, lo = _pack(grams)
+        if not len(self.hashes):
+            return np.zeros(len(hi)), np.zeros(len(hi), bool)
+        at = np.minimum(np.searchsorted(self.hashes, self._hash(hi, lo)), len(self.hashes) - 1)
+        there = (self.hi[at] == hi) & (self.lo[at] == lo)
+        return np.where(there, self.values[at], 0.0), there
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """What keys add for each word; whether each has keys that are not there; such keys with their words."""
+        grams, word = ngrams(words)
+        contexts = grams.copy()
+        contexts[:, -1] = 0
+        both, of = np.concatenate([grams, contexts]), np.concatenate([word, word])
+        values, there = self.find(both)
+        lacking = of[~there]
+        open_ = np.zeros(len(words), bool)
+        open_[lacking] = True
+        return np.bincount(of, values, len(words)), open_, lacking, _texts(both[~there]).to_pylist()
 
 
 class ToxicityModel:
-    """The log ratios of all n-grams, and the calibration of the two features."""
+    """The table of keys, of any size, its most frequent rows, and the calibration of the two features."""
+
+    def __init__(self, keys: DataFrame, head: int = HEAD):
+        self.keys, self.weights = keys, np.zeros(3)
+        most = keys.orderBy(F.desc("n"), "key").limit(head).select("key", *_MODELS).toArrow()
+        names = most.column(0).to_pylist()
+        self.head = {m: Head(names, most.column(m).to_pylist()) for m in _MODELS}
+
+
+def _rest_of_words(docs: DataFrame, shared, model: str, keys: DataFrame) -> DataFrame:
+    """(word, more): what keys outside the head add, for every word that has such keys."""
+
+    def lacking(words: set[str]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(list(words)):
+            of, names = shared.value.words(run)[2:]
+            found = Counter((run[i], k) for i, k in zip(of.tolist(), names))
+            if found:
+                columns = [*zip(*found), list(found.values())]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, new = set(), set()
+        for batch in batches:
+            for t in batch.column(0):
+                new.update(words_of(t.as_py()))
+                if len(new) > _HELD:
+                    yield from lacking(new - done)
+                    done, new = new, set()
+        yield from lacking(new - done)
+
+    found = docs.select("_text").mapInArrow(run, "word string, key string, n bigint").distinct()
+    values = keys.select("key", F.col(model).alias("value"))
+    found = found.join(values, "key", "left").withColumn("more", F.col("n") * F.coalesce("value", F.lit(0.0)))
+    return checkpointed(found.groupBy("word").agg(F.sum("more").alias("more")))
+
 
-    def __init__(self, ratios: np.ndarray, weights: np.ndarray):
-        self.ratios, self.weights = ratios, weights
+def features(docs: DataFrame, model: ToxicityModel, text: str = "text", which: str = "v") -> DataFrame:
+    """docs with _mean, the log-likelihood ratio per symbol, and _most, that of the most toxic word.
 
-    def score(self, text: str | None) -> float:
-        z = float(_columns(np.array([features(text, self.ratios)])) @ self.weights)
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    Words whose keys are all in the head are done where the text lies. The others, rare ones by
+    the choice of the head, are joined to the table of keys, once per word; their sums are
+    joined back by two hashes of the text, equal texts having equal features.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model.head[which])
+    more = _rest_of_words(docs.select(F.col(text).alias("_text")), shared, which, model.keys)
+
+    @F.arrow_udf("struct<total double, symbols bigint, most double, rest array<struct<word string, times bigint, value double>>>")
+    def held(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str, tuple[float, bool]] = {}
+        for texts in batches:
+            rows = []
+            for t in texts:
+                total, symbols, most, rest = 0.0, 0, None, []
+                words = Counter(words_of(t.as_py()))
+                for run in _runs([w for w in words if w not in known]):
+                    values, open_ = shared.value.words(run)[:2]
+                    known.update(zip(run, zip(values.tolist(), open_.tolist())))
+                for word, times in words.items():
+                    value, more = known[word]
+                    size = len(word) + 1
+                    symbols += times * size
+                    if more:
+                        rest.append({"word": word, "times": times, "value": value})
+                        continue
+                    total += times * value
+                    value /= max(size, LEAST_SYMBOLS)
+                    most = value if most is None or value > most else most
+                rows.append({"total": total, "symbols": symbols, "most": most, "rest": rest})
+                if len(known) > _HELD:
+                    known.clear()
+            yield pa.array(rows, pa.struct([
+                ("total", pa.float64()), ("symbols", pa.int64()), ("most", pa.float64()),
+                ("rest", pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64()), ("value", pa.float64())]))),
+            ]))
+
+    key = [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(7), F.col(text)).alias("_h2")]
+    rows = docs.select("*", *key, held(F.col(text)).alias("_held"))
+    rest = rows.select("_h1", "_h2", F.explode("_held.rest").alias("_r")).select("_h1", "_h2", "_r.*").distinct()
+    value = F.col("value") + F.coalesce("more", F.lit(0.0))
+    size = F.greatest(F.char_length("word") + 1, F.lit(LEAST_SYMBOLS))
+    rest = rest.join(more, "word", "left").groupBy("_h1", "_h2").agg(
+        F.sum(F.col("times") * value).alias("_total"), F.max(value / size).alias("_peak")
+    )
+    total = F.col("_held.total") + F.coalesce("_total", F.lit(0.0))
+    return (
+        rows.join(rest, ["_h1", "_h2"], "left")
+        .withColumn("_mean", F.coalesce(F.try_divide(total, F.col("_held.symbols")), F.lit(0.0)))
+        .withColumn("_most", F.coalesce(F.greatest("_held.most", "_peak"), F.lit(0.0)))
+        .drop("_h1", "_h2", "_held", "_total", "_peak")
+    )
 
 
 def _columns(x: np.ndarray) -> np.ndarray:
-    return np.hstack([10 * x[:, :1], x[:, 1:], np.ones((len(x), 1))]).squeeze()
+    return np.hstack([10 * x[:, :1], x[:, 1:], np.ones((len(x), 1))])
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray, pull: float = 0.5, rounds: int = 50) -> np.ndarray:
     """Logistic regression by Newton steps, drawn weakly to zero; without labels the score is a half."""
-    a = np.atleast_2d(_columns(x)) if len(x) else np.zeros((0, 3))
+    a = _columns(x) if len(x) else np.zeros((0, 3))
     w, curb = np.zeros(3), pull * np.diag([0.1, 0.1, 0.01])
     for _ in range(rounds if len(a) else 0):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
@@ -161,63 +321,48 @@ def _calibrate(x: np.ndarray, y: np.ndarray, pull: float = 0.5, rounds: int = 50
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text",
-          label: str = "toxic") -> ToxicityModel:
+          label: str = "toxic", head: int = HEAD) -> ToxicityModel:
     """A model from texts of docs and the labels given.
 
-    Shared counts come from all of docs, class counts from all labelled ones. The driver gets one
-    row per n-gram that occurs, at most CELLS. The calibration is fitted to `sample` labelled
-    documents, those with the smallest hashes of their ids, a repeated id by one of its rows: each
-    is scored by a model that has counted only the other half of the labelled documents. Null labels and ids do not count, and
-    repeated labels count once. Without labels of both classes every score is a half.
+    Shared counts come from all of docs, class counts from all labelled ones; both stay Spark
+    tables. The driver gets the `head` most frequent keys, which every task will hold; the others
+    are joined, with the same result. The calibration is fitted to `sample` labelled documents,
+    those with the smallest hashes of their ids, a repeated id by one of its rows: each is scored
+    by a model that has counted only the other half of the labelled documents. Null labels and
+    ids do not count, and repeated labels count once. Without labels of both classes every score
+    is a half.
     """
-    spark = docs.sparkSession
     marks = labels.select(F.col(doc_id).alias("_of"), F.col(label).cast("int").alias("_label")).filter("_label in (0, 1)").distinct()
     half = F.xxhash64("_of", F.lit(7)).bitwiseAND(F.lit(1)).cast("int")
     # labels grow with the documents, so they are never broadcast: the same plan at every size
-    labelled = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
-        marks.hint("merge"), F.col("_id") == F.col("_of")
-    )
-    every = _dense(_count(docs, 1, None, text), 1)[0]
-    counts = _dense(_count(labelled, 4, 2 * F.col("_label") + half, "_text"), 4)
-    shared = shared_model(every)
-    tables = {
-        "all": log_ratio(counts[2] + counts[3], counts[0] + counts[1], shared),
-        0: log_ratio(counts[3], counts[1], shared),  # for the half 0, from the half 1
-        1: log_ratio(counts[2], counts[0], shared),
-    }
-    shared_tables = spark.sparkContext.broadcast((tables[0], tables[1]))
-
-    @F.arrow_udf("struct<mean double, most double>")
-    def crossed(texts: pa.Array, halves: pa.Array) -> pa.Array:
-        rows = np.array([features(t.as_py(), shared_tables.value[h]) for t, h in zip(texts, halves.to_pylist())]).reshape(-1, 2)
-        return pa.StructArray.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["mean", "most"])
+    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    labelled = texts.join(marks.hint("merge"), F.col("_id") == F.col("_of"))
+    every = checkpointed(_count(docs, 1, F.lit(0), text))
+    classes = checkpointed(_count(labelled, 4, 2 * F.col("_label") + half, "_text"))
+    model = ToxicityModel(checkpointed(key_table(every, classes)), head)
 
     key = F.xxhash64("_of", F.lit(11))
     chosen = checkpointed(marks.select("_of", "_label", key.alias("_key")).orderBy("_key", "_of", "_label").limit(sample))
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    found = texts.join(chosen, F.col("_id") == F.col("_of")).select("_of", "_label", F.xxhash64("_text").alias("_hash"), crossed("_text", half).alias("x"))
-    found = found.groupBy("_of", "_label").agg(F.min_by("x", F.struct("_hash", "x")).alias("x"))
-    rows = sorted((r["x"]["mean"], r["x"]["most"], r["_label"]) for r in found.collect())
-    both = len({r[2] for r in rows}) == 2
-    x = np.array([r[:2] for r in rows] if both else []).reshape(-1, 2)
-    return ToxicityModel(tables["all"], _calibrate(x, np.array([r[2] for r in rows] if both else [])))
+    picked = texts.join(chosen, F.col("_id") == F.col("_of")).groupBy("_of", "_label").agg(F.min("_text").alias("_text"))
+    picked = checkpointed(picked.withColumn("_half", half))
+    parts = [features(picked.filter(F.col("_half") == h), model, "_text", f"v{h}") for h in (0, 1)]
+    rows = sorted(tuple(r) for r in parts[0].unionAll(parts[1]).select("_mean", "_most", "_label").collect())
+    if len({r[2] for r in rows}) == 2:
+        model.weights = _calibrate(np.array([r[:2] for r in rows]), np.array([r[2] for r in rows]))
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", least: float = 0.7) -> DataFrame:
     """docs with score (0 to 1, higher: more likely toxic) and predicted (1 from `least` on).
 
-    Whole texts are scored, long ones in blocks. Null and empty texts, and texts without a letter
-    or digit, get the score of a text that tells nothing. Repeated rows are scored alike. Columns
-    of docs with the names of the added ones are replaced.
+    Whole texts are scored. Null and empty texts, and texts without a letter or digit, get the
+    score of a text that tells nothing. Repeated rows are scored alike. Columns of docs with the
+    names of the added ones are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf("double")
-    def scored(texts: pa.Array) -> pa.Array:
-        return pa.array([shared.value.score(t.as_py()) for t in texts], pa.float64())
-
-    found = without(docs, _ADDED).withColumn("score", scored(F.col(text)))
-    return found.withColumn("predicted", F.when(F.col("score") >= least, 1).otherwise(0))
+    mean, most, one = (float(w) for w in model.weights)
+    z = 10 * mean * F.col("_mean") + most * F.col("_most") + one
+    found = features(without(docs, _ADDED), model, text).withColumn("score", 1 / (1 + F.exp(-z)))
+    return found.drop("_mean", "_most").withColumn("predicted", F.when(F.col("score") >= least, 1).otherwise(0))
 
 
 def score_folds(docs: DataFrame, labels: DataFrame, folds: int = 3, doc_id: str = "doc_id", text: str = "text",

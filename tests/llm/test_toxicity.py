@@ -1,38 +1,128 @@
+import math
+import random
+from collections import Counter
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from gleanery.llm import toxicity
 from gleanery.llm.queries import QUERIES
-from gleanery.llm.toxicity import (
-    CELLS, ORDER, SYMBOLS, WINDOW, codes, features, log_ratio, score, shared_model, symbols, train,
-)
-
-
-def test_models_are_distributions():
-    rng = np.random.default_rng(0)
-    counts = np.zeros(CELLS)
-    counts[rng.integers(0, 3000, 5000)] += 1
-    shared = shared_model(counts)
-    assert shared.shape == (CELLS // SYMBOLS, SYMBOLS) and np.allclose(shared.sum(1), 1) and (shared > 0).all()
-    same = log_ratio(counts, counts, shared)
-    assert np.abs(same).max() < 1e-6
-    more = counts.copy()
-    more[int(np.argmax(counts))] += 50
-    assert log_ratio(more, counts, shared)[int(np.argmax(counts))] > 0.5
-
-
-def test_features_against_plain_sums(monkeypatch):
-    rng = np.random.default_rng(1)
-    ratios = rng.normal(size=CELLS).astype(np.float32)
-    for text in ("Hello, wörld! 12", "x", "a b " * 300, "ab" * 2000):
-        found = symbols(text)
-        values = ratios[codes(found)].astype(float)
-        n, width = len(values), min(WINDOW, len(values))
-        most = max(values[i:i + width].sum() for i in range(n - width + 1)) / width
-        monkeypatch.setattr("gleanery.llm.toxicity._BLOCK", 1 << 20)
-        whole = features(text, ratios)
-        monkeypatch.setattr("gleanery.llm.toxicity._BLOCK", 100)
-        assert np.allclose(whole, (values.mean(), most)) and np.allclose(features(text, ratios), whole), text
-    assert features(None, ratios) == features("", ratios) == features("!?", ratios) == (0.0, 0.0) and ORDER == 4
+from gleanery.llm.toxicity import DISCOUNT, LEAST_SYMBOLS, ORDER, features, score, train, words_of
+
+_ALPHABET = "abcdeé你ß𐐨1"
+
+
+def _texts(n, seed):
+    pick = random.Random(seed)
+    vocabulary = ["".join(pick.choices(_ALPHABET, k=pick.randint(1, 9))) for _ in range(60)]
+    return [" ".join(pick.choices(vocabulary, k=pick.randint(1, 40))) + pick.choice(["", "!", " _ -"]) for _ in range(n)]
+
+
+def _grams(text):
+    padded = [" " * (ORDER - 1) + w + " " for w in words_of(text)]
+    return [p[i:i + ORDER] for p in padded for i in range(len(p) - ORDER + 1)]
+
+
+def _estimate(counts):
+    once, twice = (sum(c == i for c in counts) for i in (1, 2))
+    return min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.75
+
+
+class PlainModel:
+    """The same model by recursion over dictionaries."""
+
+    def __init__(self, texts, toxic, ordinary):
+        self.levels = {ORDER: Counter(g for t in texts for g in _grams(t))}
+        for k in range(ORDER - 1, 0, -1):
+            self.levels[k] = Counter(g[1:] for g in self.levels[k + 1])
+        self.d = {k: _estimate(level.values()) for k, level in self.levels.items()}
+        self.sides = [Counter(g for t in side for g in _grams(t)) for side in (toxic, ordinary)]
+
+    def shared(self, gram):
+        k = len(gram)
+        if k == 0:
+            return 1 / len(self.levels[1])
+        same = [c for g, c in self.levels[k].items() if g[:-1] == gram[:-1]]
+        kept = max(self.levels[k][gram] - self.d[k], 0) / sum(same)
+        return kept + self.d[k] * len(same) / sum(same) * self.shared(gram[1:])
+
+    def p(self, side, gram):
+        same = [c for g, c in side.items() if g[:-1] == gram[:-1]]
+        if not same:
+            return self.shared(gram)
+        return (max(side.get(gram, 0) - DISCOUNT, 0) + sum(min(c, DISCOUNT) for c in same) * self.shared(gram)) / sum(same)
+
+    def ratio(self, gram):
+        toxic, ordinary = self.sides
+        return math.log(self.p(toxic, gram)) - math.log(self.p(ordinary, gram))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    texts = _texts(120, 1)
+    marks = [(i, int(i % 5 == 0)) for i in range(0, 120, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    plain = PlainModel(texts, [texts[i] for i, y in marks if y], [texts[i] for i, y in marks if not y])
+    return texts, docs, labels, plain
+
+
+def test_ratios_against_plain_kneser_ney(corpus):
+    texts, docs, labels, plain = corpus
+    values = {r.key: r.v for r in train(docs, labels).keys.collect()}
+    grams = set(plain.levels[ORDER])
+    assert set(values) == grams | {g[:-1] for g in grams} and any(abs(values[g]) > 0.1 for g in grams)
+    for gram in grams:
+        assert abs(values[gram] + values[gram[:-1]] - plain.ratio(gram)) < 1e-9, gram
+    symbols = list(plain.levels[1])
+    for context in sorted({g[:-1] for g in grams})[:20]:
+        for side in plain.sides:
+            assert abs(sum(plain.p(side, context + s) for s in symbols) - 1) < 1e-9
+
+
+@pytest.mark.parametrize("head", [0, 40, 1 << 17])
+def test_features_do_not_depend_on_the_head(corpus, head):
+    texts, docs, labels, plain = corpus
+    model = train(docs, labels, head=head)
+    twice = docs.unionAll(docs.limit(30))
+    for r in features(twice, model).collect():
+        words = words_of(r.text)
+        each = {w: sum(plain.ratio(g) for g in _grams(w)) for w in set(words)}
+        symbols = sum(len(w) + 1 for w in words)
+        assert abs(r._mean - sum(each[w] for w in words) / symbols) < 1e-9
+        assert abs(r._most - max(v / max(len(w) + 1, LEAST_SYMBOLS) for w, v in each.items())) < 1e-9
+
+
+def test_counts_grow_with_the_corpus(spark):
+    texts, sizes = [], []
+    for n in (50, 200):
+        texts += _texts(n, n) + ["word" * 400 + str(n)]
+        docs = spark.createDataFrame([(t,) for t in texts], "text string")
+        counted = {r.gram: r.n0 for r in toxicity._count(docs, 1, F.lit(0), "text").collect()}
+        assert counted == Counter(g for t in texts for g in _grams(t))
+        sizes.append(len(counted))
+    assert sizes[0] < sizes[1]
+
+
+def test_runs_and_the_head_against_a_dictionary(monkeypatch):
+    words = sorted({w for t in _texts(30, 5) for w in words_of(t)} | {"a", "b" * 900})
+    keys = sorted({k for w in words for g in _grams(w) for k in (g, g[:-1])})
+    pick = random.Random(3)
+    values = {k: pick.uniform(-2, 2) for k in keys if pick.random() < 0.7}
+    head = toxicity.Head(list(values), list(values.values()))
+    monkeypatch.setattr(toxicity, "_RUN", 40)
+    runs = list(toxicity._runs(words))
+    assert [w for r in runs for w in r] == words and len(runs) > 10
+    for run in (words, *runs):
+        found, open_, lacking, names = head.words(run)
+        missing = [(run[i], k) for i, k in zip(lacking.tolist(), names)]
+        plain = [(w, k) for w in run for g in _grams(w) for k in (g, g[:-1]) if k not in values]
+        assert Counter(missing) == Counter(plain) and [w for w, o in zip(run, open_) if o] == [w for w in run if w in dict(plain)]
+        sums = [sum(values.get(k, 0) for g in _grams(w) for k in (g, g[:-1])) for w in run]
+        assert np.allclose(found, sums, atol=1e-9)
+    found, open_, lacking, names = toxicity.Head([], []).words(["ab"])
+    assert found.tolist() == [0] and open_.all() and len(names) == 6
 
 
 def test_held_out_ranking(spark):
@@ -60,9 +150,11 @@ def test_odd_rows(spark, odd, none):
 
 
 def test_repeated_rows_do_not_push_others_out_of_the_calibration(spark):
-    texts = {1: "a calm note on rivers", 2: "you stupid moron", 3: "a calm day in spring", 4: "stupid stupid loser"}
-    rows = [(d, t) for d, t in texts.items()] + [(1, texts[1])] * 30
+    calm, rude = ("a calm note on rivers", "a calm day in spring"), ("you stupid moron", "stupid stupid loser")
+    texts = dict(enumerate([*calm, *rude] * 10))
+    rows = [*texts.items()] + [(0, texts[0])] * 30
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (4, 1)], "doc_id bigint, toxic int")
-    model = train(docs, labels, sample=4)
-    assert model.weights.any() and model.score(texts[2]) > model.score(texts[1])
+    labels = spark.createDataFrame([(i, int(t in rude)) for i, t in texts.items()], "doc_id bigint, toxic int")
+    model = train(docs, labels, sample=40)
+    found = {r.text: r.score for r in score(docs, model).collect()}
+    assert model.weights.any() and min(found[t] for t in rude) > max(found[t] for t in calm)
