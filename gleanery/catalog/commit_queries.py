@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import audit, paths
+from ..operators.ranges import assign_ranges, join_in_range
 from ..plans import jobs, views
 from ..session import checkpointed, shared_folder
 from ..sources.state_store import StateStore
@@ -106,17 +107,18 @@ def _(spark, sf):
         plan = jobs.plan_paths(store, files, first_chunk=250_000)
         if plan.isEmpty():
             break
-        inside = F.col("size_bytes").between(F.col("lo"), F.col("hi"))
-        counted = plan.join(sized, "query").filter(inside).groupBy("request").agg(F.sum("n").alias("total_count"))
-        probes = checkpointed(plan.select("request").join(counted, "request", "left").fillna(0, "total_count"))
-        few = probes.filter((F.col("total_count") > 0) & (F.col("total_count") < paths.RESULT_LIMIT))
-        listed = plan.join(few, "request").join(files, "query").filter(inside)
+        counted = join_in_range(sized, plan, ["query"], "size_bytes", "lo", "hi").groupBy("request").agg(F.sum("n").alias("total_count"))
+        probes = checkpointed(plan.select("request", "query", "lo", "hi").join(counted, "request", "left").fillna(0, "total_count"))
+        # a size alone is listed however many files have it
+        one_list = (F.col("total_count") < paths.RESULT_LIMIT) | (F.col("lo") == F.col("hi"))
+        few = probes.filter((F.col("total_count") > 0) & one_list)
+        listed = assign_ranges(files, few, ["query"], "size_bytes", "lo", "hi")
         place = F.row_number().over(Window.partitionBy("request").orderBy("size_bytes", "url")) - 1
         items = checkpointed(listed.withColumn("place", place).select(
             F.col("request").alias("query"), (F.floor(F.col("place") / paths.ITEMS_PER_PAGE) + 1).alias("page"), F.lit(1).alias("attempt"),
             "total_count", (F.col("place") % paths.ITEMS_PER_PAGE).alias("item_no"), "url", "sha",
         ))
-        held = F.pmod(F.xxhash64("query", "page"), F.lit(3)) == 0
+        held = (F.pmod(F.xxhash64("query", "page"), F.lit(3)) == 0) & (F.col("page") <= paths.PAGES_PER_QUERY)
         now = items.filter(~held) if late is None else items.filter(~held).unionByName(late)
         jobs.record_paths(store, plan, probes, now.unionByName(now), ASOF)
         late = items

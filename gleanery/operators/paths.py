@@ -1,8 +1,11 @@
 """The path stage over landed answers: which size range to ask for next, and what came back.
 
 The search service counts and lists at most a limited number of results, so a query is cut into
-ranges of file sizes. Everything outside happens between two calls: open_ranges says what to probe
-and list, next_ranges takes the landed counts and moves every query on, all in one step.
+ranges of file sizes. Everything outside happens between two calls: open_ranges and open_cuts say
+what to probe and list, next_ranges takes the landed counts and moves every query on, all in one
+step. A range that is too much for one list is cut into pieces that are asked for side by side while
+the query goes on behind it, so that the rounds of a scan grow with the logarithm of the axis, not
+with the number of files.
 """
 
 from __future__ import annotations
@@ -107,6 +110,17 @@ def open_ranges(
     )
 
 
+def open_cuts(queries: DataFrame, ranges: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The open pieces of the queries' present scans, in the columns of open_ranges; chunk is a piece's width.
+
+    cuts: the state table cut_ranges. Pieces of an earlier scan are given up with it.
+    """
+    present = queries.select("query").distinct().join(ranges.select("query", "scan"), "query")
+    return cuts.filter("is_open").join(present, ["query", "scan"], "left_semi").select(
+        "query", "scan", "lo", (F.col("hi") - F.col("lo") + 1).alias("chunk"), F.lit(0).cast("bigint").alias("empties"), "hi", "request"
+    )
+
+
 def next_ranges(probed: DataFrame, limit: int = RESULT_LIMIT, max_size: int = MAX_SIZE, empty_ranges: int = EMPTY_RANGES) -> DataFrame:
     """probed with action, next_lo, next_chunk, next_empties and completed.
 
@@ -145,3 +159,31 @@ def next_ranges(probed: DataFrame, limit: int = RESULT_LIMIT, max_size: int = MA
         )
         .withColumn("completed", F.col("ended_empty") | (F.col("next_lo") > max_size))
     )
+
+
+def cut_ranges(moved: DataFrame, limit: int = RESULT_LIMIT) -> DataFrame:
+    """The pieces of all narrowed ranges: request, query, scan, lo, hi.
+
+    Of equal width, two for each list that the count would fill, at least two, and none narrower
+    than one size: together they are the range.
+    """
+    width = F.col("hi") - F.col("lo") + 1
+    wanted = F.greatest(F.ceil(F.col("total_count") * 2 / limit), F.lit(2)).cast("bigint")
+    step = F.ceil(width / F.least(wanted, width)).cast("bigint")
+    starts = F.explode(F.sequence("lo", "hi", step)).alias("_lo")
+    pieces = moved.filter("action = 'narrow'").select("query", "scan", "hi", step.alias("_step"), starts)
+    piece_hi = F.least(F.col("_lo") + F.col("_step") - 1, F.col("hi"))
+    return pieces.select(
+        range_query(F.col("query"), F.col("_lo"), piece_hi).alias("request"), "query", "scan", F.col("_lo").alias("lo"), piece_hi.alias("hi")
+    )
+
+
+def behind_cuts(moved: DataFrame, max_size: int = MAX_SIZE) -> DataFrame:
+    """moved, narrowed ranges counting as done: their query goes on behind them, with a doubled chunk."""
+    narrowed = F.col("action") == "narrow"
+    doubled = F.least(F.col("chunk") * 2, F.lit(max_size).cast("bigint"))
+    return moved.withColumns({
+        "next_lo": F.when(narrowed, F.col("hi") + 1).otherwise(F.col("next_lo")),
+        "next_chunk": F.when(narrowed, doubled).otherwise(F.col("next_chunk")),
+        "completed": F.when(narrowed, F.col("hi") >= max_size).otherwise(F.col("completed")),
+    })

@@ -171,11 +171,18 @@ def collect_paths(
 
 
 def plan_paths(store: StateStore, queries: DataFrame, first_chunk: int = paths.FIRST_CHUNK, rescan: bool = False) -> DataFrame:
-    """The open range of every query, written: request is what to count and to list.
+    """The open ranges of every query, written: request is what to count and to list.
 
-    rescan: start anew from size 0, also finished queries; scan numbers the scans of a query.
+    One is where the query stands (is_cut false); the others are pieces of ranges that were too
+    much for one list. rescan: start anew from size 0, also finished queries; scan numbers the
+    scans of a query.
     """
-    return checkpointed(paths.open_ranges(queries, store.read("scan_ranges"), first_chunk, rescan=rescan))
+    ranges = store.read("scan_ranges")
+    found = paths.open_ranges(queries, ranges, first_chunk, rescan=rescan).withColumn("is_cut", F.lit(False))
+    if not rescan:
+        cuts = paths.open_cuts(queries, ranges, store.read("cut_ranges"))
+        found = found.unionByName(cuts.withColumn("is_cut", F.lit(True)))
+    return checkpointed(found)
 
 
 def record_paths(store: StateStore, plan: DataFrame, probes: DataFrame, items: DataFrame, asof: str) -> DataFrame:
@@ -187,6 +194,8 @@ def record_paths(store: StateStore, plan: DataFrame, probes: DataFrame, items: D
     of over-full, earlier or unknown ranges; a page attempt that was taken in before is not taken
     in again. A range is pending until its count is known and the walk over its pages has come
     to an end, over as many calls as that takes. Items without page and attempt are a whole list.
+    A range that is too much for one list is cut, and its query goes on behind it; a query is
+    completed when it has come to its end and no piece is open.
 
     All tables change in one commit, so that a killed call can be repeated, and so can a finished one.
     """
@@ -194,7 +203,7 @@ def record_paths(store: StateStore, plan: DataFrame, probes: DataFrame, items: D
     paged = "page" in items.columns
     stamp = F.lit(asof).cast("timestamp")
     while True:
-        commit = store.begin(reads=("files", "landed_pages", "scan_ranges"))
+        commit = store.begin(reads=("files", "landed_pages", "scan_ranges", "cut_ranges"))
         taken = commit.read("landed_pages")
         fresh_pages = checkpointed(paths.page_attempts(landed).join(taken, paths.ATTEMPT, "left_anti"))
         fresh = checkpointed(
@@ -205,7 +214,7 @@ def record_paths(store: StateStore, plan: DataFrame, probes: DataFrame, items: D
         totals = probes.groupBy("request").agg(F.max("total_count").alias("total_count"))
         asked = plan.join(totals, "request", "left")
         listed = paths.lists(known_pages, totals) if paged else paths.lists(known_pages, totals).withColumn("whole", F.lit(True))
-        moved = checkpointed(paths.next_ranges(asked.join(listed, "request", "left")))
+        moved = checkpointed(paths.behind_cuts(paths.next_ranges(asked.join(listed, "request", "left"))))
 
         known = commit.read("files")
         found = state.new_files(known, fresh.select("seq", "url", "sha"))
@@ -219,15 +228,29 @@ def record_paths(store: StateStore, plan: DataFrame, probes: DataFrame, items: D
         ))
         commit.append("landed_pages", fresh_pages)
 
-        place = moved.select(
+        place = checkpointed(moved.filter("not is_cut").select(
             "query", F.col("next_lo").alias("lo"), F.col("next_chunk").alias("chunk"), F.col("next_empties").alias("empties"),
             "completed", "action", "scan",
-        )
+        ))
         commit.upsert("scan_ranges", place, "query")
+        # a piece is closed for good, and cut once, however often its plan is recorded
+        stored = checkpointed(commit.read("cut_ranges"))
+        ended = moved.filter("is_cut and action <> 'pending'").join(stored.filter("is_open"), ["request", "scan"], "left_semi").select(
+            "request", "query", "scan", "lo", "hi", "action", F.lit(False).alias("is_open")
+        )
+        fresh_cuts = paths.cut_ranges(moved).join(stored, ["request", "scan"], "left_anti").withColumn("is_open", F.lit(True))
+        cuts = checkpointed(ended.unionByName(fresh_cuts, allowMissingColumns=True))
+        commit.upsert("cut_ranges", cuts, "scan")
         # the count of a progress row is that of the whole table, as it stands after this call
-        progress = place.select(
+        asked_for = plan.select("query").distinct()
+        known_ranges = commit.read("scan_ranges").join(asked_for, "query", "left_semi").join(place, "query", "left_anti")
+        at = place.unionByName(known_ranges)
+        still = stored.join(cuts, ["request", "scan"], "left_anti").unionByName(cuts)
+        waiting = paths.open_cuts(asked_for, at, still).select("query").distinct().withColumn("_waits", F.lit(True))
+        progress = at.join(waiting, "query", "left").select(
             "query", F.col("lo").alias("last_lo"), F.lit(paths.MAX_SIZE).cast("bigint").alias("max_size"),
-            F.lit(known.count() + placed.count()).cast("bigint").alias("collected"), "completed", F.lit(0).alias("seq"),
+            F.lit(known.count() + placed.count()).cast("bigint").alias("collected"),
+            (F.col("completed") & F.col("_waits").isNull()).alias("completed"), F.lit(0).alias("seq"),
         )
         commit.upsert("scan_progress", state.upsert_progress(commit.read("scan_progress").limit(0), progress, asof), "query")
         try:

@@ -60,6 +60,9 @@ SCAN_PROGRESS = _struct(
 # Where the scan of each query stands, and what its last range was marked with.
 SCAN_RANGES = _struct(query=STRING, lo=LONG, chunk=LONG, empties=LONG, completed=BOOLEAN, action=STRING, scan=LONG)
 
+# Pieces of ranges that were too much for one list; they are asked for side by side.
+CUT_RANGES = _struct(request=STRING, query=STRING, scan=LONG, lo=LONG, hi=LONG, action=STRING, is_open=BOOLEAN)
+
 # Every page attempt that was taken in, by the scan that asked for it.
 LANDED_PAGES = _struct(request=STRING, scan=LONG, page=LONG, attempt=LONG, n_items=LONG, total_count=LONG)
 
@@ -73,6 +76,7 @@ STATE_TABLES = {
     "content_status": CONTENT_STATUS,
     "scan_progress": SCAN_PROGRESS,
     "scan_ranges": SCAN_RANGES,
+    "cut_ranges": CUT_RANGES,
     "landed_pages": LANDED_PAGES,
     "hit_ranges": _struct(url=STRING, size_min=LONG, size_max=LONG),
     "view_progress": _struct(view=STRING, version=LONG),
@@ -93,6 +97,7 @@ KEYS = {
     "content_status": "url",
     "scan_progress": "query",
     "scan_ranges": "query",
+    "cut_ranges": "request",
     "view_progress": "view",
 }
 

@@ -178,3 +178,32 @@ def test_rescan_starts_anew_and_takes_its_own_pages(spark, path_stage):
         jobs.record_paths(store, again, counts, second, ASOF)
     assert {r.url for r in store.read("files").collect()} == {"a", "b"} and store.read("search_hits").count() == 3
     assert jobs.plan_paths(store, queries).isEmpty()
+
+
+def test_full_ranges_are_cut_into_pieces_asked_for_side_by_side(spark, path_stage):
+    """Rounds do not grow with the files; a killed or repeated call opens no piece again, a rescan leaves none behind."""
+    store, record = path_stage
+    queries = spark.createDataFrame([("a",), ("b",)], "query string")
+    sizes = {f"u{i}": i for i in range(8_000)} | {f"same{i}": 77 for i in range(1_200)} | {"far": 900_000}
+    rounds, first = 0, None
+    while not (plan := jobs.plan_paths(store, queries)).isEmpty():
+        rounds += 1
+        assert rounds < 12
+        inside = {r.request: [u for u, s in sizes.items() if r.lo <= s <= r.hi and r.query == "a"] for r in plan.collect()}
+        alone = {r.request for r in plan.collect() if r.lo == r.hi}
+        rows = [row for q, us in inside.items() if len(us) < 1000 or q in alone
+                for at in range(0, max(len(us), 1), 100) for row in pages(q, us[at:at + 100], len(us), at // 100 + 1)]
+        counts = [(q, len(us)) for q, us in inside.items()]
+        record(plan, counts, rows)
+        if first is None:
+            first = plan, counts, rows
+            record(*first)
+            assert (pieces := jobs.plan_paths(store, queries).filter("is_cut").collect()) and len(pieces) > 15
+            assert sorted(s for r in pieces for s in range(r.lo, r.hi + 1)) == list(range(10_000))
+    assert sorted(r.url for r in store.read("files").collect()) == sorted(sizes)
+    done = store.read("scan_progress")
+    assert done.count() == 2 and done.filter("completed_at is null").isEmpty()
+    again = jobs.plan_paths(store, queries, rescan=True).withColumn("is_cut", F.lit(False))
+    assert record(again, first[1], []) == {"a": "narrow", "b": "empty"}
+    assert {r.scan for r in jobs.plan_paths(store, queries).collect()} == {1}
+    assert store.read("scan_progress").filter("completed_at is null").count() == 2
