@@ -1,4 +1,8 @@
-"""Near copies by exact Jaccard similarity of word shingles; MinHash bands find the pairs to compare."""
+"""Near copies by exact Jaccard similarity of word shingles.
+
+SimHash fingerprints within three bits, found by BK-trees over shards as in simhash.py, are compared
+first. A similarity of 0.8 is often further apart than three bits: MinHash bands find those pairs.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from .common import without
 from .components import components
-from .simhash import _LOWER
+from .simhash import _LOWER, fold_bits, shard_links
 
 WORDS = 5
 LEAST = 0.8
@@ -52,19 +56,20 @@ def bands(found: np.ndarray) -> tuple[list[int], bytes]:
 
 
 def _sketched(words: int):
-    @F.arrow_udf("struct<fp bigint, n int, bands array<bigint>, sketch binary>")
+    @F.arrow_udf("struct<fp bigint, n int, simhash bigint, bands array<bigint>, sketch binary>")
     def run(texts: pa.Array) -> pa.Array:
-        fps, sizes, keys, sketches = [], [], [], []
+        fps, sizes, folds, keys, sketches = [], [], [], [], []
         for t in texts:
             found = shingles(t.as_py(), words)
             fps.append(xxhash.xxh64_intdigest(found.tobytes(), 42))
             sizes.append(len(found))
+            folds.append(fold_bits(found))
             for out, made in zip((keys, sketches), bands(found)):
                 out.append(made)
         return pa.StructArray.from_arrays(
-            [pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())),
-             pa.array(sketches, pa.binary())],
-            ["fp", "n", "bands", "sketch"],
+            [pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(np.array(folds, np.uint64).view(np.int64)),
+             pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            ["fp", "n", "simhash", "bands", "sketch"],
         )
 
     return run
@@ -126,43 +131,70 @@ def _fits(n: str, m: str, least: float):
     return F.least(n, m) >= F.lit(least) * F.greatest(n, m) - 1e-6
 
 
+def _simhash_pairs(classes: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) that tie together the classes whose SimHashes are linked by shards and BK-trees."""
+    stands = checkpointed(classes.groupBy("simhash").agg(F.min(F.struct("fp", "n")).alias("s")))
+    side = lambda name: stands.select(F.col("simhash").alias(name), F.col("s").alias(f"s{name}"))
+    equal = classes.join(stands, "simhash").select("fp", "n", F.col("s.fp").alias("fp2"), F.col("s.n").alias("n2"))
+    near = shard_links(stands.select(F.col("simhash").alias("fp"))).join(side("a"), "a").join(side("b"), "b")
+    near = near.select(F.col("sa.fp").alias("fp"), F.col("sa.n").alias("n"), F.col("sb.fp").alias("fp2"), F.col("sb.n").alias("n2"))
+    return _ordered(equal.unionByName(near).filter((F.col("fp") != F.col("fp2")) & _fits("n", "n2", least)))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("fp", "fp2").alias("a"), F.least("fp", "fp2").alias("b"))
+
+
+def _with_leader(entries: DataFrame, least: float) -> DataFrame:
+    """Pairs of every member of a bucket with its leader, as far as they are of different groups and like sizes."""
+    leaders = checkpointed(entries.groupBy("key").agg(F.min(F.struct("place", "fp", "n", "group")).alias("leader")))
+    first = entries.join(leaders, "key").filter((F.col("group") != F.col("leader.group")) & _fits("n", "leader.n", least))
+    return _ordered(first.select("fp", F.col("leader.fp").alias("fp2")))
+
+
 def near_copy_links(rows: DataFrame, classes: DataFrame, text: str, words: int = WORDS, least: float = LEAST) -> DataFrame:
     """Edges (a, b) that connect the shingle sets whose similarity is at least `least`, and no others.
 
-    Sets that share the key of a band form a bucket. All of a bucket are first compared with a
-    leader, of which a large group of near copies has few, as leaders are drawn alike in a
-    quarter of all bands. Then only pairs of a bucket that are not yet connected are compared, a
-    bucket being dealt in chunks, so that none sits in one task.
+    Classes with linked SimHashes are compared first. Sets that share the key of a band form a
+    bucket. All of a bucket are then compared with a leader, of which a large group of near copies
+    has few, as leaders are drawn alike in a quarter of all bands. At last all pairs of a bucket
+    that are not yet connected are compared, a bucket being dealt in chunks, so that none sits in
+    one task.
     """
     entries = classes.select(F.col("fp"), F.col("n"), F.posexplode("bands").alias("band", "key"))
     order = F.xxhash64("fp", F.col("band") % _LEADERS)
-    entries = entries.select("fp", "n", "key", order.alias("place"))
-    buckets = checkpointed(
-        entries.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("place", "fp", "n")).alias("leader"))
-        .filter("members > 1")
-    )
-    met = checkpointed(entries.join(buckets, "key").select("key", "fp", "n", "members", "leader"))
-    first = met.filter((F.col("fp") != F.col("leader.fp")) & _fits("n", "leader.n", least))
-    led = _likely(first.select(F.greatest("fp", "leader.fp").alias("a"), F.least("fp", "leader.fp").alias("b")), classes)
-    sets = _shingled(led, rows, classes, None, text, words)
-    found = _verified(led, sets, least)
-    groups = checkpointed(components(found))
-    named = (
-        met.filter(F.col("fp") != F.col("leader.fp")).join(groups, F.col("fp") == F.col("node"), "left")
-        .withColumn("group", F.coalesce("component", "fp")).select("key", "fp", "n", "members", "group")
-    )
-    named = checkpointed(named)
-    unlike = named.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high")
+    entries = entries.withColumn("place", order)
+    shared = entries.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    met = checkpointed(entries.join(shared, "key").select("key", "fp", "n", "place", "members"))
+    found = sets = groups = None
+
+    def compared(pairs: DataFrame) -> None:
+        nonlocal found, sets, groups
+        likely = _likely(pairs, classes)
+        sets = _shingled(likely, rows, classes, sets, text, words)
+        more = _verified(likely, sets, least)
+        found = more if found is None else found.unionByName(more)
+        groups = checkpointed(components(found))
+
+    def still_open() -> DataFrame:
+        """Members of the buckets that are of several groups."""
+        named = met.join(groups, F.col("fp") == F.col("node"), "left").withColumn("group", F.coalesce("component", "fp"))
+        named = checkpointed(named.drop("node", "component"))
+        unlike = named.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high")
+        return checkpointed(named.join(unlike.select("key"), "key"))
+
+    compared(_simhash_pairs(classes, least))
+    compared(_with_leader(still_open(), least))
     slots = F.ceil(F.col("members") / _CHUNK).cast("int")
     own = F.pmod(F.xxhash64("fp"), slots).cast("int")
-    open_ = named.join(unlike.select("key"), "key").withColumn("own", own)
+    open_ = still_open().withColumn("own", own)
     low = open_.select("key", "fp", "n", "group", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), slots - 1)).alias("j"))
     high = open_.select(
         "key", F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("group").alias("group2"), F.col("own").alias("j"),
         F.explode(F.sequence(F.lit(0), slots - 1)).alias("i"),
     )
-    rest = low.join(high, ["key", "i", "j"]).filter((F.col("fp") > F.col("fp2")) & (F.col("group") != F.col("group2")) & _fits("n", "n2", least))
-    open_pairs = _likely(rest.select(F.col("fp").alias("a"), F.col("fp2").alias("b")), classes)
+    pairs = low.join(high, ["key", "i", "j"]).filter((F.col("fp") > F.col("fp2")) & (F.col("group") != F.col("group2")) & _fits("n", "n2", least))
+    open_pairs = _likely(pairs.select(F.col("fp").alias("a"), F.col("fp2").alias("b")), classes)
     return found.unionByName(_verified(open_pairs, _shingled(open_pairs, rows, classes, sets, text, words), least))
 
 
@@ -174,7 +206,7 @@ def _grouped(docs: DataFrame, words: int, least: float, doc_id: str, text: str)
     )
     # one row stands for all of an equal set; it is picked from numbers, before sketches or texts move
     chosen = checkpointed(rows.groupBy(F.col("_fp").alias("fp")).agg(F.min(doc_id).alias("least_id"), F.min("_row").alias("row")))
-    sketches = rows.select(F.col("_row").alias("row"), "_s.n", "_s.bands", "_s.sketch")
+    sketches = rows.select(F.col("_row").alias("row"), "_s.n", "_s.simhash", "_s.bands", "_s.sketch")
     classes = checkpointed(chosen.join(sketches, "row"))
     rows = rows.drop("_s")
     groups = components(near_copy_links(rows, classes, text, words, least))

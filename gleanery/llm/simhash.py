@@ -38,6 +38,15 @@ def simhash(text: str | None, words: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * bits > n).tobytes(), "big")
 
 
+def fold_bits(hashes: np.ndarray) -> int:
+    """The fingerprint of shingles that are hashed already; of none it is zero."""
+    bits = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65536):
+        table = hashes[at:at + 65536].astype(">u8").view(np.uint8).reshape(-1, 8)
+        bits += np.unpackbits(table, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * bits > len(hashes)).tobytes(), "big")
+
+
 def fingerprint(text: str, words: int = 3) -> Column:
     """The fingerprint as a BIGINT with the same 64 bits; null text counts as empty."""
 

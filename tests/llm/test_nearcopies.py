@@ -5,8 +5,8 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from gleanery.llm import nearcopies
-from gleanery.llm.nearcopies import jaccard, near_copy_groups, shingles
+from gleanery.llm import nearcopies, simhash
+from gleanery.llm.nearcopies import bands, jaccard, near_copy_groups, shingles
 
 
 def plain_groups(texts):
@@ -66,3 +66,20 @@ def test_odd_rows(odd, none):
     assert near_copy_groups(none).collect() == []
     assert len(nearcopies._alike().func(pa.array([], pa.binary()), pa.array([], pa.binary()))) == 0
     assert jaccard(shingles("A b"), shingles("a  B")) == 1 and len(shingles("a b c d e f")) == 2
+
+
+def test_stage_compares_what_the_bk_trees_of_simhash_link(spark, monkeypatch):
+    """Without MinHash bands the linked fingerprints alone tie copies with a changed word together; unlike texts they never join."""
+    draw = random.Random(7)
+    base = [f"w{draw.randrange(3000)}" for _ in range(2000)]
+    texts = {0: " ".join(base), 1: " ".join([*base[:1999], "other"]), 2: " ".join(["first", *base[1:]])}
+    texts |= {10 + i: " ".join(f"v{draw.randrange(3000)}" for _ in range(2000)) for i in range(4)} | {20: "a b", 21: "c d"}
+    folds = {d: simhash.fold_bits(shingles(t)) for d, t in texts.items()}
+    assert max((folds[0] ^ folds[d]).bit_count() for d in (1, 2)) <= 3 and simhash.fold_bits(shingles("")) == 0
+    linked = []
+    monkeypatch.setattr(nearcopies, "shard_links", lambda fps: linked.append(fps.count()) or simhash.shard_links(fps))
+    monkeypatch.setattr(nearcopies, "bands", lambda found: ([], bands(found)[1]))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, rows, "")
+    assert linked == [len(set(folds.values()))]
+    assert {r.doc_id for r in kept.collect()} == set(plain_groups(texts).values())
