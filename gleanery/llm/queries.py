@@ -154,7 +154,7 @@ def _(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    return score_folds(docs, labels).select("doc_id", "held_out", "score", "predicted")
+    return score_folds(docs, labels, keep_text=False).select("doc_id", "held_out", "score", "predicted")
 
 
 @query("op2_embeddings")

@@ -24,7 +24,7 @@ ORDER = 5  # code points of an n-gram
 LEAST_SYMBOLS = 8  # the ratio of a shorter word is divided by this all the same
 SAMPLE = 4000  # labelled documents that the score is calibrated on
 HEAD = 1 << 17  # keys that every task holds, the most frequent ones; words with others go through joins
-_HELD = 1 << 17  # words a task holds before it hands their n-grams on
+_HELD = 1 << 17  # words a task holds before it hands their n-grams on, or forgets their sums
 _RUN = 1 << 18  # symbols worked on at a time
 _BEFORE = " " * (ORDER - 1)
 DISCOUNT = 4.0  # taken off each count of a class: what one text says a few times is left to all documents
@@ -33,8 +33,14 @@ _WORDS = re.compile(r"[^\W_]+").findall
 _MODELS = ("v", "v0", "v1")  # of all labelled documents; for those of half 0 and 1, from the other half
 
 
+_ASCII = bytes((c + 32 if 65 <= c <= 90 else c) if chr(c).isalnum() and c < 128 else 32 for c in range(256))
+
+
 def words_of(text: str | None) -> list[str]:
-    return _WORDS((text or "").lower())
+    text = text or ""
+    if text.isascii():  # the same, faster
+        return text.encode().translate(_ASCII).decode().split()
+    return _WORDS(text.lower())
 
 
 def _runs(words: list[str]) -> Iterator[list[str]]:
@@ -174,42 +180,74 @@ def key_table(every: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 class Head:
-    """Keys with their values, to be looked up many at a time: sorted hashes, then the keys themselves.
+    """Keys with their values, to be looked up many at a time, in a table of hashes a quarter full at most.
 
-    Of two keys with one hash the second counts as not there.
+    A key whose place is taken goes to the next free one behind it.
     """
 
     def __init__(self, keys: list[str], values: list[float]):
-        padded = np.array(keys, f"<U{ORDER}").view("<u4").reshape(-1, ORDER)
-        hi, lo = _pack(padded)
-        self.hashes, at = np.unique(self._hash(hi, lo), return_index=True)
-        self.hi, self.lo, self.values = hi[at], lo[at], np.array(values, np.float64)[at]
-
-    @staticmethod
-    def _hash(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        hi, lo = _pack(np.array(keys, f"<U{ORDER}").view("<u4").reshape(-1, ORDER))
+        self.mask = (1 << max(4 * len(keys), 1).bit_length()) - 1
+        self.at = np.full(self.mask + 1, -1, np.int32)
+        todo, place = np.arange(len(keys)), self._place(hi, lo)
+        while len(todo):
+            free = todo[self.at[place[todo]] < 0]
+            self.at[place[free]] = free  # of several, the last
+            todo = todo[self.at[place[todo]] != todo]
+            place[todo] = (place[todo] + 1) & self.mask
+        self.hi, self.lo, self.values = hi, lo, np.array(values, np.float64)
+
+    def _place(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
         mixed = (hi ^ (lo << np.uint64(22))) * np.uint64(0x9E3779B97F4A7C15)
-        return mixed ^ (mixed >> np.uint64(29)) ^ lo
-
-    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values of the keys, 0 for those that are not there, and which are."""
+        mixed = (mixed ^ (mixed >> np.uint64(29)) ^ lo) * np.uint64(0xBF58476D1CE4E5B9)
+        return (mixed >> np.uint64(32)).astype(np.int64) & self.mask
+
+    def find(self, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of the packed keys, 0 for those that are not there, and which are."""
+        values, there = np.zeros(len(hi)), np.zeros(len(hi), bool)
+        todo, place = np.arange(len(hi)), self._place(hi, lo)
+        while len(todo):
+            at = self.at[place]
+            used = at >= 0
+            todo, place, at = todo[used], place[used], at[used]
+            same = (self.hi[at] == hi[todo]) & (self.lo[at] == lo[todo])
+            hit = todo[same]
+            values[hit], there[hit] = self.values[at[same]], True
+            todo, place = todo[~same], (place[~same] + 1) & self.mask
+        return values, there
+
+    def _of(self, words: list[str]):
+        grams, word = ngrams(words)
         hi, lo = _pack(grams)
-        if not len(self.hashes):
-            return np.zeros(len(hi)), np.zeros(len(hi), bool)
-        at = np.minimum(np.searchsorted(self.hashes, self._hash(hi, lo)), len(self.hashes) - 1)
-        there = (self.hi[at] == hi) & (self.lo[at] == lo)
-        return np.where(there, self.values[at], 0.0), there
+        parts = [(self.find(hi, low), last) for low, last in ((lo, True), (lo >> np.uint64(21) << np.uint64(21), False))]
+        return grams, word, parts
+
+    def sums(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What keys add for each word, and whether each has keys that are not there."""
+        _, word, parts = self._of(words)
+        (v1, there1), (v0, there0) = (found for found, _ in parts)
+        return np.bincount(word, v1 + v0, len(words)), np.bincount(word, ~(there1 & there0), len(words)) > 0
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """What keys add for each word; whether each has keys that are not there; such keys with their words."""
-        grams, word = ngrams(words)
-        contexts = grams.copy()
-        contexts[:, -1] = 0
-        both, of = np.concatenate([grams, contexts]), np.concatenate([word, word])
-        values, there = self.find(both)
-        lacking = of[~there]
-        open_ = np.zeros(len(words), bool)
-        open_[lacking] = True
-        return np.bincount(of, values, len(words)), open_, lacking, _texts(both[~there]).to_pylist()
+        grams, word, parts = self._of(words)
+        lacking, names, total = [], [], np.zeros(len(words))
+        for (values, there), last in parts:
+            total += np.bincount(word, values, len(words))
+            lacking.append(word[~there])
+            keys = grams[~there].copy()
+            keys[:, -1] *= last
+            names += _texts(keys).to_pylist()
+        lacking = np.concatenate(lacking)
+        return total, np.bincount(lacking, minlength=len(words)) > 0, lacking, names
+
+
+class _Known(dict):
+    """Numbers of words in the order in which they came."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 class ToxicityModel:
@@ -222,75 +260,94 @@ class ToxicityModel:
         self.head = {m: Head(names, most.column(m).to_pylist()) for m in _MODELS}
 
 
-def _rest_of_words(docs: DataFrame, shared, model: str, keys: DataFrame) -> DataFrame:
-    """(word, more): what keys outside the head add, for every word that has such keys."""
-
-    def lacking(words: set[str]) -> Iterator[pa.RecordBatch]:
-        for run in _runs(list(words)):
-            of, names = shared.value.words(run)[2:]
-            found = Counter((run[i], k) for i, k in zip(of.tolist(), names))
-            if found:
-                columns = [*zip(*found), list(found.values())]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "key", "n"])
+def _rest_of_words(words: DataFrame, shared, model: str, keys: DataFrame) -> DataFrame:
+    """(word, more): what keys outside the head add, for each of the words (distinct)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done, new = set(), set()
         for batch in batches:
-            for t in batch.column(0):
-                new.update(words_of(t.as_py()))
-                if len(new) > _HELD:
-                    yield from lacking(new - done)
-                    done, new = new, set()
-        yield from lacking(new - done)
-
-    found = docs.select("_text").mapInArrow(run, "word string, key string, n bigint").distinct()
+            for part in _runs(batch.column(0).to_pylist()):
+                of, names = shared.value.words(part)[2:]
+                found = Counter((part[i], k) for i, k in zip(of.tolist(), names))
+                if found:
+                    columns = [*zip(*found), list(found.values())]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "key", "n"])
+
+    found = words.mapInArrow(run, "word string, key string, n bigint")
     values = keys.select("key", F.col(model).alias("value"))
     found = found.join(values, "key", "left").withColumn("more", F.col("n") * F.coalesce("value", F.lit(0.0)))
     return checkpointed(found.groupBy("word").agg(F.sum("more").alias("more")))
 
 
-def features(docs: DataFrame, model: ToxicityModel, text: str = "text", which: str = "v") -> DataFrame:
+_HELD_TYPE = pa.struct([
+    ("total", pa.float64()), ("symbols", pa.int64()), ("most", pa.float64()),
+    ("rest", pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64()), ("value", pa.float64())]))),
+])
+
+
+def _sums_of_texts(head: Head, texts: Iterator[list[str]], known: _Known, kept: list[np.ndarray]) -> Iterator[dict]:
+    """For each text, as its words: sums over words whose keys are all in the head, and the other words.
+
+    kept has the value, the size and the openness of all known words; texts are worked off some at a time.
+    """
+
+    def done(numbers: list[np.ndarray]) -> Iterator[dict]:
+        names = list(known)
+        for run in _runs(names[len(kept[0]):]):
+            added = [*head.sums(run), np.array([len(w) + 1 for w in run], np.int64)]
+            kept[:] = [np.concatenate(both) for both in zip(kept, added)]
+        value, open_, size = kept
+        flat = np.concatenate(numbers)
+        doc = np.repeat(np.arange(len(numbers)), [len(n) for n in numbers])
+        closed = ~open_[flat]
+        total = np.bincount(doc[closed], value[flat[closed]], len(numbers))
+        symbols = np.bincount(doc, size[flat], len(numbers)).astype(np.int64)
+        most = np.full(len(numbers), -np.inf)
+        inside, each = doc[closed], (value / np.maximum(size, LEAST_SYMBOLS))[flat[closed]]
+        if len(inside):
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(inside) > 0]))
+            most[inside[starts]] = np.maximum.reduceat(each, starts)
+        pairs, times = np.unique(doc[~closed] * len(names) + flat[~closed], return_counts=True)
+        rest = [[] for _ in numbers]
+        for d, w, n in zip(*(a.tolist() for a in (*np.divmod(pairs, max(len(names), 1)), times))):
+            rest[d].append({"word": names[w], "times": n, "value": float(value[w])})
+        for row in zip(total.tolist(), symbols.tolist(), most.tolist(), rest):
+            yield {"total": row[0], "symbols": row[1], "most": None if row[2] == -np.inf else row[2], "rest": row[3]}
+        if len(known) > _HELD:
+            known.clear()
+            kept[:] = [a[:0] for a in kept]
+
+    waiting, words = [], 0
+    for text in texts:
+        waiting.append(np.fromiter(map(known.__getitem__, text), np.int64, len(text)))
+        words += len(text)
+        if words >= _RUN:
+            yield from done(waiting)
+            waiting, words = [], 0
+    if waiting:
+        yield from done(waiting)
+
+
+def features(docs: DataFrame, model: ToxicityModel, text: str = "text", which: str = "v", keep_text: bool = True) -> DataFrame:
     """docs with _mean, the log-likelihood ratio per symbol, and _most, that of the most toxic word.
 
-    Words whose keys are all in the head are done where the text lies. The others, rare ones by
-    the choice of the head, are joined to the table of keys, once per word; their sums are
-    joined back by two hashes of the text, equal texts having equal features.
+    Words whose keys are all in the head are done where the text lies, once: the rows are written,
+    without their texts where these are not to be kept. The other words, rare ones by the choice of
+    the head, are joined to the table of keys, once per word; their sums are joined back by two
+    hashes of the text, equal texts having equal features.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model.head[which])
-    more = _rest_of_words(docs.select(F.col(text).alias("_text")), shared, which, model.keys)
 
     @F.arrow_udf("struct<total double, symbols bigint, most double, rest array<struct<word string, times bigint, value double>>>")
     def held(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, tuple[float, bool]] = {}
+        known, kept = _Known(), [np.zeros(0), np.zeros(0, bool), np.zeros(0, np.int64)]
         for texts in batches:
-            rows = []
-            for t in texts:
-                total, symbols, most, rest = 0.0, 0, None, []
-                words = Counter(words_of(t.as_py()))
-                for run in _runs([w for w in words if w not in known]):
-                    values, open_ = shared.value.words(run)[:2]
-                    known.update(zip(run, zip(values.tolist(), open_.tolist())))
-                for word, times in words.items():
-                    value, more = known[word]
-                    size = len(word) + 1
-                    symbols += times * size
-                    if more:
-                        rest.append({"word": word, "times": times, "value": value})
-                        continue
-                    total += times * value
-                    value /= max(size, LEAST_SYMBOLS)
-                    most = value if most is None or value > most else most
-                rows.append({"total": total, "symbols": symbols, "most": most, "rest": rest})
-                if len(known) > _HELD:
-                    known.clear()
-            yield pa.array(rows, pa.struct([
-                ("total", pa.float64()), ("symbols", pa.int64()), ("most", pa.float64()),
-                ("rest", pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64()), ("value", pa.float64())]))),
-            ]))
+            yield pa.array(list(_sums_of_texts(shared.value, (words_of(t.as_py()) for t in texts), known, kept)), _HELD_TYPE)
 
     key = [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(7), F.col(text)).alias("_h2")]
     rows = docs.select("*", *key, held(F.col(text)).alias("_held"))
+    rows = checkpointed(rows if keep_text else rows.drop(text))
     rest = rows.select("_h1", "_h2", F.explode("_held.rest").alias("_r")).select("_h1", "_h2", "_r.*").distinct()
+    more = _rest_of_words(rest.select("word").distinct(), shared, which, model.keys)
     value = F.col("value") + F.coalesce("more", F.lit(0.0))
     size = F.greatest(F.char_length("word") + 1, F.lit(LEAST_SYMBOLS))
     rest = rest.join(more, "word", "left").groupBy("_h1", "_h2").agg(
@@ -345,14 +402,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     chosen = checkpointed(marks.select("_of", "_label", key.alias("_key")).orderBy("_key", "_of", "_label").limit(sample))
     picked = texts.join(chosen, F.col("_id") == F.col("_of")).groupBy("_of", "_label").agg(F.min("_text").alias("_text"))
     picked = checkpointed(picked.withColumn("_half", half))
-    parts = [features(picked.filter(F.col("_half") == h), model, "_text", f"v{h}") for h in (0, 1)]
+    parts = [features(picked.filter(F.col("_half") == h), model, "_text", f"v{h}", keep_text=False) for h in (0, 1)]
     rows = sorted(tuple(r) for r in parts[0].unionAll(parts[1]).select("_mean", "_most", "_label").collect())
     if len({r[2] for r in rows}) == 2:
         model.weights = _calibrate(np.array([r[:2] for r in rows]), np.array([r[2] for r in rows]))
     return model
 
 
-def score(docs: DataFrame, model: ToxicityModel, text: str = "text", least: float = 0.7) -> DataFrame:
+def score(docs: DataFrame, model: ToxicityModel, text: str = "text", least: float = 0.7, keep_text: bool = True) -> DataFrame:
     """docs with score (0 to 1, higher: more likely toxic) and predicted (1 from `least` on).
 
     Whole texts are scored. Null and empty texts, and texts without a letter or digit, get the
@@ -361,15 +418,15 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", least: floa
     """
     mean, most, one = (float(w) for w in model.weights)
     z = 10 * mean * F.col("_mean") + most * F.col("_most") + one
-    found = features(without(docs, _ADDED), model, text).withColumn("score", 1 / (1 + F.exp(-z)))
+    found = features(without(docs, _ADDED), model, text, keep_text=keep_text).withColumn("score", 1 / (1 + F.exp(-z)))
     return found.drop("_mean", "_most").withColumn("predicted", F.when(F.col("score") >= least, 1).otherwise(0))
 
 
 def score_folds(docs: DataFrame, labels: DataFrame, folds: int = 3, doc_id: str = "doc_id", text: str = "text",
-                label: str = "toxic") -> DataFrame:
+                label: str = "toxic", keep_text: bool = True) -> DataFrame:
     """docs with score, predicted and held_out; labels of held-out rows are not learnt from.
 
     A row is held out if crc32 of its id, as text, leaves remainder 1 by `folds`; null ids are not.
     """
     model = train(docs, labels.filter(fold_of(doc_id, folds) != 1), doc_id=doc_id, text=text, label=label)
-    return score(docs, model, text).withColumn("held_out", F.coalesce(fold_of(doc_id, folds) == 1, F.lit(False)))
+    return score(docs, model, text, keep_text=keep_text).withColumn("held_out", F.coalesce(fold_of(doc_id, folds) == 1, F.lit(False)))

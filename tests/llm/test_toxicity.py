@@ -158,3 +158,28 @@ def test_repeated_rows_do_not_push_others_out_of_the_calibration(spark):
     model = train(docs, labels, sample=40)
     found = {r.text: r.score for r in score(docs, model).collect()}
     assert model.weights.any() and min(found[t] for t in rude) > max(found[t] for t in calm)
+
+
+def test_texts_are_read_once_to_be_scored(corpus, monkeypatch):
+    """Sums of a text are worked out once, however often the result is read, with words forgotten in between."""
+    texts, docs, labels, plain = corpus
+    model = train(docs, labels, head=40)
+    counter = docs.sparkSession.sparkContext.accumulator(0)
+    first = F.udf(lambda t: counter.add(1) or t)
+    found = features(docs.select("doc_id", first("text").alias("text")), model, keep_text=False)
+    assert "text" not in found.columns
+    assert {r.doc_id: r._most for r in found.collect()} == {r.doc_id: r._most for r in found.collect()}
+    assert counter.value <= 2 * len(texts)  # a hash and the sums may each ask for a text
+    monkeypatch.setattr(toxicity, "_HELD", 5)
+    monkeypatch.setattr(toxicity, "_RUN", 30)
+    keys = {k for g in plain.levels[ORDER] for k in (g, g[:-1]) if ord(g[0]) % 9 or " " in g}
+    head = toxicity.Head(sorted(keys), [float(len(k)) for k in sorted(keys)])
+    words, none = [words_of(t) for t in texts], np.zeros(0)
+    rows = list(toxicity._sums_of_texts(head, iter([[], *words, []]), toxicity._Known(), [none, none.astype(bool), none.astype(int)]))
+    assert rows[0] == rows[-1] == {"total": 0.0, "symbols": 0, "most": None, "rest": []}
+    for found, own in zip(rows[1:], words):
+        sums, open_ = head.sums(own)
+        closed = [v / max(len(w) + 1, LEAST_SYMBOLS) for w, v, o in zip(own, sums, open_) if not o]
+        assert abs(found["total"] - sums[~open_].sum()) < 1e-9 and found["symbols"] == sum(len(w) + 1 for w in own)
+        assert found["most"] == (max(closed) if closed else None)
+        assert Counter({r["word"]: r["times"] for r in found["rest"]}) == Counter(w for w, o in zip(own, open_) if o)
