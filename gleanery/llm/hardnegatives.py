@@ -131,47 +131,73 @@ class _Tree:
             self.levels.append((lo, hi, first, last))
 
     def search(self, x, label, own, same, lows, highs, floors, k) -> list[list[tuple[int, int]]]:
-        """For each window the first k (-score, id) within it, scores below its floor left out.
+        """For each window the first k (-score, id) within it, scores below its floor left out."""
+        return self.search_many(x[None], np.array([label]), [own], same, [lows], [highs], [floors], k)[0]
 
-        A queue yields the box whose interval promises most. A box is pruned if its labels are
-        not wanted, its interval lies outside all windows, or it ends strictly below the kth
-        score so far (an equal score can still win by a smaller id).
+    def search_many(self, x, labels, owns, same, lows, highs, floors, k) -> list[list[list[tuple[int, int]]]]:
+        """search for many requests together, which share each box that any of them opens.
+
+        A queue yields the box whose interval promises one of them most. A box is pruned for a
+        request if its labels are not wanted, its interval lies outside all windows, or it ends
+        strictly below the kth score so far (an equal score can still win by a smaller id).
+        Requests with fewer windows than others have empty ones behind them.
         """
-        kth, best = floors.copy(), [[] for _ in lows]
+        asked, width = len(labels), max(map(len, lows), default=0)
+        fill = lambda rows, value: np.array([[*r, *[value] * (width - len(r))] for r in rows], np.int64).reshape(asked, width)
+        lows, highs, kth = fill(lows, HIGHEST), fill(highs, LOWEST), fill(floors, HIGHEST)
+        best = [[[] for _ in range(width)] for _ in range(asked)]
         queue: list[tuple[int, int, int]] = []
+        waiting: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
-        def push(level: int, begin: int, end: int) -> None:
+        def push(level: int, begin: int, end: int, who: np.ndarray) -> None:
             lo, hi, first, last = (a[begin:end] for a in self.levels[level])
+            label = labels[who][:, None]
             wanted = (first <= label) & (label <= last) if same else (first != label) | (last != label)
-            least, most = _interval(x[None], lo, hi)
-            reach = np.minimum(most[0][:, None], highs[None])
-            open_ = wanted[:, None] & (most[0][:, None] >= lows[None]) & (least[0][:, None] <= highs[None]) & (reach >= kth[None])
-            promise = np.where(open_, reach, LOWEST - 1).max(1)
-            for i in np.flatnonzero(open_.any(1)).tolist():
-                heapq.heappush(queue, (-int(promise[i]), level, begin + i))
-
-        push(len(self.levels) - 1, 0, 1)
+            least, most = _interval(x[who], lo, hi)
+            promise = np.full(most.shape, LOWEST - 1)
+            for w in range(width):
+                low, high, floor = (a[who, w][:, None] for a in (lows, highs, kth))
+                reach = np.minimum(most, high)
+                open_ = wanted & (most >= low) & (least <= high) & (reach >= floor)
+                promise = np.where(open_, np.maximum(promise, reach), promise)
+            for i in np.flatnonzero((promise >= LOWEST).any(0)).tolist():
+                some = np.flatnonzero(promise[:, i] >= LOWEST)
+                waiting[level, begin + i] = who[some], promise[some, i]
+                heapq.heappush(queue, (-int(promise[some, i].max()), level, begin + i))
+
+        if asked and width:
+            push(len(self.levels) - 1, 0, 1, np.arange(asked))
         while queue:
-            promise, level, node = heapq.heappop(queue)
-            if -promise < kth.min():
-                break
+            _, level, node = heapq.heappop(queue)
+            who, promise = waiting.pop((level, node))
+            who = who[promise >= kth[who].min(1)]
+            if not len(who):
+                continue
             if level:
-                push(level - 1, node * FANOUT, min((node + 1) * FANOUT, len(self.levels[level - 1][0])))
+                push(level - 1, node * FANOUT, min((node + 1) * FANOUT, len(self.levels[level - 1][0])), who)
                 continue
             part = slice(node * LEAF, (node + 1) * LEAF)
-            scores = _dot(self.x[part], x[None])[:, 0]
-            fits = (self.label[part] == label) == same
-            for w in range(len(lows)):
-                hits = np.flatnonzero(fits & (scores >= max(lows[w], kth[w])) & (scores <= highs[w]))
-                if not len(hits):
-                    continue
-                found = [(-int(scores[i]), j) for i in hits.tolist() for j in self.ids[part.start + i] if j != own]
-                best[w] = sorted(best[w] + found)[:k]
-                if len(best[w]) == k:
-                    kth[w] = max(kth[w], -best[w][-1][0])
+            scores = _dot(self.x[part], x[who])
+            fits = (self.label[part][:, None] == labels[who]) == same
+            for w in range(width):
+                rows, columns = np.nonzero((fits & (scores >= np.maximum(lows[who, w], kth[who, w])) & (scores <= highs[who, w])).T)
+                for at, hits in zip(*_runs_of(rows, columns)):
+                    r = who[at]
+                    found = [(-int(scores[i, at]), j) for i in hits.tolist() for j in self.ids[part.start + i] if j != owns[r]]
+                    best[r][w] = sorted(best[r][w] + found)[:k]
+                    if len(best[r][w]) == k:
+                        kth[r, w] = max(kth[r, w], -best[r][w][-1][0])
         return best
 
 
+def _runs_of(rows: np.ndarray, columns: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The distinct rows, which are sorted, and the columns of each."""
+    if not len(rows):
+        return [], []
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(rows) > 0]))
+    return rows[starts].tolist(), np.split(columns, starts[1:])
+
+
 def _rows_of(column: pa.Array, dtype=np.int64) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(dtype)
 
@@ -310,8 +336,10 @@ def _searched(asked: DataFrame, shards: DataFrame, same: bool, k: int) -> DataFr
                     tree = _Tree(rows.column("label").to_numpy(), _rows_of(rows.column("x")), rows.column("ids").to_pylist())
                     known = shard
                 entries = pa.RecordBatch.from_struct_array(pa.array(asked.values))
-                for request, own, label, x, lows, highs, floors, _ in _requests_of(entries):
-                    for w, found in enumerate(tree.search(x, label, own, same, lows, highs, floors, k)):
+                requests, owns, labels, x, lows, highs, floors, _ = zip(*_requests_of(entries))
+                answers = tree.search_many(np.stack(x), np.array(labels), owns, same, lows, highs, floors, k)
+                for request, windows in zip(requests, answers):
+                    for w, found in enumerate(windows):
                         for score, i in found:
                             for column, value in zip(out, (request, w, -score, i)):
                                 column.append(value)

@@ -99,3 +99,30 @@ def test_all_vectors_are_placed(spark):
     trees = [hardnegatives._unpacked(bytes(r.tree)) for r in shards.collect()]
     assert sorted(i for t in trees for (i,) in t.column("ids").to_pylist()) == list(range(600))
     assert boxes.count() == len(trees) > 10
+
+
+def test_requests_of_a_block_share_the_boxes_they_open(monkeypatch):
+    """Many requests with windows of their own get what each gets alone; a leaf is read once for all of them."""
+    monkeypatch.setattr(hardnegatives, "LEAF", 8)
+    rng = np.random.default_rng(5)
+    x, label = rng.integers(-300, 300, (1600, 24)), rng.integers(0, 4, 1600)
+    order = _str_order(label, x, 8)
+    tree = _Tree(label[order], x[order], [[int(i), int(i) % 7] for i in order])
+    asked = rng.integers(-300, 300, (40, 24))
+    labels, owns = rng.integers(0, 4, 40), list(range(40))
+    bounds = [np.sort(rng.integers(-400_000, 900_000, (2, i % 4))) for i in range(40)]
+    lows, highs = [np.minimum(*b) for b in bounds], [np.maximum(*b) for b in bounds]
+    floors = [np.full(len(v), LOWEST) for v in lows]
+    for same in (True, False):
+        seen = []
+        with monkeypatch.context() as m:
+            m.setattr(hardnegatives, "_dot", lambda a, b: seen.append(len(a)) or a @ b.T)
+            got = tree.search_many(asked, labels, owns, same, lows, highs, floors, 3)
+        assert seen.count(8) <= 200
+        for i in range(40):
+            scores, fits = tree.x @ asked[i], (tree.label == labels[i]) == same
+            for w in range(len(lows[i])):
+                inside = np.flatnonzero(fits & (scores >= lows[i][w]) & (scores <= highs[i][w]))
+                want = sorted((-int(scores[j]), v) for j in inside for v in tree.ids[j] if v != owns[i])[:3]
+                assert got[i][w] == want
+            assert got[i][:len(lows[i])] == tree.search(asked[i], labels[i], owns[i], same, lows[i], highs[i], floors[i], 3)
