@@ -2,6 +2,7 @@
 
 SimHash fingerprints within three bits, found by BK-trees over shards as in simhash.py, are compared
 first. A similarity of 0.8 is often further apart than three bits: MinHash bands find those pairs.
+Small buckets are compared in all pairs, large ones by what their members do not share (crowds.py).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from .common import without
 from .components import components
+from .crowds import crowd_pairs
 from .simhash import _LOWER, fold_bits, shard_links
 
 WORDS = 5
@@ -22,7 +24,7 @@ LEAST = 0.8
 BANDS, ROWS = 24, 4  # a pair at similarity 0.8 shares no band with a chance of 3 in a million
 ALIKE = 55  # equal MinHashes of a pair worth comparing; at similarity 0.8 of 96 fewer are equal once in a million pairs
 BROADCAST = 1_000_000  # ids of rows, 8 MB, that are sent to all texts; more are joined
-_CHUNK = 512  # members of a bucket that one row of the salted join meets on either side
+_CHUNK = 64  # members of a bucket that are compared in all pairs, at most 32 for each of them
 _LEADERS = 4
 _BLOCK = 8192
 _draw = np.random.default_rng(42)
@@ -99,13 +101,17 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return checkpointed(likely.select("a", "b"))
 
 
-def _shingled(pairs: DataFrame, rows: DataFrame, classes: DataFrame, known: DataFrame | None, text: str, words: int) -> DataFrame:
-    """(fp, set) of the classes in pairs, each hashed once from the text of its one representative row.
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp")))
+
+
+def _shingled(used: DataFrame, rows: DataFrame, classes: DataFrame, known: DataFrame | None, text: str, words: int) -> DataFrame:
+    """(fp, set) of the classes in used, each hashed once from the text of its one representative row.
 
     The representatives are written first. A list of up to BROADCAST of them goes to where the
     texts are; a longer one is joined, for which texts are shuffled once.
     """
-    used = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+    used = used.distinct()
     if known is not None:
         used = used.join(known.select("fp"), "fp", "left_anti")
     wanted = checkpointed(classes.join(used, "fp", "left_semi").select(F.col("row").alias("_row")))
@@ -157,9 +163,9 @@ def near_copy_links(rows: DataFrame, classes: DataFrame, text: str, words: int =
 
     Classes with linked SimHashes are compared first. Sets that share the key of a band form a
     bucket. All of a bucket are then compared with a leader, of which a large group of near copies
-    has few, as leaders are drawn alike in a quarter of all bands. At last all pairs of a bucket
-    that are not yet connected are compared, a bucket being dealt in chunks, so that none sits in
-    one task.
+    has few, as leaders are drawn alike in a quarter of all bands. Of what is not yet connected,
+    all pairs of a bucket of up to _CHUNK members are compared, and of larger buckets those that
+    crowd_pairs gives: all that can be similar, or as many of them as connect the same.
     """
     entries = classes.select(F.col("fp"), F.col("n"), F.posexplode("bands").alias("band", "key"))
     order = F.xxhash64("fp", F.col("band") % _LEADERS)
@@ -171,7 +177,7 @@ def near_copy_links(rows: DataFrame, classes: DataFrame, text: str, words: int =
     def compared(pairs: DataFrame) -> None:
         nonlocal found, sets, groups
         likely = _likely(pairs, classes)
-        sets = _shingled(likely, rows, classes, sets, text, words)
+        sets = _shingled(_ends(likely), rows, classes, sets, text, words)
         more = _verified(likely, sets, least)
         found = more if found is None else found.unionByName(more)
         groups = checkpointed(components(found))
@@ -185,17 +191,17 @@ def near_copy_links(rows: DataFrame, classes: DataFrame, text: str, words: int =
 
     compared(_simhash_pairs(classes, least))
     compared(_with_leader(still_open(), least))
-    slots = F.ceil(F.col("members") / _CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), slots).cast("int")
-    open_ = still_open().withColumn("own", own)
-    low = open_.select("key", "fp", "n", "group", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), slots - 1)).alias("j"))
-    high = open_.select(
-        "key", F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("group").alias("group2"), F.col("own").alias("j"),
-        F.explode(F.sequence(F.lit(0), slots - 1)).alias("i"),
-    )
-    pairs = low.join(high, ["key", "i", "j"]).filter((F.col("fp") > F.col("fp2")) & (F.col("group") != F.col("group2")) & _fits("n", "n2", least))
-    open_pairs = _likely(pairs.select(F.col("fp").alias("a"), F.col("fp2").alias("b")), classes)
-    return found.unionByName(_verified(open_pairs, _shingled(open_pairs, rows, classes, sets, text, words), least))
+    open_ = still_open()
+    low = open_.filter(F.col("members") <= _CHUNK).select("key", "fp", "n", "group")
+    high = low.select("key", *[F.col(c).alias(f"{c}2") for c in ("fp", "n", "group")])
+    pairs = low.join(high, "key").filter((F.col("fp") > F.col("fp2")) & (F.col("group") != F.col("group2")) & _fits("n", "n2", least))
+    crowded = open_.filter(F.col("members") > _CHUNK).select("key", "fp", "n", "group")
+    pairs = pairs.select("fp", "fp2")
+    if not crowded.isEmpty():
+        sets = _shingled(crowded.select("fp"), rows, classes, sets, text, words)
+        pairs = pairs.unionByName(crowd_pairs(crowded, sets, least))
+    open_pairs = _likely(_ordered(pairs), classes)
+    return found.unionByName(_verified(open_pairs, _shingled(_ends(open_pairs), rows, classes, sets, text, words), least))
 
 
 def _grouped(docs: DataFrame, words: int, least: float, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:

@@ -83,3 +83,40 @@ def test_stage_compares_what_the_bk_trees_of_simhash_link(spark, monkeypatch):
     kept = corpus_pipeline.drop_near_duplicates(spark, rows, "")
     assert linked == [len(set(folds.values()))]
     assert {r.doc_id for r in kept.collect()} == set(plain_groups(texts).values())
+
+
+def near_limit(draw, copies, length, *changes):
+    """Copies of one text with some words changed in each, so that most pairs are 0.3 to 0.8 alike."""
+    base = [f"b{draw.random()}" for _ in range(length)]
+    for _ in range(copies):
+        words = list(base)
+        for _ in range(draw.randrange(*changes)):
+            words[draw.randrange(length)] = f"c{draw.randrange(9)}" if draw.random() < 0.3 else f"d{draw.random()}"
+        yield " ".join(words)
+
+
+def test_large_buckets_do_not_meet_in_all_pairs(spark, monkeypatch):
+    """Texts around one base, and texts with a common passage: no link is lost; 58,593 pairs were compared when all of a bucket met."""
+    draw, compared = random.Random(11), []
+    texts = [*near_limit(draw, 350, 150, 2, 9), *(" ".join(f"p{j}" for j in range(60)) + f" q{i} " + " ".join(f"q{i}.{j}" for j in range(i % 90)) for i in range(250))]
+    likely = nearcopies._likely
+    monkeypatch.setattr(nearcopies, "_likely", lambda pairs, classes: compared.append(pairs.select("a", "b").distinct().count()) or likely(pairs, classes))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_copy_groups(rows).collect()}
+    assert got == plain_groups(dict(enumerate(texts))) and 100 < len(set(got.values())) < 550
+    assert compared[-1] < 20_000
+
+
+@pytest.mark.parametrize("chunk", [1, 6])
+def test_every_link_of_crowds(spark, monkeypatch, chunk):
+    """Several bases of unlike lengths, shared changes, repeats and parts cut off, in buckets that all count as large."""
+    monkeypatch.setattr(nearcopies, "_CHUNK", chunk)
+    draw, texts = random.Random(chunk), []
+    for length in (12, 60, 200):
+        for t in near_limit(draw, 40, length, 0, 1 + length // 10):
+            words = t.split()
+            texts.append(" ".join(words[:draw.randrange(length * 3 // 4, length + 1)]))
+    texts += texts[::7]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_copy_groups(rows).collect()}
+    assert got == plain_groups(dict(enumerate(texts))) and len(set(got.values())) > 10
